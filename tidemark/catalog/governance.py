@@ -49,7 +49,7 @@ def _(t):
     return t.spark.sql(f"SELECT c_custkey, r_name FROM {name}")
 
 
-@query("gov_mask_default", """SELECT o_orderkey, CASE WHEN o_totalprice > 1000 THEN 0.0 END AS o_totalprice,
+@query("gov_mask_default", """SELECT o_orderkey, CASE WHEN o_totalprice > 1000 THEN CAST(0 AS DOUBLE) END AS o_totalprice,
  CASE WHEN length(o_orderstatus) < 4 THEN 'X' ELSE 'XXXX' END AS o_orderstatus, 'XXXX' AS o_orderpriority,
  TIMESTAMP '1900-01-01' AS o_orderdate FROM orders""")
 def _(t):

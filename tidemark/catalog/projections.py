@@ -7,6 +7,7 @@ from .. import functions as X
 from ..operators import filters, project
 from ..operators.aggregate import summarize
 from ..operators.windows import top_k
+from ..sources.writers import write_parquet
 from .base import FACT_SQL, as_double, query, sales_fact
 
 
@@ -99,7 +100,7 @@ def _(t):
  WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-03-01' GROUP BY ym""")
 def _(t):
     path = t.scratch("months")
-    t.orders.withColumn("ym", X.fmt_date("o_orderdate")).write.partitionBy("ym").parquet(path)
+    write_parquet(t.orders.withColumn("ym", X.fmt_date("o_orderdate")), path, ["ym"])
     stored = t.spark.read.schema(t.orders.withColumn("ym", F.lit("")).schema).parquet(path)
     return filters.month_pruned(stored, "o_orderdate", "1997-01-01", "1997-03-01").groupBy("ym").agg(F.count("*").alias("n"))
 

@@ -19,10 +19,17 @@ def days_between(later, earlier) -> Column:
     return F.datediff(_col(later), _col(earlier))
 
 
+def _epoch_seconds(c) -> Column:
+    """Whole seconds since 1970 of a zone-less time, whatever the session's zone."""
+    span = _col(c).cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")
+    days, hours, minutes, seconds = (F.extract(F.lit(unit), span) for unit in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    whole = ((days.cast("long") * 24 + hours) * 60 + minutes) * 60
+    return whole + F.floor(seconds).cast("long")
+
+
 def seconds_between(start, stop) -> Column:
     """Count of whole-second boundaries crossed, as an audit run time."""
-    a, b = (F.date_trunc("second", _col(c)) for c in (start, stop))
-    return F.timestamp_diff("SECOND", a, b)
+    return _epoch_seconds(stop) - _epoch_seconds(start)
 
 
 def duration_minutes(start, stop) -> Column:

@@ -71,7 +71,7 @@ def norm_zip(c, numeric=False) -> Column:
     if numeric:
         whole = F.floor(c).cast("decimal(20,0)").cast("string")
         c = F.when((c == F.floor(c)) & (F.abs(c) < 1e18), whole).otherwise(c.cast("string"))
-    return blank_to(pad_left(F.regexp_replace(c.cast("string"), r"\.0$", ""), 5, "0"), NO_ZIP)
+    return pad_left(blank_to(F.regexp_replace(F.trim(c.cast("string")), r"\.0$", ""), NO_ZIP), 5, "0")
 
 
 def norm_phone(c) -> Column:

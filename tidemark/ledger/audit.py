@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import seconds_between
+from ..functions.dates import seconds_between, shift_days
 from ..operators.incremental import FIRST_WATERMARK
 from ..schemas import AUDIT_EVENTS
 from ..sources.paths import exists
@@ -126,7 +126,8 @@ def resolve_low(log, control, lookback_days=0) -> DataFrame:
         F.max(F.col("ETLMaxValue").try_cast("decimal(38,0)")).alias("__number"))
     text = "yyyy-MM-dd HH:mm:ss.SSS"
     first = F.lit(FIRST_WATERMARK).cast("timestamp_ntz")
-    time_low = F.coalesce(F.date_trunc("second", "__time") - F.make_dt_interval(days=F.lit(lookback_days)), first)
+    time_low = F.coalesce(F.date_format("__time", "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz"), first)
+    time_low = F.when(F.col("__time").isNull(), first).otherwise(shift_days(time_low, -lookback_days))
     tracked, predicate = F.col("DeltaDetectType") == "ChangeTracking", F.col("DeltaDetectType") == "Predicate"
     full_low = F.when(tracked, "0").when(predicate, F.when(dated, F.date_format(first, text)).otherwise("0"))
     step_low = F.when(tracked, F.coalesce(F.col("__version"), F.lit(0)).cast("string")).when(

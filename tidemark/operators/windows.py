@@ -11,7 +11,7 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import settle
 
 # Largest group, in rows, that one task ranks by itself.
 HOT_ROWS = 5_000_000
@@ -63,10 +63,9 @@ def rank_rows(df, part, order, tiebreak=(), tiles=2, hot_rows=HOT_ROWS, **names)
 
 
 def _rank_in_ranges(df, part, order, full, tiles, ranges, names):
-    shared_dir(df.sparkSession)
-    # The range a row falls in must be the same in both uses below, hence the checkpoint.
-    placed = (df.repartitionByRange(ranges, *sort_keys([*part, *full]))
-              .withColumn("__range", F.spark_partition_id()).checkpoint())
+    # The range a row falls in must be the same in both uses below, hence the written copy.
+    placed = settle(df.repartitionByRange(ranges, *sort_keys([*part, *full]))
+                    .withColumn("__range", F.spark_partition_id()), "ranges")
     cell = Window.partitionBy("__range", *part)
     by_rank, by_row = cell.orderBy(*sort_keys(order)), cell.orderBy(*sort_keys(full))
     local = placed.select("*", F.row_number().over(by_row).alias("__row"), F.rank().over(by_rank).alias("__rank"),
@@ -117,9 +116,12 @@ def _range_shifts(cells, part):
 
 
 def rank_groups(df, keys, measure, part, name="rank", alias="total", **aggs) -> DataFrame:
-    """Aggregate by ``keys``, then rank groups inside ``part`` by the measure, highest first."""
+    """Aggregate by ``keys``, then rank groups inside ``part`` by the measure, highest first.
+
+    The groups are settled first: sizing the ranking must not aggregate the input again.
+    """
     grouped = df.groupBy(*keys).agg(measure.alias(alias), *[a.alias(n) for n, a in aggs.items()])
-    return rank_rows(grouped, part, [f"-{alias}"], **{name: "rank"})
+    return rank_rows(settle(grouped, "groups"), part, [f"-{alias}"], **{name: "rank"})
 
 
 def moving_avg(df, part, order, col, n, name="moving_avg", hot_rows=HOT_ROWS) -> DataFrame:
@@ -150,8 +152,7 @@ def arbitrary_sequence(df, name="seq") -> DataFrame:
 
     Each partition numbers its own rows; only the row count per partition is gathered.
     """
-    shared_dir(df.sparkSession)
-    placed = df.withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+    placed = settle(df.withColumn("__id", F.monotonically_increasing_id()), "numbered")
     chunk = F.shiftright("__id", 33)
     counts = placed.groupBy(chunk.alias("__chunk")).agg(F.count("*").alias("__n"))
     earlier = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -23,8 +23,10 @@ def _top_by_month(fact, products, grain, aggs, measure, k, since=None, until=Non
     rows = fact if since is None else fact.filter(F.col("order_date") >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
         rows = rows.filter(F.col("order_date") <= F.lit(until).cast("timestamp_ntz"))
-    joined = inner(rows.withColumn("month_bucket", fmt_date("order_date")), products, ["product_id"])
-    grouped = joined.groupBy("region", "month_bucket", *grain).agg(*[a.alias(n) for n, a in aggs.items()])
+    joined = inner(rows.withColumn("__month", F.trunc("order_date", "MM")), products, ["product_id"])
+    grouped = joined.groupBy("region", "__month", *grain).agg(*[a.alias(n) for n, a in aggs.items()])
+    # The month is a date while grouping and becomes text once per group.
+    grouped = grouped.select("region", fmt_date("__month").alias("month_bucket"), *grain, *aggs)
     return top_k(grouped, ["region", "month_bucket"], [f"-{measure}"], k, "sales_rank")
 
 

@@ -49,6 +49,17 @@ def shared_dir(spark) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def settle(df, label="settled"):
+    """Write ``df`` to the shared folder and read it back.
+
+    Cuts the lineage at files that outlive executors, fixes values such as partition numbers,
+    and lets several passes over an expensive result cost one computation of it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark, label) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

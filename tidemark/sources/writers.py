@@ -23,7 +23,14 @@ def write_delimited(df, path, quote_all=True, sep=",", header=True):
     df.write.mode("overwrite").csv(path, sep=sep, quoteAll=quote_all, escape="\\", header=header)
 
 
+def balanced(df, *cols):
+    """Gather rows of equal ``cols`` into few files; adaptive execution splits the hot ones."""
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def write_parquet(df, path, partition_by=()):
+    if partition_by:
+        df = balanced(df, *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
@@ -40,14 +47,14 @@ def ctas(df, name, path) -> DataFrame:
 
 def write_bucketed(df, name, n, by, sort, path=None) -> DataFrame:
     """Table hashed into ``n`` buckets by a column and sorted inside, for repeated joins on it."""
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(n, by).sortBy(sort)
+    writer = balanced(df, by).write.mode("overwrite").format("parquet").bucketBy(n, by).sortBy(sort)
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
 def write_range_partitioned(df, path, col, bounds, name="range_id"):
     """RANGE RIGHT partitions: before the first bound, between bounds, from the last bound on."""
-    df.withColumn(name, range_bucket(col, bounds)).write.mode("overwrite").partitionBy(name).parquet(path)
+    balanced(df.withColumn(name, range_bucket(col, bounds)), name).write.mode("overwrite").partitionBy(name).parquet(path)
 
 
 def copy_table(rows, path):
