@@ -15,6 +15,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.cbo.enabled": "true",
+    # Compressed files are judged by about their decoded size, so a fact table is not broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
+    # Hash joins instead of sort-merge where every shuffled partition is known to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
