@@ -37,7 +37,7 @@ def read_with_reject_limit(spark, path, schema, max_errors=0, **options):
     found = bad.limit(max_errors + 1).count()
     if found > max_errors:
         raise TooManyRejects(f"more than {max_errors} malformed rows in {path}")
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad.select(CORRUPT)
+    return rows.filter(~marked).drop(CORRUPT), bad.select(CORRUPT)
 
 
 def read_parquet(spark, path, schema=None) -> DataFrame:
