@@ -7,6 +7,8 @@ from ..operators.joins import fits
 from ..operators.layout import range_bucket
 from ..schemas import with_audit_fields
 
+# Text is written as it is; by default the CSV writer would trim values.
+UNTRIMMED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 # Largest row count written as one file on request.
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -15,12 +17,12 @@ def write_csv(df, path, single=False, rows=SINGLE_FILE_ROWS):
     """CSV with a header. ``single`` gives one file for results within ``rows``; larger ones stay split."""
     if single and fits(df, rows):
         df = df.coalesce(1)
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, header=True, **UNTRIMMED)
 
 
 def write_delimited(df, path, quote_all=True, sep=",", header=True):
     """Delimited text, every value quoted, backslash as the escape."""
-    df.write.mode("overwrite").csv(path, sep=sep, quoteAll=quote_all, escape="\\", header=header)
+    df.write.mode("overwrite").csv(path, sep=sep, quoteAll=quote_all, escape="\\", header=header, **UNTRIMMED)
 
 
 def balanced(df, *cols):
