@@ -17,7 +17,7 @@ NOW = "2025-01-15 08:00:00"
 def test_patients(spark):
     schema = ("Id string, BIRTHDATE string, DEATHDATE string, PREFIX string, FIRST string, MAIDEN string, SUFFIX string, "
               "MARITAL string, `CITY` string, ZIP double, LAT double, LON double")
-    data = [("34A4DF72-EE4C-DD6F-3AE4-2D1C2E3A4B5C", "2000-02-29", None, " mr. ", "o'neil ", "  ", None, "m", "new\t  york", 1234.0, None, 2.5),
+    data = [("AAAABBBB-CCCC-DDDD-EEEE-0123456789AB", "2000-02-29", None, " mr. ", "o'neil ", "  ", None, "m", "new\t  york", 1234.0, None, 2.5),
             (None, "2000-13-01", "garbage", None, "josé", "x", "jr", " ", None, None, 1.0, None)]
     a, b = clean.clean_patients(spark.createDataFrame(data, schema), "2024-02-29", NOW).collect()
     assert (a.prefix, a["first"], a.maiden, a.suffix, a.marital) == ("Mr.", "O'neil", "N/A", "N/A", "M")
@@ -43,10 +43,10 @@ def test_cleaner_is_one_projection(spark, plan):
 
 def test_payers(spark):
     schema = "Id string, NAME string, ADDRESS string, CITY string, STATE_HEADQUARTERED string, ZIP double, PHONE string"
-    data = [("x", "Dual  Eligible", None, None, None, None, None), ("y", "Aetna", "1 St", " New  York ", "NY", 6156.0, "1-800-872-3862")]
+    data = [("x", "Plan  One", None, None, None, None, None), ("y", "Plan Two", "1 St", " New  York ", "NY", 6156.0, "1-555-010-0199")]
     a, b = clean.clean_payers(spark.createDataFrame(data, schema)).collect()
-    assert tuple(a) == ("x", "Dual Eligible", "Not Provided", "Unknown", "Unknown", "00000", "Not Provided", "Invalid")
-    assert tuple(b)[1:7] == ("Aetna", "1 St", "New York", "NY", "06156", "18008723862")
+    assert tuple(a) == ("x", "Plan One", "Not Provided", "Unknown", "Unknown", "00000", "Not Provided", "Invalid")
+    assert tuple(b)[1:7] == ("Plan Two", "1 St", "New York", "NY", "06156", "15550100199")
 
 
 def test_procedures_and_encounters(spark):

@@ -71,7 +71,7 @@ def test_control_lookup_ignores_case(spark):
     rows = spark.createDataFrame([(1, "encounters", "Bronze"), (2, "patients", "Bronze")],
                                  "Controlid int, SourceObjectName string, DestinationZone string")
     assert inc.control_for(rows, "Patients", "bronze")["Controlid"] == 2
-    assert inc.control_for(rows, "Patients", "Goldprestage") is None
+    assert inc.control_for(rows, "Patients", "Gold") is None
 
 
 def test_extract_blanks_unsupported_columns(source, rows):

@@ -49,14 +49,14 @@ def raw_payers(t):
         F.md5(c("s_suppkey").cast("string")).alias("Id"), F.concat(F.lit(" The   "), "s_name").alias("NAME"),
         F.when(c("s_nationkey") > 5, "1 High St").alias("ADDRESS"), F.when(c("s_nationkey") > 5, "New  York ").otherwise(" ").alias("CITY"),
         F.when(c("s_nationkey") > 5, "NY").alias("STATE_HEADQUARTERED"), (c("s_suppkey") * 97).cast("double").alias("ZIP"),
-        F.when(c("s_acctbal") < 0, "---").when(c("s_nationkey") > 5, "1-877-267-2323").alias("PHONE"))
+        F.when(c("s_acctbal") < 0, "---").when(c("s_nationkey") > 5, "1-555-010-0123").alias("PHONE"))
 
 
 @query("clean_payers", f"""SELECT md5(CAST(s_suppkey AS VARCHAR)) AS "ID", 'The ' || s_name AS "NAME",
  CASE WHEN s_nationkey > 5 THEN '1 High St' ELSE 'Not Provided' END AS "ADDRESS",
  CASE WHEN s_nationkey > 5 THEN 'New York' ELSE 'Unknown' END AS "CITY",
  CASE WHEN s_nationkey > 5 THEN 'NY' ELSE 'Unknown' END AS "STATE_HEADQUARTERED", {zip_sql('CAST(s_suppkey * 97 AS VARCHAR)')} AS "ZIP",
- CASE WHEN s_acctbal < 0 OR s_nationkey <= 5 THEN 'Not Provided' ELSE '18772672323' END AS "PHONE", 'Valid' AS "VALID_UUID" FROM supplier""")
+ CASE WHEN s_acctbal < 0 OR s_nationkey <= 5 THEN 'Not Provided' ELSE '15550100123' END AS "PHONE", 'Valid' AS "VALID_UUID" FROM supplier""")
 def _(t):
     return clean.clean_payers(raw_payers(t))
 

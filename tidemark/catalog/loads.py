@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from ..ledger import audit, control
+from ..ledger import audit, catalogue, control
 from ..operators import incremental as inc
 from ..operators import upsert as up
 from ..plans import loads
@@ -58,6 +58,28 @@ def _(t):
     return t.orders.select("o_orderkey", (F.col("o_custkey") == found["Controlid"]).alias("chosen"))
 
 
+@query("load_zone_job", """SELECT 'events' AS name, count(*) FILTER (ts > TIMESTAMP '2024-01-10') AS n, 'loaded' AS status,
+ (SELECT max(ts) FROM events) AS mark FROM events UNION ALL SELECT 'nation', 0, 'no column ts', TIMESTAMP '2024-01-10'
+ UNION ALL SELECT 'orders', count(*), 'loaded', NULL FROM orders UNION ALL SELECT 'part', 0, 'no control row', NULL""")
+def _(t):
+    mark = F.lit("2024-01-10").cast("timestamp_ntz").alias("LastWatermarkValue")
+    control_rows = t.region.filter("r_regionkey < 2").select(
+        F.col("r_regionkey").alias("Controlid"), F.when(F.col("r_regionkey") == 0, "Events").otherwise("nation").alias("SourceObjectName"),
+        F.lit("Gold").alias("DestinationZone"), F.lit("ts").alias("IncrementalColumn"), mark)
+    sources = {"events": t.events, "nation": t.nation, "orders": t.orders, "part": t.part}
+    root = t.scratch("zone")
+    for _ in range(2):  # the same batch again changes nothing
+        after, report = loads.load_zone(control_rows, sources, "gold", root, 1, full=["orders"])
+    stored = {"events": t.spark.read.parquet(f"{root}/events"), "orders": t.spark.read.parquet(f"{root}/orders/batch_1")}
+    counts = None
+    for name, (status, _) in report.items():
+        rows = stored[name].agg(F.count("*").alias("n")) if name in stored else t.spark.range(1).select(F.lit(0).cast("bigint").alias("n"))
+        one = rows.select(F.lit(name).alias("name"), "n", F.lit(status).alias("status"))
+        counts = one if counts is None else counts.unionByName(one)
+    marks = after.select(F.lower("SourceObjectName").alias("name"), F.col("LastWatermarkValue").alias("mark"))
+    return counts.join(marks, "name", "left")
+
+
 @query("load_full", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def _(t):
     root = t.scratch("full")
@@ -363,3 +385,18 @@ def _(t):
 @query("stamp_client_id", """SELECT c_custkey AS id, 42 AS "Client_Id" FROM customer""")
 def _(t):
     return up.stamp_client(t.customer.select(F.col("c_custkey").alias("id")), 42)
+
+
+@query("ctl_target_tables", """WITH cat AS (SELECT p_brand AS s, p_name AS t, p_type AS c, min(p_size) AS ord,
+ bool_or(p_size < 4) AS is_key FROM part GROUP BY ALL)
+ SELECT s AS "CustomSchemaName", replace(t, ' ', '_') AS "TableName", string_agg(c || ' string', ', ' ORDER BY ord, c) AS "ColumnNames",
+ string_agg(c, ', ' ORDER BY ord, c) FILTER (is_key) AS "KeyColumns",
+ CASE WHEN bool_or(is_key) AND bool_or(NOT is_key) THEN 'upsert' ELSE 'reload' END AS "LoadKind" FROM cat
+ WHERE s <> 'Brand#2' GROUP BY s, t""")
+def _(t):
+    # Brands are schemas, part names tables and part types columns; one schema exists already.
+    columns = t.part.groupBy(F.col("p_brand").alias("CustomSchemaName"), F.replace("p_name", F.lit(" "), F.lit("/")).alias("TableName"),
+                             F.col("p_type").alias("ColumnName")).agg(
+        F.struct(F.min("p_size").alias("size"), F.first("p_type").alias("type")).alias("ColumnId"),
+        F.when(F.min("p_size") < 4, "Yes").otherwise("No").alias("IsPrimaryKey")).withColumn("DataType", F.lit("string"))
+    return catalogue.target_tables(columns, columns.filter("CustomSchemaName = 'Brand#2'"))

@@ -50,9 +50,18 @@ def _(t):
     return out.withColumn("revenue", as_double("revenue"))
 
 
-@query("mart_region_product_having", f"""SELECT region, product_id, count(order_id) AS total_orders, CAST(sum(total_amount) AS DOUBLE) AS total_sales
+REGION_PRODUCT_SQL = f"""SELECT region, product_id, count(order_id) AS total_orders, CAST(sum(total_amount) AS DOUBLE) AS total_sales
  FROM {FACT_SQL} WHERE region IN ('ASIA', 'EUROPE', 'AFRICA') AND order_date BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-12-31'
- GROUP BY region, product_id HAVING count(order_id) > 1""")
+ GROUP BY region, product_id HAVING count(order_id) > 1"""
+
+
+@query("mart_region_product_having_flat", REGION_PRODUCT_SQL)
+def _(t):
+    out = marts.region_product(sales_fact(t), "1998-01-01", "1998-12-31", 1, ["ASIA", "EUROPE", "AFRICA"])
+    return out.withColumn("total_sales", as_double("total_sales"))
+
+
+@query("mart_region_product_having", REGION_PRODUCT_SQL)
 def _(t):
     path = t.scratch("by_region")
     writers.write_parquet(sales_fact(t), path, ["region"])

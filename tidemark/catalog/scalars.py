@@ -98,9 +98,9 @@ def _(t):
 
 
 @query("norm_phone", """SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'Not Provided'
- ELSE regexp_replace('1-877-' || s_name, '[^0-9]', '', 'g') END AS phone FROM supplier""")
+ ELSE regexp_replace('1-555-' || s_name, '[^0-9]', '', 'g') END AS phone FROM supplier""")
 def _(t):
-    raw = F.when(F.col("s_acctbal") < 0, "---").otherwise(F.concat(F.lit("1-877-"), "s_name"))
+    raw = F.when(F.col("s_acctbal") < 0, "---").otherwise(F.concat(F.lit("1-555-"), "s_name"))
     return t.supplier.select("s_suppkey", X.norm_phone(raw).alias("phone"))
 
 

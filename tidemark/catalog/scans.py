@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregate import summarize
 from ..operators.incremental import extract
 from ..operators.joins import inner
+from ..operators.layout import balanced
 from ..sources import paths, readers, writers
 from . import cleaning
 from .base import as_double, query
@@ -86,7 +87,7 @@ def _(t):
  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM orders GROUP BY o_orderstatus""")
 def _(t):
     path = t.scratch("tree")
-    t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus").write.partitionBy("o_orderstatus").csv(path, header=True)
+    balanced(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), "o_orderstatus").write.partitionBy("o_orderstatus").csv(path, header=True)
     rows = readers.read_tree(t.spark, path, "*.csv", schema="o_orderkey bigint, o_totalprice double")
     status = F.regexp_extract("file_path", "o_orderstatus=([^/]+)/", 1)
     return summarize(rows, [status.alias("status")], n=F.count("*"),

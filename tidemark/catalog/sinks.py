@@ -61,12 +61,13 @@ def _(t):
 @query("sink_bucketed", """SELECT o_custkey, c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey
  GROUP BY o_custkey, c_mktsegment""")
 def _(t):
-    # Both sides in the same buckets: the join and the grouping need no shuffle.
-    o = writers.write_bucketed(t.orders.select("o_custkey", "o_orderkey"), t.table_name("orders_b"), 8, "o_custkey",
-                               "o_custkey", t.scratch("bucketed"))
+    # Orders are summed to their customer first, so no bucket holds a hot customer's orders.
+    # Both sides lie in the same buckets: the join needs no shuffle.
+    per_customer = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    o = writers.write_bucketed(per_customer, t.table_name("orders_b"), 8, "o_custkey", "o_custkey", t.scratch("bucketed"))
     c = writers.write_bucketed(t.customer.select("c_custkey", "c_mktsegment"), t.table_name("customer_b"), 8, "c_custkey",
                                "c_custkey", t.scratch("bucketed"))
-    return o.join(c, o.o_custkey == c.c_custkey).groupBy("o_custkey", "c_mktsegment").agg(F.count("*").alias("n"))
+    return o.join(c, o.o_custkey == c.c_custkey).select("o_custkey", "c_mktsegment", "n")
 
 
 @query("sink_range_partitioned", """SELECT CAST((o_orderdate >= TIMESTAMP '1996-01-01') AS INTEGER)

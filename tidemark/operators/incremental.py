@@ -44,9 +44,9 @@ def null_watermarks(df, col) -> DataFrame:
     return df.filter(F.col(col).isNull())
 
 
-def advance(control, name, hi, key="table_name", value="last_loaded_ts") -> DataFrame:
+def advance(control, name, hi, key="table_name", value="last_loaded_ts", where=True) -> DataFrame:
     """Control rows with one object's watermark set; call after its data is written."""
-    return control.withColumn(value, F.when(F.col(key) == name, F.lit(hi).cast(control.schema[value].dataType))
+    return control.withColumn(value, F.when((F.col(key) == name) & F.lit(where), F.lit(hi).cast(control.schema[value].dataType))
                               .otherwise(F.col(value)))
 
 

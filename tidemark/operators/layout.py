@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 from .joins import checked_broadcast
 
 
+def balanced(df, *cols, n=None) -> DataFrame:
+    """Bring rows of equal ``cols`` together; adaptive execution splits a hot key over several tasks
+    and merges small partitions."""
+    return df.hint("rebalance", *([n] if n else []), *[F.col(c) for c in cols])
+
+
 def repartition(df, n=None, *cols) -> DataFrame:
-    """By count, by columns, or both."""
-    return df.repartition(*([n] if n else []), *cols)
+    """By count, by columns, or both; by columns, a hot key is split."""
+    return balanced(df, *cols, n=n) if cols else df.repartition(n)
 
 
 def coalesce(df, n) -> DataFrame:
@@ -19,7 +25,7 @@ def coalesce(df, n) -> DataFrame:
 def distribute(df, how, col=None, n=None) -> DataFrame:
     """``hash`` on a column, ``replicate`` behind a size check, or ``round_robin``."""
     if how == "hash":
-        return df.repartition(*([n] if n else []), col)
+        return balanced(df, col, n=n)
     if how == "replicate":
         return checked_broadcast(df)
     if how == "round_robin":

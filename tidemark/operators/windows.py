@@ -15,6 +15,8 @@ from ..session import settle
 
 # Largest group, in rows, that one task ranks by itself.
 HOT_ROWS = 5_000_000
+# Most ranges a split uses; beyond it ranges grow instead, to keep the shuffle's block count sane.
+MAX_RANGES = 20_000
 
 
 def sort_keys(order):
@@ -34,7 +36,7 @@ def split_needed(df, part, hot_rows) -> int:
         counts = df.groupBy(*part).agg(F.count("*").alias("__n"))
         if counts.filter(F.col("__n") > hot_rows).isEmpty():
             return 0
-    return ceil(total / hot_rows) + 1
+    return min(ceil(total / hot_rows) + 1, MAX_RANGES)
 
 
 def _ntile(position, total, tiles):
@@ -184,7 +186,8 @@ def latest_row(df, order) -> DataFrame:
 def top_k(df, part, order, k, name="rank") -> DataFrame:
     """Rows ranked at most ``k`` in their group, ties kept.
 
-    The rank filter lets each task drop all but its own first ``k`` before the shuffle.
+    The rank filter lets each task drop all but its own first ``k`` (and their ties) before the
+    shuffle, so what a group gathers follows its result and not its size.
     """
     window = Window.partitionBy(*part).orderBy(*sort_keys(order))
     return df.withColumn(name, F.rank().over(window)).filter(F.col(name) <= k).withColumn(name, F.col(name).cast("long"))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import fits
-from ..operators.layout import range_bucket
+from ..operators.layout import balanced, range_bucket
 from ..schemas import with_audit_fields
 
 # Text is written as it is; by default the CSV writer would trim values.
@@ -25,11 +25,6 @@ def write_delimited(df, path, quote_all=True, sep=",", header=True):
     df.write.mode("overwrite").csv(path, sep=sep, quoteAll=quote_all, escape="\\", header=header, **UNTRIMMED)
 
 
-def balanced(df, *cols):
-    """Gather rows of equal ``cols`` into few files; adaptive execution splits the hot ones."""
-    return df.hint("rebalance", *[F.col(c) for c in cols])
-
-
 def write_parquet(df, path, partition_by=()):
     if partition_by:
         df = balanced(df, *partition_by)
@@ -48,7 +43,11 @@ def ctas(df, name, path) -> DataFrame:
 
 
 def write_bucketed(df, name, n, by, sort, path=None) -> DataFrame:
-    """Table hashed into ``n`` buckets by a column and sorted inside, for repeated joins on it."""
+    """Table hashed into ``n`` buckets by a column and sorted inside, for repeated joins on it.
+
+    A bucket is read by one task, so bucket tables whose keys are spread: dimensions, or facts
+    already summed to the key.
+    """
     writer = balanced(df, by).write.mode("overwrite").format("parquet").bucketBy(n, by).sortBy(sort)
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
