@@ -230,3 +230,32 @@ def test_keyless_job_reloads(spark, source, ledger):
 def test_observed_write_counts_in_the_same_job(spark):
     got = loads.observed_write(spark.range(10), scratch_path(spark, "o"), top=F.max("id"))
     assert got == {"rows": 10, "top": 9}
+
+
+def test_zone_load_resumes_after_a_crash(spark, source, rows):
+    control_rows = spark.createDataFrame(
+        [(1, "Things", "Gold", "Last_Modified", dt.datetime(2024, 1, 1)), (2, "Odd", "Gold", "absent", None),
+         (1, "Things", "Bronze", "x", dt.datetime(2000, 1, 1))],
+        "Controlid int, SourceObjectName string, DestinationZone string, IncrementalColumn string, LastWatermarkValue timestamp_ntz")
+    root = scratch_path(spark, "zone")
+    sources = {"things": source, "odd": source, "none": source, "all": source}
+    # The watermark of the first run is lost; the second run repeats the batch.
+    loads.load_zone(control_rows, sources, "Gold", root, 1, full=["all"])
+    after, report = loads.load_zone(control_rows, sources, "Gold", root, 1, full=["all"])
+    assert report == {"things": ("loaded", 3), "odd": ("no column absent", 0), "none": ("no control row", 0), "all": ("loaded", 5)}
+    assert rows(spark.read.parquet(f"{root}/things"), "id") == [(2,), (3,), (4,)]
+    marks = {(r["SourceObjectName"], r["DestinationZone"]): r["LastWatermarkValue"] for r in after.collect()}
+    assert marks["Things", "Gold"] == dt.datetime(2024, 1, 3) and marks["Things", "Bronze"] == dt.datetime(2000, 1, 1)
+    assert loads.load_zone(after, {"things": source}, "Gold", root, 2)[1] == {"things": ("no new rows", 0)}
+
+
+def test_target_tables_choose_a_load_per_table(spark, rows):
+    from tidemark.ledger.catalogue import table_sizes, target_tables
+
+    data = [("s", "a/b", "id", "int", 1, "Yes"), ("s", "a/b", "v", "string", 2, "No"), ("s", "nokey", "x", "int", 1, None),
+            ("s", "allkey", "k", "int", 1, "Yes"), ("s", "old", "k", "int", 1, "Yes")]
+    cat = spark.createDataFrame(data, "CustomSchemaName string, TableName string, ColumnName string, DataType string, ColumnId int, IsPrimaryKey string")
+    out = target_tables(cat, cat.filter("TableName = 'old'"))
+    assert rows(out) == [("s", "a_b", "id int, v string", "id", "upsert"), ("s", "allkey", "k int", "k", "reload"),
+                         ("s", "nokey", "x int", None, "reload")]
+    assert rows(table_sizes(cat).filter("TableName = 'a/b'")) == [("s", "a/b", 2, 1)]
