@@ -15,7 +15,7 @@ DATA = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = build_session("tests", "local[8]", spark__ui__enabled="false", spark__driver__memory="4g",
-                            spark__sql__shuffle__partitions="8", spark__checkpoint__dir=str(shared),
+                            spark__sql__shuffle__partitions="4", spark__default__parallelism="2", spark__checkpoint__dir=str(shared),
                             spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
                             spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")

@@ -105,7 +105,7 @@ def test_load_table_chooses_by_keys(spark):
         assert out.count() == 1 and out.first()["HashValue"] == "0" and out.first()["IsDeleted"] is False
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.dictionaries(st.integers(0, 8), st.one_of(st.none(), st.sampled_from(["", "NA", "x", "x|y"])), max_size=8),
        st.dictionaries(st.integers(0, 8), st.one_of(st.none(), st.sampled_from(["", "NA", "x", "x|y"])), max_size=8))
 def test_upsert_equals_dictionary_update(spark, old, new):

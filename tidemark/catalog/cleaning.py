@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..plans import clean
+from ..plans import clean, loads
+from ..sources import writers
 from .base import blank_sql, collapse_sql, printable_sql, query, title_sql, zip_sql
 
 ASOF, NOW = "2025-01-01", "2025-01-15 08:00:00"
@@ -114,3 +115,25 @@ def _(t):
                           F.col("o_totalprice").alias("LineTotal"),
                           F.concat(F.lit("ab_"), F.col("o_custkey").cast("string")).alias("ProductNumber"))
     return clean.clean_generic(raw)
+
+
+@query("load_medallion_job", f"""SELECT 'patients' AS entity, md5(CAST(c_custkey AS VARCHAR)) AS id, CASE WHEN c_nationkey <> 3 THEN 'So Paulo'
+ ELSE 'Unknown' END AS city FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT 'patients', 'bad-id', CASE WHEN c_nationkey <> 3
+ THEN 'So Paulo' ELSE 'Unknown' END FROM customer WHERE c_acctbal < 0 UNION ALL
+ SELECT 'payers', md5(CAST(s_suppkey AS VARCHAR)), CASE WHEN s_nationkey > 5 THEN 'New York' ELSE 'Unknown' END FROM supplier""")
+def _(t):
+    """Raw files to cleaned batches to the next zone: patients by watermark, payers as a whole snapshot."""
+    bronze, silver, gold = t.scratch("bronze"), t.scratch("silver"), t.scratch("gold")
+    writers.write_parquet(raw_patients(t), f"{bronze}/Patients/2025/11/11/Patients.parquet")
+    writers.write_json_arrays(raw_payers(t), f"{bronze}/Payers/2025/11/11/Payers.json", F.floor(F.col("ZIP") / (97 * 50_000)))
+    for batch in (1, 1):  # a repeated batch replaces itself
+        counts = loads.bronze_to_silver(t.spark, bronze, silver, clean.registry(ASOF, NOW), batch)
+    assert set(counts) == {"patients", "payers"}
+    mark = F.lit("2010-01-01").cast("timestamp_ntz").alias("LastWatermarkValue")
+    control = t.spark.range(1).select(F.lit("Patients").alias("SourceObjectName"), F.lit("Gold").alias("DestinationZone"),
+                                      F.lit("Last Modified").alias("IncrementalColumn"), F.col("id").alias("Controlid"), mark)
+    sources = {"Patients": t.spark.read.parquet(f"{silver}/patients"), "Payers": loads.latest_batch(t.spark, f"{silver}/payers")}
+    loads.load_zone(control, sources, "Gold", gold, 1, full=["Payers"])
+    patients = t.spark.read.parquet(f"{gold}/Patients").select(F.lit("patients").alias("entity"), "id", "city")
+    payers = t.spark.read.parquet(f"{gold}/Payers/batch_1").select(F.lit("payers").alias("entity"), F.col("ID").alias("id"), F.col("CITY").alias("city"))
+    return patients.unionByName(payers)

@@ -63,8 +63,9 @@ def _(t):
  UNION ALL SELECT 'orders', count(*), 'loaded', NULL FROM orders UNION ALL SELECT 'part', 0, 'no control row', NULL""")
 def _(t):
     mark = F.lit("2024-01-10").cast("timestamp_ntz").alias("LastWatermarkValue")
-    control_rows = t.region.filter("r_regionkey < 2").select(
-        F.col("r_regionkey").alias("Controlid"), F.when(F.col("r_regionkey") == 0, "Events").otherwise("nation").alias("SourceObjectName"),
+    name = F.when(F.col("r_name") == "ASIA", "Events").when(F.col("r_name") == "EUROPE", "nation").otherwise(F.col("r_name"))
+    control_rows = t.region.select(
+        F.col("r_regionkey").alias("Controlid"), name.alias("SourceObjectName"),
         F.lit("Gold").alias("DestinationZone"), F.lit("ts").alias("IncrementalColumn"), mark)
     sources = {"events": t.events, "nation": t.nation, "orders": t.orders, "part": t.part}
     root = t.scratch("zone")
@@ -360,12 +361,17 @@ def _(t):
 def _(t):
     """Two batches of one object through extract, upsert, publish and ledger."""
     ledger = audit.Ledger(t.spark, t.scratch("ledger"))
-    spec = loads.LoadSpec(9, "orders", keys=["o_orderkey"], watermark="O_ORDERDATE", columns=["o_orderkey", "o_custkey", "o_orderstatus"],
-                          lookback_days=365 * 200)
+    spec = loads.LoadSpec(9, "orders", keys=["o_orderkey"], watermark="modified_on",
+                          columns=["o_orderkey", "o_custkey", "o_orderstatus"],
+                          order=["Modified On"])
     root = t.scratch("published")
-    early = t.orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    placed, finished = F.col("o_orderdate"), F.col("o_orderstatus") == "F"
+    early = t.orders.filter(placed < F.lit("1999-01-01").cast("timestamp_ntz")).withColumn("Modified On", placed)
     loads.run_load(ledger, early, spec, root, 1, NOW1)
-    later = t.orders.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "F", "X").otherwise(F.col("o_orderstatus")))
+    # Since then the later orders came in and all finished ones were changed.
+    later = t.orders.withColumns({
+        "o_orderstatus": F.when(finished, "X").otherwise(F.col("o_orderstatus")),
+        "Modified On": F.when(finished, F.lit("2025-01-10").cast("timestamp_ntz")).otherwise(placed)})
     loads.run_load(ledger, later, spec, root, 2, NOW2)
     return loads.current_table(ledger, spec).select("o_orderkey", "o_custkey", "o_orderstatus")
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..operators.joins import lookup
 from .base import collapse_sql, money, printable_sql, query, title_sql, zip_sql
 
 
@@ -138,7 +139,7 @@ def _(t):
 def _(t):
     # One rate per priority stands for a rate table keyed by currency.
     rates = t.orders.groupBy(F.col("o_orderpriority").alias("ccy")).agg(F.min(F.length("o_orderpriority")).alias("rate"))
-    joined = t.orders.join(rates, F.col("o_orderpriority") == F.col("ccy"))
+    joined = lookup(t.orders, rates, {"o_orderpriority": "ccy"}, ["rate"], small=True)
     rate = F.col("rate").cast("decimal(6,2)")
     return joined.select("o_orderkey", X.convert(money("o_totalprice"), 75).cast("double").alias("inr"),
                          X.convert(money("o_totalprice"), rate).cast("double").alias("by_rate"))

@@ -73,7 +73,7 @@ def _(t):
 @query("src_json_array", CUSTOMER_SQL)
 def _(t):
     path = t.scratch("json")
-    writers.write_json_arrays(t.customer, path, F.floor(F.col("c_custkey") / 500))
+    writers.write_json_arrays(t.customer, path, F.floor(F.col("c_custkey") / 50_000))
     return readers.read_json_array(t.spark, path, t.customer.schema)
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import seconds_between, shift_days
 from ..operators.incremental import FIRST_WATERMARK
+from ..operators.joins import checked_broadcast
 from ..schemas import AUDIT_EVENTS
+from ..session import settle
 from ..sources.paths import exists
 
 # Load states.
@@ -119,6 +121,8 @@ def resolve_low(log, control, lookback_days=0) -> DataFrame:
     full_start = F.max(F.when(F.col("LoadType") == "Full", F.col("ETLStartTime")))
     step_start = F.max(F.when(F.col("LoadType") == "Incremental", F.col("ETLStartTime")))
     anchors = log.groupBy("ETLControlID").agg(F.coalesce(full_start, step_start).alias("__since"))
+    # Objects are few, their runs may be many: with the small side broadcast no object's runs meet in one task.
+    anchors = checked_broadcast(settle(anchors, "anchors"))
     good = successful(log).select("ETLControlID", "ETLMaxValue", "ETLStartTime").join(anchors, "ETLControlID", "left")
     version = F.when(F.col("ETLStartTime") >= F.col("__since"), F.col("ETLMaxValue").try_cast("bigint"))
     lows = good.groupBy("ETLControlID").agg(

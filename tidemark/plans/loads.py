@@ -19,9 +19,11 @@ from ..operators.upsert import (
     change_counts,
     full_reload,
     hash_upsert,
+    one_per_key,
     stamp_audit_cols,
 )
-from ..sources.readers import read_parquet
+from ..sources.paths import list_names
+from ..sources.readers import read_parquet, run_entities
 
 CHANGE = "_change"
 
@@ -59,6 +61,13 @@ def last_bound(ledger, spec, dtype):
     return runs.agg(F.max(F.col("ETLMaxValue").try_cast(dtype))).first()[0] or first_bound(dtype)
 
 
+def wanted_columns(spec, rows):
+    """Listed columns and, for choosing among repeated keys, the order columns."""
+    if spec.columns is None:
+        return None
+    return list(dict.fromkeys([*spec.columns, *(spec.order or [])]))
+
+
 def run_load(ledger, source, spec, root, batch_id, now):
     """Extract, upsert or reload, publish, record. Returns the completed counts.
 
@@ -77,14 +86,16 @@ def run_load(ledger, source, spec, root, batch_id, now):
         rows = source
         if spec.watermark:
             rows = incremental(source, spec.watermark, low, high, lookback_days=spec.lookback_days)
-        rows = extract(rows, columns=spec.columns, blank_cols=spec.blank_cols)
+        rows = extract(rows, columns=wanted_columns(spec, rows), blank_cols=spec.blank_cols)
         # A folder of its own per attempt: a repeated batch never writes over the one it reads.
         path = f"{root}/{spec.name}/batch_{batch_id}-{uuid.uuid4().hex[:8]}"
-        keyed = spec.keys and set(business_columns(rows)) - set(spec.keys)
+        keep = spec.columns or rows.columns
+        keyed = spec.keys and set(business_columns(rows.select(*keep))) - set(spec.keys)
         if not keyed:
-            written = full_reload(rows, batch_id, now).withColumn(CHANGE, F.lit("insert"))
+            written = full_reload(rows.select(*keep), batch_id, now).withColumn(CHANGE, F.lit("insert"))
         elif target is None:
-            written = stamp_audit_cols(rows, batch_id, now).withColumn(CHANGE, F.lit("insert"))
+            first = one_per_key(rows, spec.keys, spec.order).select(*keep)
+            written = stamp_audit_cols(first, batch_id, now).withColumn(CHANGE, F.lit("insert"))
         else:
             base = target.drop(CHANGE)
             written = hash_upsert(base, rows, spec.keys, batch_id, now, order=spec.order,
@@ -95,6 +106,21 @@ def run_load(ledger, source, spec, root, batch_id, now):
     return counts
 
 
+def bronze_to_silver(spark, base, silver, registry, batch_id, log=print):
+    """Clean the newest folder of every entity and store it as one batch. Returns rows per entity.
+
+    Each entity is scanned once: the count is taken while writing.
+    """
+    return {entity: observed_write(df, f"{silver}/{entity}/batch_id={batch_id}")["rows"]
+            for entity, df in run_entities(spark, base, registry, log)}
+
+
+def latest_batch(spark, path):
+    """The last stored batch of an entity, for entities that arrive as whole snapshots."""
+    ids = [int(n.partition("=")[2]) for n in list_names(spark, path) if n.startswith("batch_id=")]
+    return read_parquet(spark, f"{path}/batch_id={max(ids)}")
+
+
 def load_zone(control, sources, zone, root, batch_id, full=()):
     """Load all objects of a zone. Returns the advanced control rows and a report per object.
 
@@ -138,4 +164,4 @@ def full_load(df, root, batch_id):
     return path, observed_write(df, path)["rows"]
 
 
-__all__ = ["LoadSpec", "current_table", "first_bound", "full_load", "last_bound", "load_zone", "observed_write", "run_load"]
+__all__ = ["LoadSpec", "bronze_to_silver", "current_table", "first_bound", "full_load", "last_bound", "latest_batch", "load_zone", "observed_write", "run_load"]

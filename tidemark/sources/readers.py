@@ -103,8 +103,12 @@ def run_entities(spark, base, registry, log=print):
             log(f"no dated folder for {entity}")
             continue
         for name in paths.list_names(spark, folder):
-            stem = name.rsplit(".", 1)[0].lower() if name.lower().endswith(".parquet") else name.lower()
-            if stem not in registry:
+            stem, _, kind = name.lower().rpartition(".")
+            if stem not in registry or kind not in BY_SUFFIX:
                 log(f"no cleaner for {name}")
                 continue
-            yield stem, registry[stem](read_parquet(spark, f"{folder}/{name}"))
+            yield stem, registry[stem](BY_SUFFIX[kind](spark, f"{folder}/{name}"))
+
+
+# Reader by file suffix.
+BY_SUFFIX = {"parquet": read_parquet, "json": read_json_array, "csv": read_csv}

@@ -80,7 +80,8 @@ def ensure_table(spark, name, schema, path, keys=()) -> DataFrame:
 
 
 def write_json_arrays(df, path, chunk):
-    """Files of one JSON array each. ``chunk`` numbers rows so that a number has few of them."""
+    """Files of one JSON array each. ``chunk`` numbers rows so that each number has a bounded count of
+    them however large ``df`` is, such as a unique key divided by 50,000."""
     item = F.struct(*df.columns)
     arrays = df.groupBy(chunk.alias("__chunk")).agg(F.to_json(F.collect_list(item)).alias("value"))
     arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
