@@ -30,4 +30,10 @@ from .text import (
     valid_uuid,
 )
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "age_years", "blank_to", "build_json", "case", "clamp_min", "collapse_ws", "concat_blank", "convert", "csv_list",
+    "days_between", "duration_minutes", "expand_abbrev", "explode_col", "first_non_null", "fixed", "fmt_date", "is_blank",
+    "json_get", "natural_id", "norm_phone", "norm_zip", "pad_left", "parse_json", "parse_ts", "printable", "replace_all",
+    "round_to", "row_hash", "safe_divide", "seconds_between", "shift_days", "stamp", "surrogate_id", "title", "to_zone",
+    "utf8", "valid_uuid", "zip_arrays",
+]

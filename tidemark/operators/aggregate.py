@@ -1,7 +1,5 @@
 """Grouped and global aggregates."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +54,3 @@ def pivot(df, keys, col, values, agg) -> DataFrame:
 def unpivot(df, ids, cols, name="name", value="value", drop_nulls=True) -> DataFrame:
     out = df.unpivot(list(ids), list(cols), name, value)
     return out.filter(F.col(value).isNotNull()) if drop_nulls else out
-
-
-def conjunction(conditions):
-    return reduce(lambda p, q: p & q, conditions)

@@ -20,6 +20,11 @@ def _pairs(on):
     return list(on.items()) if isinstance(on, dict) else [(k, k) for k in on]
 
 
+def all_of(conditions):
+    """Conjunction of conditions."""
+    return reduce(lambda p, q: p & q, conditions)
+
+
 def _condition(left, right, on, blank_null=False, null_safe=False):
     terms = []
     for a, b in _pairs(on):
@@ -28,7 +33,7 @@ def _condition(left, right, on, blank_null=False, null_safe=False):
             terms.append(F.coalesce(x, F.lit("")) == F.coalesce(y, F.lit("")))
         else:
             terms.append(x.eqNullSafe(y) if null_safe else x == y)
-    return reduce(lambda p, q: p & q, terms)
+    return all_of(terms)
 
 
 def inner(left, right, on, blank_null=False, null_safe=False) -> DataFrame:
@@ -62,7 +67,7 @@ def lookup(df, dim, on, cols=None, small=False) -> DataFrame:
                        *[_col(c) for c in (cols or [c for c in dim.columns if c not in {b for _, b in pairs}])])
     if small:
         right = checked_broadcast(right)
-    cond = reduce(lambda p, q: p & q, [df[a] == right[f"__k{i}"] for i, (a, _) in enumerate(pairs)])
+    cond = all_of(df[a] == right[f"__k{i}"] for i, (a, _) in enumerate(pairs))
     return df.join(right, cond, "left").drop(*[f"__k{i}" for i in range(len(pairs))])
 
 
@@ -103,7 +108,7 @@ def exists_any(df, predicate) -> bool:
 def changed(source, target, keys, hash_col="HashValue") -> DataFrame:
     """Source rows whose key is in the target under a different hash."""
     tgt = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col(hash_col).alias("__t_hash"))
-    cond = reduce(lambda p, q: p & q, [source[k] == tgt[f"__t_{k}"] for k in keys])
+    cond = all_of([source[k] == tgt[f"__t_{k}"] for k in keys])
     return source.join(tgt, cond & (source[hash_col] != tgt["__t_hash"]), "left_semi")
 
 
@@ -115,7 +120,7 @@ def update_from(target, source, keys, mapping) -> DataFrame:
     pairs = _pairs(keys)
     src = source.select(*[F.col(b).alias(f"__k{i}") for i, (_, b) in enumerate(pairs)],
                         *[_col(s).alias(f"__v_{t}") for t, s in mapping.items()], F.lit(True).alias("__hit"))
-    cond = reduce(lambda p, q: p & q, [target[a] == src[f"__k{i}"] for i, (a, _) in enumerate(pairs)])
+    cond = all_of([target[a] == src[f"__k{i}"] for i, (a, _) in enumerate(pairs)])
     return target.join(src, cond, "left").select(*[
         F.when(F.col("__hit"), F.col(f"__v_{c}")).otherwise(target[c]).alias(c) if c in mapping else target[c]
         for c in target.columns])

@@ -4,7 +4,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.conditional import _col
 
@@ -86,5 +85,3 @@ def with_scalar(df, name, one_row) -> DataFrame:
 def pipe(df, *steps) -> DataFrame:
     return reduce(lambda acc, step: step(acc), steps, df)
 
-
-STRING = T.StringType

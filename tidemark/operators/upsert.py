@@ -10,7 +10,7 @@ from ..functions.conditional import _col
 from ..functions.dates import stamp
 from ..functions.hashing import row_hash
 from ..schemas import AUDIT_COLUMNS, UNHASHED_COLUMNS
-from .aggregate import conjunction
+from .joins import all_of
 
 
 def business_columns(df) -> list[str]:
@@ -83,7 +83,7 @@ def hash_upsert(target, source, keys, batch_id, now, order=None, blank_null_keys
             return F.coalesce(F.col(f"t_{k}"), F.lit("")) == F.coalesce(F.col(f"s_{k}"), F.lit(""))
         return F.col(f"t_{k}") == F.col(f"s_{k}")
 
-    joined = t.join(s, conjunction([same_key(k) for k in keys]), "full_outer")
+    joined = t.join(s, all_of([same_key(k) for k in keys]), "full_outer")
     here_t, here_s = F.col("t__here").isNotNull(), F.col("s__here").isNotNull()
     missing = ~here_s & ~F.col("t_IsDeleted")
     # A flagged row that the snapshot holds again is an update even under an unchanged hash.
@@ -123,7 +123,7 @@ def upsert_counts(source, target, keys, mode="sha2") -> DataFrame:
     business = [c for c in business_columns(target)]
     s = source.select(*[F.col(k).alias(f"s_{k}") for k in keys], row_hash(business, mode).alias("s_hash"))
     t = target.select(*[F.col(k).alias(f"t_{k}") for k in keys], F.col("HashValue").alias("t_hash"))
-    joined = s.join(t, conjunction([F.col(f"s_{k}") == F.col(f"t_{k}") for k in keys]), "left")
+    joined = s.join(t, all_of([F.col(f"s_{k}") == F.col(f"t_{k}") for k in keys]), "left")
     return joined.agg(F.count(F.when(F.col("t_hash") != F.col("s_hash"), 1)).alias("RowsUpdated"),
                       F.count(F.when(F.col(f"t_{keys[0]}").isNull(), 1)).alias("RowsInserted"))
 
@@ -152,7 +152,7 @@ def dim_upsert(dim, source, keys, mapping, order=None, label=None) -> DataFrame:
     extra = [c for c in (order or []) if c not in {**keys, **mapping}]
     src = one_per_key(source.select(*wanted, *extra), list(keys), order).drop(*extra)
     t, s = _prefixed(dim, "t_"), _prefixed(src, "s_")
-    joined = t.join(s, conjunction([F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]), "full_outer")
+    joined = t.join(s, all_of([F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]), "full_outer")
     new, hit = F.col("t__here").isNull(), F.col("s__here").isNotNull()
     loaded = {**keys, **mapping}
     out = [F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) if c in loaded else F.col(f"t_{c}").alias(c)
@@ -184,7 +184,7 @@ def apply_cdc(target, changes, keys, order, ops=None, op_col="__$operation", str
     needed = list(dict.fromkeys([*cols, "__verb", *order]))
     last = one_per_key(known.select(*needed), keys, order).select(*cols, "__verb")
     t, s = _prefixed(target, "t_"), _prefixed(last, "s_")
-    joined = t.join(s, conjunction([F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]), "full_outer")
+    joined = t.join(s, all_of([F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]), "full_outer")
     here_t, act = F.col("t__here").isNotNull(), F.col("s___verb")
     if strict:
         write = (here_t & (act == "update")) | (~here_t & (act == "insert"))

@@ -27,8 +27,9 @@ def _names(order):
     return [o.lstrip("-") for o in order]
 
 
-def split_needed(df, part, hot_rows) -> int:
+def split_needed(df, part, hot_rows=None) -> int:
     """0 when every group fits one task, else the number of ranges to split the rows into."""
+    hot_rows = hot_rows or HOT_ROWS
     total = df.count()
     if total <= hot_rows:
         return 0
@@ -47,7 +48,7 @@ def _ntile(position, total, tiles):
     return F.when(position <= wide, F.floor((position - 1) / (size + 1)) + 1).otherwise(late)
 
 
-def rank_rows(df, part, order, tiebreak=(), tiles=2, hot_rows=HOT_ROWS, **names) -> DataFrame:
+def rank_rows(df, part, order, tiebreak=(), tiles=2, hot_rows=None, **names) -> DataFrame:
     """Add ``alias=kind`` ranking columns; kinds: row_number, rank, dense_rank, ntile.
 
     ``rank`` and ``dense_rank`` use ``order``; ``row_number`` and ``ntile`` also use ``tiebreak``,
@@ -126,9 +127,9 @@ def rank_groups(df, keys, measure, part, name="rank", alias="total", **aggs) ->
     return rank_rows(settle(grouped, "groups"), part, [f"-{alias}"], **{name: "rank"})
 
 
-def moving_avg(df, part, order, col, n, name="moving_avg", hot_rows=HOT_ROWS) -> DataFrame:
+def moving_avg(df, part, order, col, n, name="moving_avg", hot_rows=None) -> DataFrame:
     """Average over the current row and the ``n - 1`` before it, in a total order."""
-    part = list(part)
+    part, hot_rows = list(part), hot_rows or HOT_ROWS
     frame = (-(n - 1), 0)
     if not split_needed(df, part, hot_rows):
         window = Window.partitionBy(*part).orderBy(*sort_keys(order)).rowsBetween(*frame)
@@ -144,7 +145,7 @@ def moving_avg(df, part, order, col, n, name="moving_avg", hot_rows=HOT_ROWS) ->
             .drop("__pos", "__home", "__block"))
 
 
-def sequence(df, order, name="seq", hot_rows=HOT_ROWS) -> DataFrame:
+def sequence(df, order, name="seq", hot_rows=None) -> DataFrame:
     """Dense 1..n numbering in the given total order."""
     return rank_rows(df, [], order, hot_rows=hot_rows, **{name: "row_number"})
 
