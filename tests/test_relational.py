@@ -32,6 +32,19 @@ def test_anti_and_semi(sides, rows):
     assert joins.exists_any(left, F.col("v") == 4) and not joins.exists_any(left, F.col("v") == 9)
 
 
+def test_a_table_can_meet_itself(spark, rows):
+    df = frame(spark, [(1, 2), (2, 3), (3, 9)], "k int, p int")
+    assert rows(joins.inner(df, df.select("k", F.col("p").alias("pp")), {"p": "k"})) == [(1, 2, 3), (2, 3, 9)]
+    assert rows(joins.anti(df, df, {"p": "k"}), "k") == [(3,)]
+    assert rows(joins.semi(df, df, {"p": "k"}), "k") == [(1,), (2,)]
+    assert rows(joins.lookup(df, df, {"p": "k"}, [F.col("p").alias("next")]), "k", "next") == [(1, 3), (2, 9), (3, None)]
+
+
+def test_text_lengths(spark, rows):
+    df = frame(spark, [("abc", None), ("a", None)], "a string, b string")
+    assert rows(quality.check_lengths(df, {"a": 2, "b": 5})) == [("a", 3, 2, "failed"), ("b", 0, 5, "passed")]
+
+
 def test_checked_broadcast(spark, plan):
     big, small = spark.range(1000).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
     within = big.hint("merge").join(joins.checked_broadcast(small, rows=50), "k")

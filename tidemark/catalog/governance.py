@@ -23,6 +23,12 @@ def _(t):
     return one.unionByName(two).select("name", "duplicate_keys", "status")
 
 
+@query("dq_text_length", """SELECT 'lang' AS name, CAST(max(length(lang)) AS INTEGER) AS longest, 10 AS allowed, 'passed' AS status FROM documents
+ UNION ALL SELECT 'text', CAST(max(length(text)) AS INTEGER), 50, CASE WHEN max(length(text)) <= 50 THEN 'passed' ELSE 'failed' END FROM documents""")
+def _(t):
+    return quality.check_lengths(t.documents, {"lang": 10, "text": 50})
+
+
 @query("dq_required_column", "SELECT o_orderkey, 'loaddatetime' AS missing FROM orders")
 def _(t):
     missing = quality.require(t.orders, ["O_ORDERKEY", "loaddatetime"])

@@ -25,10 +25,15 @@ def all_of(conditions):
     return reduce(lambda p, q: p & q, conditions)
 
 
-def _condition(left, right, on, blank_null=False, null_safe=False):
+def _right(right, on, cols):
+    """Right side with its keys renamed ``__k0, __k1, ...``, so that a table can meet itself."""
+    return right.select(*[F.col(b).alias(f"__k{i}") for i, (_, b) in enumerate(_pairs(on))], *[_col(c) for c in cols])
+
+
+def _match(left, on, blank_null=False, null_safe=False):
     terms = []
-    for a, b in _pairs(on):
-        x, y = left[a], right[b]
+    for i, (a, _) in enumerate(_pairs(on)):
+        x, y = left[a], F.col(f"__k{i}")
         if blank_null:
             terms.append(F.coalesce(x, F.lit("")) == F.coalesce(y, F.lit("")))
         else:
@@ -36,13 +41,22 @@ def _condition(left, right, on, blank_null=False, null_safe=False):
     return all_of(terms)
 
 
+def _no_keys(df, on):
+    return df.drop(*[f"__k{i}" for i in range(len(_pairs(on)))])
+
+
+def _rest(right, on):
+    keys = {b for _, b in _pairs(on)}
+    return [c for c in right.columns if c not in keys]
+
+
 def inner(left, right, on, blank_null=False, null_safe=False) -> DataFrame:
-    """Inner equi-join that drops the right key columns.
+    """Inner equi-join that keeps the left key columns.
 
     ``blank_null`` reads NULL text keys as ``''``; ``null_safe`` lets NULL match NULL.
     """
-    joined = left.join(right, _condition(left, right, on, blank_null, null_safe), "inner")
-    return joined.drop(*[right[b] for _, b in _pairs(on)])
+    other = _right(right, on, _rest(right, on))
+    return _no_keys(left.join(other, _match(left, on, blank_null, null_safe), "inner"), on)
 
 
 def star(fact, dims) -> DataFrame:
@@ -62,13 +76,10 @@ def checked_broadcast(df, rows=BROADCAST_ROWS) -> DataFrame:
 
 def lookup(df, dim, on, cols=None, small=False) -> DataFrame:
     """Left join to a lookup, taking ``cols`` from it. ``small`` asks for a checked broadcast."""
-    pairs = _pairs(on)
-    right = dim.select(*[F.col(b).alias(f"__k{i}") for i, (_, b) in enumerate(pairs)],
-                       *[_col(c) for c in (cols or [c for c in dim.columns if c not in {b for _, b in pairs}])])
+    right = _right(dim, on, _rest(dim, on) if cols is None else cols)
     if small:
         right = checked_broadcast(right)
-    cond = all_of(df[a] == right[f"__k{i}"] for i, (a, _) in enumerate(pairs))
-    return df.join(right, cond, "left").drop(*[f"__k{i}" for i in range(len(pairs))])
+    return _no_keys(df.join(right, _match(df, on), "left"), on)
 
 
 def cross(df, small, rows=PRODUCT_ROWS) -> DataFrame:
@@ -90,14 +101,12 @@ def cross(df, small, rows=PRODUCT_ROWS) -> DataFrame:
 
 def anti(left, right, on, blank_null=False) -> DataFrame:
     """Rows of ``left`` without a partner (LEFT JOIN ... IS NULL, NOT EXISTS)."""
-    keys = right.select(*[b for _, b in _pairs(on)])
-    return left.join(keys, _condition(left, keys, on, blank_null), "left_anti")
+    return left.join(_right(right, on, []), _match(left, on, blank_null), "left_anti")
 
 
 def semi(left, right, on) -> DataFrame:
     """Rows of ``left`` with a partner."""
-    keys = right.select(*[b for _, b in _pairs(on)])
-    return left.join(keys, _condition(left, keys, on), "left_semi")
+    return left.join(_right(right, on, []), _match(left, on), "left_semi")
 
 
 def exists_any(df, predicate) -> bool:
@@ -107,9 +116,8 @@ def exists_any(df, predicate) -> bool:
 
 def changed(source, target, keys, hash_col="HashValue") -> DataFrame:
     """Source rows whose key is in the target under a different hash."""
-    tgt = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col(hash_col).alias("__t_hash"))
-    cond = all_of([source[k] == tgt[f"__t_{k}"] for k in keys])
-    return source.join(tgt, cond & (source[hash_col] != tgt["__t_hash"]), "left_semi")
+    tgt = _right(target, keys, [F.col(hash_col).alias("__hash")])
+    return source.join(tgt, _match(source, keys) & (source[hash_col] != F.col("__hash")), "left_semi")
 
 
 def update_from(target, source, keys, mapping) -> DataFrame:
@@ -117,11 +125,8 @@ def update_from(target, source, keys, mapping) -> DataFrame:
 
     A matched NULL overwrites; unmatched rows keep their values. ``source`` keys must be unique.
     """
-    pairs = _pairs(keys)
-    src = source.select(*[F.col(b).alias(f"__k{i}") for i, (_, b) in enumerate(pairs)],
-                        *[_col(s).alias(f"__v_{t}") for t, s in mapping.items()], F.lit(True).alias("__hit"))
-    cond = all_of([target[a] == src[f"__k{i}"] for i, (a, _) in enumerate(pairs)])
-    return target.join(src, cond, "left").select(*[
+    src = _right(source, keys, [*[_col(s).alias(f"__v_{t}") for t, s in mapping.items()], F.lit(True).alias("__hit")])
+    return target.join(src, _match(target, keys), "left").select(*[
         F.when(F.col("__hit"), F.col(f"__v_{c}")).otherwise(target[c]).alias(c) if c in mapping else target[c]
         for c in target.columns])
 

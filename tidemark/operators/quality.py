@@ -29,6 +29,15 @@ def check_key(df, keys) -> DataFrame:
                                               "passed").otherwise("failed"))
 
 
+def check_lengths(df, limits) -> DataFrame:
+    """One row per text column of ``{column: longest allowed}``: longest value, limit, status."""
+    longest = df.agg(*[F.coalesce(F.max(F.length(c)), F.lit(0)).alias(c) for c in limits])
+    rows = longest.unpivot([], list(limits), "name", "longest")
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("name"))
+    return rows.withColumn("allowed", limit).withColumn(
+        "status", F.when(F.col("longest") <= F.col("allowed"), "passed").otherwise("failed"))
+
+
 def _plain(name):
     return name.strip().lower().replace(" ", "_")
 
