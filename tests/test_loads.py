@@ -60,6 +60,16 @@ def test_split_increments_equal_one_load(tables):
     assert parts[0].unionByName(parts[1]).unionByName(parts[2]).exceptAll(whole).isEmpty()
 
 
+def test_bounds_do_not_shift_with_the_session_zone(spark, source, rows):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert rows(inc.incremental(source, "Last Modified", dt.datetime(2024, 1, 1)), "id") == [(2,), (3,), (4,)]
+        assert inc.high_water(source, "Last Modified") == dt.datetime(2024, 1, 3)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_advance_touches_one_object(spark, rows):
     marks = spark.createDataFrame([("a", dt.datetime(2024, 1, 1)), ("b", dt.datetime(2024, 1, 1))],
                                   "table_name string, last_loaded_ts timestamp_ntz")

@@ -1,11 +1,25 @@
 """Date and time expressions. Clock values are parameters, so a rerun gives the same rows."""
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .conditional import _col
 
 
+def literal(value, dtype) -> Column:
+    """A driver value as a constant of a column's type.
+
+    A Python time goes to a zone-less column as written; as a plain literal it would be an instant
+    and shift by the session's zone.
+    """
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(value, datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(dtype)
+
+
 def parse_ts(c, fmt="yyyy-MM-dd") -> Column:
     """Timestamp without zone; text that does not fit ``fmt`` becomes NULL."""
     return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")

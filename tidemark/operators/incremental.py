@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditional import _col
-from ..functions.dates import shift_days
+from ..functions.dates import literal, shift_days
 from .quality import resolve_column
 from .windows import latest
 
@@ -17,10 +17,6 @@ def high_water(df, col):
     return latest(df, col)
 
 
-def _bound(value, dtype):
-    return F.lit(value).cast(dtype)
-
-
 def incremental(df, col, last, hi=None, inclusive=False, lookback_days=0) -> DataFrame:
     """Rows in ``(last, hi]``, or ``[last, hi]`` when inclusive; ``hi`` defaults to the maximum.
 
@@ -32,11 +28,11 @@ def incremental(df, col, last, hi=None, inclusive=False, lookback_days=0) -> Dat
         raise KeyError(f"watermark column {col!r} is missing")
     dtype = df.schema[name].dataType
     hi = high_water(df, name) if hi is None else hi
-    low = _bound(last, dtype)
+    low = literal(last, dtype)
     if lookback_days:
         low = shift_days(low, -lookback_days).cast(dtype)
     c = _col(f"`{name}`")
-    return df.filter((c >= low if inclusive else c > low) & (c <= _bound(hi, dtype)))
+    return df.filter((c >= low if inclusive else c > low) & (c <= literal(hi, dtype)))
 
 
 def null_watermarks(df, col) -> DataFrame:
@@ -46,7 +42,7 @@ def null_watermarks(df, col) -> DataFrame:
 
 def advance(control, name, hi, key="table_name", value="last_loaded_ts", where=True) -> DataFrame:
     """Control rows with one object's watermark set; call after its data is written."""
-    return control.withColumn(value, F.when((F.col(key) == name) & F.lit(where), F.lit(hi).cast(control.schema[value].dataType))
+    return control.withColumn(value, F.when((F.col(key) == name) & F.lit(where), literal(hi, control.schema[value].dataType))
                               .otherwise(F.col(value)))
 
 
@@ -67,5 +63,5 @@ def extract(df, window=None, columns=None, blank_cols=(), col=None) -> DataFrame
     if window is not None:
         low, high = window
         dtype = df.schema[col].dataType
-        rows = df.filter((F.col(col) > _bound(low, dtype)) & (F.col(col) <= _bound(high, dtype)))
+        rows = df.filter((F.col(col) > literal(low, dtype)) & (F.col(col) <= literal(high, dtype)))
     return rows.select(*[F.lit("").alias(c) if c.lower() in blank else F.col(c) for c in columns])
