@@ -229,8 +229,36 @@ def test_failed_job_keeps_the_published_table(spark, source, ledger, rows):
     assert "repeated source key" in failed["ErrorMsg"]
 
 
+def test_adhoc_window(spark, source, ledger, rows):
+    root = scratch_path(spark, "root")
+    spec = loads.LoadSpec(**SPEC)
+    loads.run_load(ledger, source.filter("id = 1"), spec, root, 1, T1)
+    loads.run_load(ledger, source, spec, root, 2, T2, bounds=("2024-01-01", "2024-01-02"))
+    assert rows(loads.current_table(ledger, spec), "id") == [(1,), (2,), (3,)]
+    run = ledger.runs().filter("LoadType = 'Adhoc'").first()
+    assert (run["ETLMinValue"], run["ETLMaxValue"], run["LoadStatus"]) == ("2024-01-01", "2024-01-02", "Completed")
+
+
+def test_throughput_is_recorded(ledger):
+    run = ledger.start(ETLControlID=1)
+    event = ledger.complete(run, FileSizeInBytes=1_000_000, RowsInserted=1)
+    assert event["RunTimeInSecond"] == 2 and str(event["ThroughputInKbps"]) == "4000.00"
+    assert str(ledger.runs().first()["ThroughputInKbps"]) == "4000.00"
+
+
+def test_deletion_marks_need_a_whole_source(spark, source, ledger):
+    spec = loads.LoadSpec(**SPEC, mark_deleted=True)
+    with pytest.raises(ValueError):
+        loads.run_load(ledger, source, spec, "unused", 1, T1)
+    whole = loads.LoadSpec(3, "whole", keys=["id"], columns=["id", "v"], mark_deleted=True)
+    root = scratch_path(spark, "root")
+    loads.run_load(ledger, source, whole, root, 1, T1)
+    assert loads.run_load(ledger, source.filter("id > 1"), whole, root, 2, T2)["RowsMarkedAsDeleted"] == 1
+    assert loads.current_table(ledger, whole).filter("IsDeleted").first()["id"] == 1
+
+
 def test_keyless_job_reloads(spark, source, ledger):
-    spec = loads.LoadSpec(2, "keyless", columns=["id", "v"])
+    spec = loads.LoadSpec(2, "keyless", columns=["id", "v"], watermark="last_modified")
     root = scratch_path(spark, "root")
     for batch in (1, 2):
         loads.run_load(ledger, source, spec, root, batch, T1)

@@ -180,6 +180,16 @@ def test_masks(spark, rows):
     assert govern.mask(df, df.columns, unmasked=True) is df
 
 
+def test_row_filter_as_view_and_as_function(spark, tables, rows, plan):
+    tables.customer.createOrReplaceTempView("customers_seen")
+    name = govern.predicate_function(spark, "customers_of", "customers_seen", "c_mktsegment")
+    by_function = spark.sql(f"SELECT * FROM {name}('BUILDING')")
+    view = govern.row_filter_view(tables.customer, "building_only", "c_mktsegment", "BUILDING")
+    assert rows(by_function) == rows(spark.table(view)) and by_function.count() > 0
+    assert "EqualTo(c_mktsegment,BUILDING)" in plan(by_function)
+    assert spark.sql(f"SELECT * FROM {name}(NULL)").isEmpty()
+
+
 def test_row_filter_reaches_the_scan(tables, plan):
     assert "EqualTo(c_mktsegment,BUILDING)" in plan(govern.row_filter(tables.customer, "c_mktsegment", "BUILDING"))
 

@@ -51,8 +51,10 @@ def _(t):
 
 @query("udf_table_predicate", REGIONAL_SQL)
 def _(t):
-    name = govern.row_filter_view(_regional(t), t.table_name("asia"), "r_name", "ASIA")
-    return t.spark.sql(f"SELECT c_custkey, r_name FROM {name}")
+    view = t.table_name("regional")
+    _regional(t).createOrReplaceTempView(view)
+    name = govern.predicate_function(t.spark, t.table_name("rows_of"), view, "r_name")
+    return t.spark.sql(f"SELECT c_custkey, r_name FROM {name}('ASIA')")
 
 
 @query("gov_mask_default", """SELECT o_orderkey, CASE WHEN o_totalprice > 1000 THEN CAST(0 AS DOUBLE) END AS o_totalprice,

@@ -1,8 +1,9 @@
 """Append-only audit events. A run's state is its last event."""
 
+import time
 from contextlib import contextmanager
 from datetime import datetime, timezone
-import time
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,6 +75,9 @@ class Ledger:
         event |= {"ETLEndTime": now, "EventTime": now, "LoadStatus": status, "IsLoadSuccess": status == COMPLETED,
                   "RunTimeInSecond": int((now.replace(microsecond=0)
                                           - event["ETLStartTime"].replace(microsecond=0)).total_seconds())}
+        if event.get("FileSizeInBytes") and event["RunTimeInSecond"]:
+            rate = Decimal(event["FileSizeInBytes"]) * 8 / 1000 / event["RunTimeInSecond"]
+            event["ThroughputInKbps"] = rate.quantize(Decimal("0.01"))
         return self._write(event)
 
     def complete(self, run_id, **counts):

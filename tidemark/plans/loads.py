@@ -46,7 +46,7 @@ class LoadSpec:
 def current_table(ledger, spec):
     """Content published by the last completed run, or None."""
     path = ledger.last_sink(spec.control_id)
-    return read_parquet(ledger.spark, path) if path else None
+    return read_parquet(ledger.spark, path).drop(CHANGE) if path else None
 
 
 def first_bound(dtype):
@@ -68,37 +68,48 @@ def wanted_columns(spec, rows):
     return list(dict.fromkeys([*spec.columns, *(spec.order or [])]))
 
 
-def run_load(ledger, source, spec, root, batch_id, now):
+def run_load(ledger, source, spec, root, batch_id, now, bounds=None):
     """Extract, upsert or reload, publish, record. Returns the completed counts.
 
+    ``bounds`` = (low, high) makes it an ad-hoc load of that window. Objects without both key and
+    other columns are reloaded whole, so their watermark is not used.
     The change counts come from the written folder's own label column, read back as one column.
     """
     spark = ledger.spark
     target = current_table(ledger, spec)
+    keep = spec.columns or source.columns
+    keyed = bool(spec.keys and set(business_columns(source.select(*keep))) - set(spec.keys))
+    windowed = bool(keyed and spec.watermark)
+    if windowed and spec.mark_deleted:
+        raise ValueError("a window of the source cannot tell which target rows were deleted")
     low = high = None
-    if spec.watermark:
-        spec.watermark = resolve_column(source, spec.watermark)
-        dtype = source.schema[spec.watermark].dataType
-        low = last_bound(ledger, spec, dtype) if target is not None else first_bound(dtype)
-        high = high_water(source, spec.watermark)
-    bounds = {k: None if v is None else str(v) for k, v in (("ETLMinValue", low), ("ETLMaxValue", high))}
-    with with_audit(ledger, ETLControlID=spec.control_id, ETLBatchID=batch_id, Source=spec.name, **bounds) as counts:
+    if windowed:
+        column = resolve_column(source, spec.watermark)
+        if column is None:
+            raise KeyError(f"{spec.name} has no watermark column {spec.watermark!r}")
+        dtype = source.schema[column].dataType
+        if bounds:
+            low, high = bounds
+        else:
+            low = last_bound(ledger, spec, dtype) if target is not None else first_bound(dtype)
+            high = high_water(source, column)
+    kind = "Adhoc" if windowed and bounds else "Incremental" if windowed else "Full"
+    window = {k: None if v is None else str(v) for k, v in (("ETLMinValue", low), ("ETLMaxValue", high))}
+    with with_audit(ledger, ETLControlID=spec.control_id, ETLBatchID=batch_id, Source=spec.name,
+                    LoadType=kind, **window) as counts:
         rows = source
-        if spec.watermark:
-            rows = incremental(source, spec.watermark, low, high, lookback_days=spec.lookback_days)
+        if windowed:
+            rows = incremental(source, column, low, high, lookback_days=spec.lookback_days)
         rows = extract(rows, columns=wanted_columns(spec, rows), blank_cols=spec.blank_cols)
         # A folder of its own per attempt: a repeated batch never writes over the one it reads.
         path = f"{root}/{spec.name}/batch_{batch_id}-{uuid.uuid4().hex[:8]}"
-        keep = spec.columns or rows.columns
-        keyed = spec.keys and set(business_columns(rows.select(*keep))) - set(spec.keys)
         if not keyed:
             written = full_reload(rows.select(*keep), batch_id, now).withColumn(CHANGE, F.lit("insert"))
         elif target is None:
             first = one_per_key(rows, spec.keys, spec.order).select(*keep)
             written = stamp_audit_cols(first, batch_id, now).withColumn(CHANGE, F.lit("insert"))
         else:
-            base = target.drop(CHANGE)
-            written = hash_upsert(base, rows, spec.keys, batch_id, now, order=spec.order,
+            written = hash_upsert(target, rows, spec.keys, batch_id, now, order=spec.order,
                                   mark_deleted=spec.mark_deleted, label=CHANGE)
         written.write.mode("errorifexists").parquet(path)
         report = change_counts(spark.read.parquet(path).select(CHANGE), CHANGE).first()
