@@ -51,6 +51,8 @@ def test_checked_broadcast(spark, plan):
     beyond = joins.checked_broadcast(small, rows=49)
     assert "BroadcastHashJoin" in plan(big.join(joins.checked_broadcast(small, rows=50), "k"))
     assert beyond is small and within is not None
+    assert joins.checked_broadcast(small, rows=50, size=100) is small
+    assert joins.fits(small.limit(0), 0)
 
 
 def test_lookup_keeps_unmatched_rows(sides, rows):

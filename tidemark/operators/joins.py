@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.conditional import _col
 
-# Largest row count a hinted broadcast may have.
+# Largest row count and text size a hinted broadcast may have.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Largest row count of the small side of a product.
 PRODUCT_ROWS = 1_000
 
@@ -64,14 +65,19 @@ def star(fact, dims) -> DataFrame:
     return reduce(lambda acc, d: inner(acc, d[0], d[1]), dims, fact)
 
 
-def fits(df, rows) -> bool:
-    """True when ``df`` has at most ``rows`` rows; stops counting past the bound."""
-    return df.limit(rows + 1).count() <= rows
+def fits(df, rows, size=BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``rows`` rows of ``size`` bytes together, written as JSON.
+
+    Reads no more than one row past the bound.
+    """
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    found = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length(line)), F.lit(0))).first()
+    return found[0] <= rows and found[1] <= size
 
 
-def checked_broadcast(df, rows=BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it is within ``rows``; beyond that leave the join to the optimizer."""
-    return F.broadcast(df) if fits(df, rows) else df
+def checked_broadcast(df, rows=BROADCAST_ROWS, size=BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` when it is within both bounds; beyond them leave the join to the optimizer."""
+    return F.broadcast(df) if fits(df, rows, size) else df
 
 
 def lookup(df, dim, on, cols=None, small=False) -> DataFrame:

@@ -188,7 +188,8 @@ def top_k(df, part, order, k, name="rank") -> DataFrame:
     """Rows ranked at most ``k`` in their group, ties kept.
 
     The rank filter lets each task drop all but its own first ``k`` (and their ties) before the
-    shuffle, so what a group gathers follows its result and not its size.
+    shuffle, so what a group gathers follows its result and not its size. Where a huge share of a
+    group may tie at the top, rank with ``rank_rows`` and filter instead.
     """
     window = Window.partitionBy(*part).orderBy(*sort_keys(order))
     return df.withColumn(name, F.rank().over(window)).filter(F.col(name) <= k).withColumn(name, F.col(name).cast("long"))

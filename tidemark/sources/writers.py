@@ -9,13 +9,14 @@ from ..schemas import with_audit_fields
 
 # Text is written as it is; by default the CSV writer would trim values.
 UNTRIMMED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-# Largest row count written as one file on request.
+# Largest row count and size written as one file on request.
 SINGLE_FILE_ROWS = 1_000_000
+SINGLE_FILE_BYTES = 512 * 1024 * 1024
 
 
 def write_csv(df, path, single=False, rows=SINGLE_FILE_ROWS):
-    """CSV with a header. ``single`` gives one file for results within ``rows``; larger ones stay split."""
-    if single and fits(df, rows):
+    """CSV with a header. ``single`` gives one file for results within the bounds; larger ones stay split."""
+    if single and fits(df, rows, SINGLE_FILE_BYTES):
         df = df.coalesce(1)
     df.write.mode("overwrite").csv(path, header=True, **UNTRIMMED)
 
