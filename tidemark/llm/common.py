@@ -5,6 +5,7 @@ import tempfile
 import zipfile
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 _shipped = {}
 
@@ -58,3 +59,15 @@ def flushed(rows, schema, size=2000):
             held = []
     if held:
         yield batch_of(schema, held)
+
+
+def row_key(doc_id, text):
+    """Digest column that tells rows apart by id and text; NULLs count as values of their own."""
+    return F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.when(text.isNull(), "n").otherwise("t"), F.coalesce(text, F.lit(""))), 256))
+
+
+def unused(names, stem):
+    """A name stem with which no column starts, so internal columns cannot clash with the caller's."""
+    while any(n.lower().startswith(stem) for n in names):
+        stem += "_"
+    return stem

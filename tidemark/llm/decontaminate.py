@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .common import bare, batch_of, flushed, rows_of
+from .common import bare, batch_of, flushed, rows_of, unused
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 13
@@ -104,12 +104,6 @@ def _machine(shared, key, size):
     return _automaton(key, shared.value, size)
 
 
-def _unused(names, stem):
-    while any(n.lower().startswith(stem) for n in names):
-        stem += "_"
-    return stem
-
-
 def _pass(docs, text_col, items, size, own):
     """One block scanned for: adds its findings to the columns ``own``_n, ``own``_hits and ``own``_items."""
     shared = items.sparkSession.sparkContext.broadcast(tuple((r[0], r[1]) for r in items.select("item_id", "text").collect()))
@@ -150,7 +144,7 @@ def find(docs, benchmark, size=WINDOW, block_bytes=BLOCK_BYTES, text_col="text",
     each block. Nothing is shuffled; between blocks the findings are written to the shared folder, so no task holds
     more than one automaton.
     """
-    own = _unused(docs.columns, "__found")
+    own = unused(docs.columns, "__found")
     blocks = list(_blocks(bare(benchmark, item_id=item_col, text=item_text_col), block_bytes))
     for k, block in enumerate(blocks):
         docs = _pass(settle(docs, "windows") if k else docs, text_col, block, size, own)

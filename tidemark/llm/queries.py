@@ -2,18 +2,38 @@
 
 import public_tokenizers
 
-from . import decontaminate, encoding, secrets, token_counts
+from pyspark.sql import functions as F
+
+from . import decontaminate, encoding, html_text, line_dedup, secrets, simhash, token_counts, toxicity
 from .common import table
 
 
+def op1_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark, sf_dir):
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_bpe(spark, sf_dir):
     return encoding.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_line_dedup(spark, sf_dir):
+    docs, own = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", F.col(f"{own}_n").alias("n_lines"), F.col(f"{own}_gone").alias("n_removed"))
+
+
 def op9_decontamination(spark, sf_dir):
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -22,5 +42,6 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secrets, op6_bpe, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_simhash, op3_secrets, op5_toxicity, op6_bpe, op7_line_dedup, op9_decontamination,
+                                   op10_token_counts)}
 ORACLES = {}
