@@ -4,7 +4,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, encoding, html_text, line_dedup, secrets, simhash, token_counts, toxicity
+from . import decontaminate, embeddings, encoding, html_text, line_dedup, secrets, simhash, token_counts, toxicity, urls
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op3_secrets(spark, sf_dir):
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_embeddings(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -34,6 +38,10 @@ def op7_line_dedup(spark, sf_dir):
     return docs.select("doc_id", "text", F.col(f"{own}_n").alias("n_lines"), F.col(f"{own}_gone").alias("n_removed"))
 
 
+def op8_urls(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark, sf_dir):
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +50,6 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_simhash, op3_secrets, op5_toxicity, op6_bpe, op7_line_dedup, op9_decontamination,
-                                   op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_simhash, op3_secrets, op4_embeddings, op5_toxicity, op6_bpe, op7_line_dedup, op8_urls,
+                                   op9_decontamination, op10_token_counts)}
 ORACLES = {}
