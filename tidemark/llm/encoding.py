@@ -77,12 +77,13 @@ def decode(encoded, path, pattern=bpe.PATTERN):
     return encoded.mapInArrow(run, "doc_id bigint, data binary")
 
 
-def round_trip(docs, path, pattern=bpe.PATTERN, leaf=LEAF_BYTES, id_col="doc_id", text_col="text"):
-    """Digest of encoding and decoding in one pass: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
+def round_trip(docs, path, pattern=bpe.PATTERN, leaf=LEAF_BYTES, with_ids=False, id_col="doc_id", text_col="text"):
+    """Digest of encoding and decoding in one pass: ``doc_id, n_tokens, ids_sha256, decoded_sha256``, and ``ids`` if asked for.
 
-    The same as ``encode`` and then ``decode`` of its ids, without writing the ids. Edge cases as there.
+    The same as ``encode`` and then ``decode`` of its ids, without writing the ids between. Edge cases as there.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    schema = pa.schema([*fields, *[("ids", pa.list_(pa.int32()))] * with_ids])
 
     def run(batches):
         vocabulary = bpe.load(path, pattern)
@@ -91,9 +92,10 @@ def round_trip(docs, path, pattern=bpe.PATTERN, leaf=LEAF_BYTES, id_col="doc_id"
         def digest(doc_id, text):
             ids = encode_text(text, path, pattern, leaf)
             return (doc_id, len(ids), hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
-                    hashlib.sha256(vocabulary.decode(ids)).hexdigest())
+                    hashlib.sha256(vocabulary.decode(ids)).hexdigest(), *[ids] * with_ids)
 
         for batch in batches:
-            yield from flushed((digest(i, t) for i, t in rows_of(batch, "doc_id", "text")), schema)
+            yield from flushed((digest(i, t) for i, t in rows_of(batch, "doc_id", "text")), schema, 64)
 
-    return bare(docs, doc_id=id_col, text=text_col).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return bare(docs, doc_id=id_col, text=text_col).mapInArrow(
+        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
