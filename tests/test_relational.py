@@ -45,29 +45,31 @@ def test_text_lengths(spark, rows):
     assert rows(quality.check_lengths(df, {"a": 2, "b": 5})) == [("a", 3, 2, "failed"), ("b", 0, 5, "passed")]
 
 
-def test_checked_broadcast(spark, plan):
-    big, small = spark.range(1000).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
-    within = big.hint("merge").join(joins.checked_broadcast(small, rows=50), "k")
-    beyond = joins.checked_broadcast(small, rows=49)
-    assert "BroadcastHashJoin" in plan(big.join(joins.checked_broadcast(small, rows=50), "k"))
-    assert beyond is small and within is not None
-    assert joins.checked_broadcast(small, rows=50, size=100) is small
-    assert joins.fits(small.limit(0), 0)
+def test_no_join_gathers_a_side_to_size_it(tables, plan):
+    import __spark_entry__ as contract
+
+    for name in ("join_broadcast", "num_fx_convert", "sink_distributed", "audit_resolve_min"):
+        text = plan(contract.queries()[name](tables.spark, tables.folder))
+        assert "GlobalLimit" not in text and "Cartesian" not in text, name
 
 
 def test_lookup_keeps_unmatched_rows(sides, rows):
     left, right = sides
-    assert rows(joins.lookup(left, right, ["k"], ["w"], small=True), "v", "w") == [(1, 10), (2, None), (3, None), (4, None)]
+    assert rows(joins.lookup(left, right, ["k"], ["w"]), "v", "w") == [(1, 10), (2, None), (3, None), (4, None)]
 
 
-def test_cross_is_bounded_and_no_product(spark, sides, rows, plan):
-    left, right = sides
-    out = joins.cross(left.select("v"), right.select("w"))
-    assert out.count() == 8
-    assert "CartesianProduct" not in plan(out) and "NestedLoop" not in plan(out)
-    with pytest.raises(ValueError):
-        joins.cross(left, right, rows=1)
-    assert joins.cross(left, right.limit(0)).count() == 0
+def test_update_from_takes_the_last_of_a_repeated_key(spark, rows):
+    target = frame(spark, [(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    source = frame(spark, [(1, "x", 1), (1, "y", 2), (None, "z", 3)], "k int, v string, o int")
+    assert sorted(rows(joins.update_from(target, source, ["k"], {"v": "v"}, order=["o"])), key=str) == [(1, "y"), (2, "b"), (None, "c")]
+    with pytest.raises(Exception, match="repeated source key"):
+        joins.update_from(target, source, ["k"], {"v": "v"}).collect()
+
+
+def test_blank_null_leaves_other_types_alone(spark, rows):
+    left = frame(spark, [("", None, 1), (None, 4, 2)], "a string, b bigint, v int")
+    right = frame(spark, [(None, None, 10), ("", 4, 20), ("", 5, 30)], "a string, b bigint, w int")
+    assert rows(joins.inner(left, right, ["a", "b"], blank_null=True), "v", "w") == [(1, 10), (2, 20)]
 
 
 def test_update_from_null_overwrites(spark, rows):
@@ -141,9 +143,10 @@ def test_pivot_and_back(spark, rows):
     assert agg.unpivot(wide, ["name"], ["HR", "Sales", "IT"], drop_nulls=False).count() == 6
 
 
-def test_concat_group_is_ordered_and_distinct(spark, rows):
+def test_concat_group_is_ordered_and_keeps_repeats(spark, rows):
     df = frame(spark, [("t", "b", 2), ("t", "a", 1), ("t", "b", 2), ("u", "z", 1)], "t string, c string, ord int")
-    assert rows(agg.concat_group(df, ["t"], "c", "ord", "|")) == [("t", "a|b"), ("u", "z")]
+    assert rows(agg.concat_group(df, ["t"], "c", "ord", "|")) == [("t", "a|b|b"), ("u", "z")]
+    assert rows(agg.concat_group(df, ["t"], "c", "ord", "|", distinct=True)) == [("t", "a|b"), ("u", "z")]
 
 
 def test_flag_and_ratio(spark, rows):
@@ -177,7 +180,8 @@ def test_masks(spark, rows):
 
     df = frame(spark, [("secret", "ab", None, 7, dt.date(2024, 1, 1), True)], "a string, b string, c string, n int, d date, f boolean")
     masked = govern.mask(df, df.columns)
-    assert rows(masked) == [("XXXX", "XX", None, 0, dt.date(1900, 1, 1), None)]
+    assert rows(masked) == [("XXXX", "XXXX", None, 0, dt.date(1900, 1, 1), False)]
+    assert govern.mask(df, ["b"], widths={"b": 2}).first()["b"] == "XX"
     assert masked.schema == df.schema or [f.dataType for f in masked.schema] == [f.dataType for f in df.schema]
     assert govern.mask(df, df.columns, unmasked=True) is df
 

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 from compare import differences, duck, duck_side, spark_side
 from conftest import DATA
-from tidemark.operators import windows
+from tidemark.catalog import Tables
 
 # One order, part, supplier, customer, user, segment and nation take a large share.
 HOT = {
@@ -37,7 +37,7 @@ def skewed(tmp_path_factory):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_hot_keys(spark, skewed, name, monkeypatch):
-    monkeypatch.setattr(windows, "HOT_ROWS", 50)  # every ranking takes its split form
+    monkeypatch.setattr(Tables, "split", 12)  # every ranking takes its split form
     got = spark_side(contract.queries()[name](spark, skewed))
     assert not differences(got, duck_side(duck(skewed), contract.oracle_sql()[name]))
 

@@ -75,7 +75,6 @@ def test_latest_folder(spark, fresh):
         spark.range(1).write.parquet(f"{base}/{day}/x.parquet")
     assert paths.latest_partition(spark, base) == f"{base}/2025/11/11"
     assert paths.list_names(spark, base) == ["2024", "2025"]
-    assert len(paths.list_files(spark, base, ".parquet")) >= 4
 
 
 def test_run_path_moves_zone_and_stamp():
@@ -96,14 +95,10 @@ def test_batches_are_idempotent(spark, fresh, rows):
     assert rows(readers.read_parquet(spark, path).groupBy("batch_id").count()) == [(1, 5), (2, 5)]
 
 
-def test_single_file_only_within_the_bound(spark, fresh):
-    one, many = fresh(), fresh()
-    data = spark.range(100).repartition(4)
-    writers.write_csv(data, one, single=True)
-    writers.write_csv(data, many, single=True, rows=50)
-    assert len(paths.list_files(spark, one, ".csv")) == 1
-    assert len(paths.list_files(spark, many, ".csv")) == 4
-    assert readers.read_csv(spark, many).count() == 100
+def test_csv_is_a_folder_of_parts(spark, fresh):
+    path = fresh()
+    writers.write_csv(spark.range(100).repartition(4), path)
+    assert len([n for n in paths.list_names(spark, path) if n.endswith(".csv")]) == 4 and readers.read_csv(spark, path).count() == 100
 
 
 def test_range_partitions_at_the_bounds(spark, fresh, rows):
@@ -148,7 +143,7 @@ def test_entities_without_folder_or_cleaner_are_reported(spark, fresh):
     spark.range(2).write.parquet(f"{base}/Known/2025/01/02/known.parquet")
     spark.range(3).write.parquet(f"{base}/Other/2025/01/02/other.parquet")
     spark.range(3).write.parquet(f"{base}/Flat")
-    got = {n: d.count() for n, d in readers.run_entities(spark, base, {"known": lambda d: d}, said.append)}
+    got = {n: d.count() for _, n, _, d in readers.run_entities(spark, base, {"known": lambda d: d}, said.append)}
     assert got == {"known": 2} and sorted(said) == ["no cleaner for other.parquet", "no dated folder for Flat"]
 
 

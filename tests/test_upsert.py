@@ -160,6 +160,52 @@ def test_change_feed_compatible_codes(spark, rows):
     assert rows(out) == [(1, "x"), (2, "b"), (3, "z")]
 
 
+def test_strict_feed_keeps_a_new_key_that_is_updated_at_once(spark, rows):
+    target = frame(spark, [(1, "a"), (2, "b")], "id int, name string")
+    steps = [(9, "i", 2), (9, "u", 3), (8, "u", 3), (8, "i", 2), (1, "i", 2), (2, "x", 3), (2, "y", 3)]
+    changes = feed(spark, [(k, n, op, bytes([at]), b"\x00") for at, (k, n, op) in enumerate(steps)])
+    out = up.apply_cdc(target, changes, ["id"], ORDER, ops=up.COMPAT_OPS, strict=True)
+    assert rows(out) == [(1, "a"), (2, "y"), (8, "i"), (9, "u")]
+    full = [(1, None, 1), (1, "n", 2), (2, "z", 4), (2, None, 1), (7, "u", 4), (6, "i", 2), (6, None, 1)]
+    changes = feed(spark, [(k, n, op, bytes([at]), b"\x00") for at, (k, n, op) in enumerate(full)])
+    assert rows(up.apply_cdc(target, changes, ["id"], ORDER, strict=True)) == [(1, "n")]
+
+
+def test_null_keys_are_refused_or_matched(spark, rows):
+    schema = "a int, b int, v string"
+    target, source = first_load(spark, [], schema), frame(spark, [(1, None, "x"), (1, 2, "y")], schema)
+    for load in (lambda: up.hash_upsert(target, source, ["a", "b"], 2, T2), lambda: up.upsert_counts(source, target, ["a", "b"]),
+                 lambda: up.dim_upsert(source, source, {"a": "a", "b": "b"}, {"v": "v"}),
+                 lambda: up.apply_cdc(source, source.withColumn("__$operation", F.lit(2)), ["a", "b"], ["v"])):
+        with pytest.raises(PySparkException, match="NULL in the source key"):
+            load().collect()
+    for _ in range(3):
+        target = up.hash_upsert(target, source, ["a", "b"], 2, T2, null_keys="match")
+    assert target.count() == 2
+    assert rows(up.upsert_counts(source, target, ["a", "b"], null_keys="match")) == [(0, 0)]
+    blank = up.hash_upsert(first_load(spark, [(None, None, "p")], "a string, b bigint, v string"), frame(spark, [("", None, "q")], "a string, b bigint, v string"),
+                           ["a", "b"], 2, T2, blank_null_keys=True, label="c")
+    assert [r["c"] for r in blank.collect()] == ["update"]
+
+
+def test_counts_agree_when_a_flagged_row_returns(spark, rows):
+    gone = up.hash_upsert(first_load(spark, [(1, "a", 1)]), frame(spark, []), ["id"], 2, T2, mark_deleted=True)
+    assert rows(up.upsert_counts(frame(spark, [(1, "a", 1)]), gone, ["id"])) == [(1, 0)]
+
+
+def test_hash_tells_microseconds_apart_and_ignores_the_zone(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00.000100' AS a, timestamp'2024-01-01 00:00:00.000900 UTC' AS b")
+    other = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00.000101' AS a, timestamp'2024-01-01 00:00:00.000900 UTC' AS b")
+    zone, seen = spark.conf.get("spark.sql.session.timeZone"), set()
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            seen.add(df.select(up.row_hash(["a", "b"])).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(seen) == 1 and other.select(up.row_hash(["a", "b"])).first()[0] not in seen
+
+
 def test_hot_key_collapses_before_the_shuffle(spark, plan):
     changes = spark.range(1000).select(F.lit(1).alias("id"), F.col("id").alias("v"))
     text = plan(up.one_per_key(changes, ["id"], ["v"]))

@@ -22,8 +22,7 @@ def skewed(spark):
 @pytest.mark.parametrize("part, order, tiles", [(["g"], ["-v"], 2), (["g"], ["v"], 400), ([], ["-v"], 7), ([], ["v"], 4000)])
 def test_split_ranks_equal_plain(skewed, part, order, tiles):
     plain = w.rank_rows(skewed, part, order, ["id"], tiles=tiles, **KINDS)
-    split = w.rank_rows(skewed, part, order, ["id"], tiles=tiles, hot_rows=100, **KINDS)
-    assert w.split_needed(skewed, part, 100)
+    split = w.rank_rows(skewed, part, order, ["id"], tiles=tiles, split=31, **KINDS)
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
 
 
@@ -32,32 +31,40 @@ def test_split_ranks_equal_plain(skewed, part, order, tiles):
 def test_split_ranks_on_random_rows(spark, data):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id int, g int, v int")
     plain = w.rank_rows(df, ["g"], ["v"], ["id"], tiles=3, **KINDS)
-    split = w.rank_rows(df, ["g"], ["v"], ["id"], tiles=3, hot_rows=3, **KINDS)
+    split = w.rank_rows(df, ["g"], ["v"], ["id"], tiles=3, split=9, **KINDS)
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
 
 
 def test_null_groups_are_ranked_when_split(spark):
     df = spark.range(60).select("id", F.when(F.col("id") % 2 == 0, 1).cast("int").alias("g"))
-    split = w.rank_rows(df, ["g"], ["id"], hot_rows=10, rn="row_number")
+    split = w.rank_rows(df, ["g"], ["id"], split=6, rn="row_number")
     assert split.filter("g is null").agg(F.max("rn"), F.count_distinct("rn")).first() == (30, 30)
 
 
-def test_plain_when_groups_are_small(skewed):
-    assert w.split_needed(skewed, ["g"], 5000) == 0
-    assert w.split_needed(skewed, ["id"], 10) == 0
+def test_plain_form_needs_no_pass_before_the_plan(skewed, plan):
+    assert "ranges" not in plan(w.rank_rows(skewed, ["g"], ["v"], rk="rank"))
 
 
-def test_moving_average_over_blocks(skewed):
+def test_rows_that_tie_are_spread_over_the_ranges(spark):
+    tied = spark.range(20_000).select("id", F.lit(1).alias("g"), F.lit(7).alias("v"))
+    sizes = [r["count"] for r in w.place_in_ranges(tied, ["g"], ["v"], 10).groupBy("__range").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * 20_000 / 10
+    split = w.rank_rows(tied, ["g"], ["v"], ["id"], split=10, **KINDS)
+    assert split.agg(F.max("rk"), F.max("dr"), F.max("rn"), F.count_distinct("rn")).first() == (1, 1, 20_000, 20_000)
+
+
+@pytest.mark.parametrize("n, block", [(5, 100), (8, 3), (40, 7)])
+def test_moving_average_over_blocks(skewed, n, block):
     df = skewed.withColumn("v", F.coalesce("v", F.lit(0)))
-    plain = w.moving_avg(df, ["g"], ["id"], "v", 5)
-    split = w.moving_avg(df, ["g"], ["id"], "v", 5, hot_rows=100)
+    plain = w.moving_avg(df, ["g"], ["id"], "v", n)
+    split = w.moving_avg(df, ["g"], ["id"], "v", n, split=20, block=block)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
 
 
 def test_sequences_are_dense(skewed):
-    for out in (w.sequence(skewed, ["id"], hot_rows=100), w.arbitrary_sequence(skewed.repartition(7))):
+    for out in (w.sequence(skewed, ["id"], split=31), w.arbitrary_sequence(skewed.repartition(7))):
         assert out.agg(F.min("seq"), F.max("seq"), F.count_distinct("seq")).first() == (1, 3000, 3000)
-    ordered = w.sequence(skewed, ["-id"], hot_rows=100).orderBy("id").first()
+    ordered = w.sequence(skewed, ["-id"], split=31).orderBy("id").first()
     assert ordered["seq"] == 3000
 
 

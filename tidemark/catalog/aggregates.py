@@ -61,14 +61,19 @@ def _(t):
     return agg.distinct_rows(t.lineitem, "l_partkey", "l_suppkey")
 
 
-@query("agg_string", """SELECT p_brand, string_agg(p_type, ', ' ORDER BY p_type) AS types
+@query("agg_string", """SELECT l_orderkey, string_agg(l_returnflag, ', ' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY l_orderkey""")
+def _(t):
+    return agg.concat_group(t.lineitem, ["l_orderkey"], "l_returnflag", "l_returnflag", ", ", "flags")
+
+
+@query("agg_string_distinct", """SELECT p_brand, string_agg(p_type, ', ' ORDER BY p_type) AS types
  FROM (SELECT DISTINCT p_brand, p_type FROM part) GROUP BY p_brand""")
 def _(t):
-    return agg.concat_group(t.part, ["p_brand"], "p_type", "p_type", ", ", "types")
+    return agg.concat_group(t.part, ["p_brand"], "p_type", "p_type", ", ", "types", distinct=True)
 
 
 @query("agg_string_xml", """SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS lines
- FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY l_orderkey""")
+ FROM lineitem GROUP BY l_orderkey""")
 def _(t):
     return agg.concat_group(t.lineitem, ["l_orderkey"], "l_linenumber", "l_linenumber", ",", "lines")
 

@@ -23,6 +23,9 @@ def query(name, sql=None):
 class Tables:
     """The parquet tables of one scale-factor folder as attributes."""
 
+    # Number of ranges in which rankings are split; None leaves each query its own choice.
+    split = None
+
     def __init__(self, spark, folder):
         self.spark, self.folder = spark, str(folder).rstrip("/")
 
@@ -39,6 +42,12 @@ class Tables:
         return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
+def json_arrays(df, path, chunk):
+    """Input files of one JSON array each. ``chunk`` numbers rows so that a few dozen share a number."""
+    arrays = df.groupBy(chunk.alias("__chunk")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def money(c):
     return F.col(c).cast("decimal(18,2)")
 

@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import natural_id
+from ..ledger import audit
 from ..plans import clean, loads
 from ..sources import writers
-from .base import blank_sql, collapse_sql, printable_sql, query, title_sql, zip_sql
+from .base import blank_sql, collapse_sql, json_arrays, printable_sql, query, title_sql, zip_sql
 
 ASOF, NOW = "2025-01-01", "2025-01-15 08:00:00"
 
@@ -90,6 +92,15 @@ def _(t):
     return out.drop("Procedure_Id").withColumn("n_ids", distinct_ids.scalar())
 
 
+@query("clean_procedure_ids", """SELECT count(*) AS n, count(*) AS n_ids FROM (SELECT DISTINCT user_id % 7 AS a, value < 20 AS b, event_type = 'view' AS c FROM events)""")
+def _(t):
+    # Rows that differ only in which column is NULL get ids of their own.
+    rows = t.events.select((F.col("user_id") % 7).alias("a"), (F.col("value") < 20).alias("b"), (F.col("event_type") == "view").alias("c")).distinct()
+    parts = rows.select(*[F.when(rows[k].cast("int") == 1, "x").otherwise(F.lit(None)).alias(k) for k in ("b", "c")],
+                        *[F.when(F.col("a") == i, "x").alias(f"a{i}") for i in range(7)])
+    return parts.select(natural_id(parts.columns).alias("i")).agg(F.count("*").alias("n"), F.count_distinct("i").alias("n_ids"))
+
+
 @query("clean_encounters", f"""SELECT {TIMED_SQL}, CASE WHEN event_type <> 'view' THEN value ELSE 0 END AS payer_coverage,
  value AS base_encounter_cost, CASE WHEN user_id > 20 THEN value * 2 ELSE 0 END AS total_claim_cost FROM events""")
 def _(t):
@@ -125,15 +136,20 @@ def _(t):
     """Raw files to cleaned batches to the next zone: patients by watermark, payers as a whole snapshot."""
     bronze, silver, gold = t.scratch("bronze"), t.scratch("silver"), t.scratch("gold")
     writers.write_parquet(raw_patients(t), f"{bronze}/Patients/2025/11/11/Patients.parquet")
-    writers.write_json_arrays(raw_payers(t), f"{bronze}/Payers/2025/11/11/Payers.json", F.floor(F.col("ZIP") / (97 * 50_000)))
+    payers = raw_payers(t)
+    # Two sources of payers hand in a file of the same name.
+    for folder, half in (("Payers", F.col("PHONE").isNotNull()), ("OtherPayers", F.col("PHONE").isNull())):
+        json_arrays(payers.filter(half), f"{bronze}/{folder}/2025/11/11/Payers.json", F.floor(F.col("ZIP") / (97 * 50)))
     for batch in (1, 1):  # a repeated batch replaces itself
         counts = loads.bronze_to_silver(t.spark, bronze, silver, clean.registry(ASOF, NOW), batch)
-    assert set(counts) == {"patients", "payers"}
+    assert set(counts) == {"Patients/Patients.parquet", "Payers/Payers.json", "OtherPayers/Payers.json"}
+    assert counts["Payers/Payers.json"] + counts["OtherPayers/Payers.json"] == t.supplier.count()
+    ledger = audit.Ledger(t.spark, t.scratch("ledger"))
     mark = F.lit("2010-01-01").cast("timestamp_ntz").alias("LastWatermarkValue")
     control = t.spark.range(1).select(F.lit("Patients").alias("SourceObjectName"), F.lit("Gold").alias("DestinationZone"),
                                       F.lit("Last Modified").alias("IncrementalColumn"), F.col("id").alias("Controlid"), mark)
-    sources = {"Patients": t.spark.read.parquet(f"{silver}/patients"), "Payers": loads.latest_batch(t.spark, f"{silver}/payers")}
-    loads.load_zone(control, sources, "Gold", gold, 1, full=["Payers"])
-    patients = t.spark.read.parquet(f"{gold}/Patients").select(F.lit("patients").alias("entity"), "id", "city")
-    payers = t.spark.read.parquet(f"{gold}/Payers/batch_1").select(F.lit("payers").alias("entity"), F.col("ID").alias("id"), F.col("CITY").alias("city"))
+    sources = {"Patients": loads.read_batches(t.spark, f"{silver}/patients"), "Payers": loads.latest_batch(t.spark, f"{silver}/payers")}
+    loads.load_zone(control, sources, "Gold", gold, 1, ledger, full=["Payers"])
+    patients = loads.zone_table(ledger, "Gold", "Patients").select(F.lit("patients").alias("entity"), "id", "city")
+    payers = loads.zone_table(ledger, "Gold", "Payers", whole=True).select(F.lit("payers").alias("entity"), F.col("ID").alias("id"), F.col("CITY").alias("city"))
     return patients.unionByName(payers)

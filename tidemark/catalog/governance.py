@@ -58,12 +58,13 @@ def _(t):
 
 
 @query("gov_mask_default", """SELECT o_orderkey, CASE WHEN o_totalprice > 1000 THEN CAST(0 AS DOUBLE) END AS o_totalprice,
- CASE WHEN length(o_orderstatus) < 4 THEN 'X' ELSE 'XXXX' END AS o_orderstatus, 'XXXX' AS o_orderpriority,
- TIMESTAMP '1900-01-01' AS o_orderdate FROM orders""")
+ 'X' AS o_orderstatus, 'XXXX' AS o_orderpriority,
+ TIMESTAMP '1900-01-01' AS o_orderdate, FALSE AS urgent FROM orders""")
 def _(t):
     rows = t.orders.select("o_orderkey", F.when(F.col("o_totalprice") > 1000, F.col("o_totalprice")).alias("o_totalprice"),
-                           "o_orderstatus", "o_orderpriority", "o_orderdate")
-    return govern.mask(rows, ["o_totalprice", "o_orderstatus", "o_orderpriority", "o_orderdate"])
+                           "o_orderstatus", "o_orderpriority", "o_orderdate", (F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    # The status column is declared one character wide; the mask follows the column, never the value.
+    return govern.mask(rows, ["o_totalprice", "o_orderstatus", "o_orderpriority", "o_orderdate", "urgent"], widths={"o_orderstatus": 1})
 
 
 @query("gov_limited_view", "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
@@ -88,13 +89,15 @@ def _(t):
 
 @query("phys_repartition", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey")
 def _(t):
-    spread = layout.repartition(t.lineitem.select("l_suppkey"), 10)
+    lines = t.lineitem.select("l_suppkey")
+    spread = layout.repartition(lines, layout.partitions_for(lines))
     return layout.repartition(spread, None, "l_suppkey").groupBy("l_suppkey").agg(F.count("*").alias("n"))
 
 
 @query("phys_coalesce", "SELECT s_suppkey, s_name FROM supplier")
 def _(t):
-    return layout.coalesce(t.supplier.select("s_suppkey", "s_name"), 2)
+    sellers = t.supplier.select("s_suppkey", "s_name")
+    return layout.coalesce(sellers, layout.partitions_for(sellers))
 
 
 @query("phys_stats", "SELECT count(*) AS n, max(c_custkey) AS top_key FROM customer")

@@ -29,16 +29,18 @@ def _(t):
 @query("join_broadcast", """SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey
  JOIN region ON n_regionkey = r_regionkey""")
 def _(t):
-    nations = joins.lookup(t.nation, t.region, {"n_regionkey": "r_regionkey"}, ["r_name"], small=True)
-    out = joins.lookup(t.customer, nations, {"c_nationkey": "n_nationkey"}, ["n_name", "r_name"], small=True)
+    nations = joins.lookup(t.nation, t.region, {"n_regionkey": "r_regionkey"}, ["r_name"])
+    out = joins.lookup(t.customer, nations, {"c_nationkey": "n_nationkey"}, ["n_name", "r_name"])
     return out.select("c_custkey", "n_name", "r_name")
 
 
 @query("join_cross", """SELECT c_custkey, r_name AS to_region,
  CAST(CAST(c_acctbal AS DECIMAL(18,2)) * (r_regionkey + 1) AS DOUBLE) AS amount FROM customer CROSS JOIN region""")
 def _(t):
-    rates = t.region.select("r_name", (F.col("r_regionkey") + 1).alias("rate"))
-    pairs = joins.cross(t.customer.select("c_custkey", money("c_acctbal").alias("amount")), rates)
+    # Balances in one currency meet the rates from that currency: an equi-join on it.
+    rates = t.region.select(F.lit("USD").alias("from_ccy"), "r_name", (F.col("r_regionkey") + 1).alias("rate"))
+    balances = t.customer.select("c_custkey", money("c_acctbal").alias("amount"), F.lit("USD").alias("ccy"))
+    pairs = joins.inner(balances, rates, {"ccy": "from_ccy"})
     return pairs.select("c_custkey", F.col("r_name").alias("to_region"),
                         as_double(F.col("amount") * F.col("rate")).alias("amount"))
 
@@ -85,7 +87,10 @@ def _(t):
     names = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     left = t.customer.join(names, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.when(F.col("r_name") != "ASIA", F.col("r_name")).otherwise("").alias("code"))
-    return joins.inner(left, _regions_with_gap(t), ["code"], blank_null=True).select("c_custkey", "r_regionkey")
+    # The second key is a number with NULLs on both sides; it matches as it is.
+    number = F.when(F.col("code") != "EUROPE", F.length("code"))
+    right = _regions_with_gap(t).withColumn("size", F.when(F.coalesce("code", F.lit("")) != "EUROPE", F.length(F.coalesce("code", F.lit("")))))
+    return joins.inner(left.withColumn("size", number), right, ["code", "size"], blank_null=True).select("c_custkey", "r_regionkey")
 
 
 @query("join_null_safe", """SELECT c_custkey, r_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -106,6 +111,14 @@ def _(t):
     return joins.update_from(target, src, {"o_custkey": "c_custkey"}, {"o_orderpriority": "tag"})
 
 
+@query("join_update_repeated", """SELECT c_custkey, coalesce(last_status, c_mktsegment) AS c_mktsegment FROM customer LEFT JOIN
+ (SELECT o_custkey, arg_max(o_orderstatus, ROW(o_orderdate, o_orderkey)) AS last_status FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""")
+def _(t):
+    # Customers have many orders: the last one counts, and no customer is doubled.
+    return joins.update_from(t.customer.select("c_custkey", "c_mktsegment"), t.orders, {"c_custkey": "o_custkey"},
+                             {"c_mktsegment": "o_orderstatus"}, order=["o_orderdate", "o_orderkey"])
+
+
 @query("join_lateral_json", """SELECT event_id, event_type AS name, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
  FROM events UNION ALL SELECT event_id, 'user', CAST(user_id AS INTEGER) FROM events""")
 def _(t):

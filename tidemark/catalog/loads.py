@@ -58,24 +58,30 @@ def _(t):
     return t.orders.select("o_orderkey", (F.col("o_custkey") == found["Controlid"]).alias("chosen"))
 
 
-@query("load_zone_job", """SELECT 'events' AS name, count(*) FILTER (ts > TIMESTAMP '2024-01-10') AS n, 'loaded' AS status,
- (SELECT max(ts) FROM events) AS mark FROM events UNION ALL SELECT 'nation', 0, 'no column ts', TIMESTAMP '2024-01-10'
- UNION ALL SELECT 'orders', count(*), 'loaded', NULL FROM orders UNION ALL SELECT 'part', 0, 'no control row', NULL""")
+@query("load_zone_job", """SELECT 'events' AS name, count(*) FILTER (ts > TIMESTAMP '2024-01-10') AS n, 'no new rows' AS status,
+ (SELECT max(ts) FROM events) AS mark, 0 AS unmarked FROM events UNION ALL SELECT 'nation', 0, 'no column ts', TIMESTAMP '2024-01-10', 0
+ UNION ALL SELECT 'orders', count(*), 'loaded', NULL, 0 FROM orders UNION ALL SELECT 'part', 0, 'no control row', NULL, 0
+ UNION ALL SELECT 'marks', count(*) FILTER (event_type <> 'error'), 'no new rows', (SELECT max(ts) FROM events), count(*) FILTER (event_type = 'error') FROM events""")
 def _(t):
-    mark = F.lit("2024-01-10").cast("timestamp_ntz").alias("LastWatermarkValue")
-    name = F.when(F.col("r_name") == "ASIA", "Events").when(F.col("r_name") == "EUROPE", "nation").otherwise(F.col("r_name"))
+    name = F.when(F.col("r_name") == "ASIA", "Events").when(F.col("r_name") == "EUROPE", "nation").when(
+        F.col("r_name") == "AFRICA", "marks").otherwise(F.col("r_name"))
+    mark = F.when(name != "marks", F.lit("2024-01-10")).cast("timestamp_ntz").alias("LastWatermarkValue")
     control_rows = t.region.select(
         F.col("r_regionkey").alias("Controlid"), name.alias("SourceObjectName"),
         F.lit("Gold").alias("DestinationZone"), F.lit("ts").alias("IncrementalColumn"), mark)
-    sources = {"events": t.events, "nation": t.nation, "orders": t.orders, "part": t.part}
-    root = t.scratch("zone")
-    for _ in range(2):  # the same batch again changes nothing
-        after, report = loads.load_zone(control_rows, sources, "gold", root, 1, full=["orders"])
-    stored = {"events": t.spark.read.parquet(f"{root}/events"), "orders": t.spark.read.parquet(f"{root}/orders/batch_1")}
+    # Errors have no watermark in one source, and its object was never loaded: no low bound, and a number to report.
+    marks = t.events.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts")).otherwise(
+        F.when(F.col("event_id") < 0, F.col("ts")))).select("event_id", "ts")
+    sources = {"events": t.events, "nation": t.nation, "orders": t.orders, "part": t.part, "marks": marks}
+    root, ledger = t.scratch("zone"), audit.Ledger(t.spark, t.scratch("ledger"))
+    after, _ = loads.load_zone(control_rows, sources, "gold", root, 1, ledger, full=["orders"])
+    # The advanced control rows are lost; the ledger still knows what was loaded.
+    _, report = loads.load_zone(control_rows, sources, "gold", root, 2, ledger, full=["orders"])
+    stored = {n: loads.zone_table(ledger, "gold", n, n == "orders") for n in ("events", "orders", "marks")}
     counts = None
-    for name, (status, _) in report.items():
+    for name, (status, _, unmarked) in report.items():
         rows = stored[name].agg(F.count("*").alias("n")) if name in stored else t.spark.range(1).select(F.lit(0).cast("bigint").alias("n"))
-        one = rows.select(F.lit(name).alias("name"), "n", F.lit(status).alias("status"))
+        one = rows.select(F.lit(name).alias("name"), "n", F.lit(status).alias("status"), F.lit(unmarked).alias("unmarked"))
         counts = one if counts is None else counts.unionByName(one)
     marks = after.select(F.lower("SourceObjectName").alias("name"), F.col("LastWatermarkValue").alias("mark"))
     return counts.join(marks, "name", "left")
@@ -84,10 +90,11 @@ def _(t):
 @query("load_full", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def _(t):
     root = t.scratch("full")
-    loads.full_load(t.supplier.filter("s_acctbal < 0"), root, 1)
-    path, rows = loads.full_load(t.supplier, root, 2)
+    ledger = audit.Ledger(t.spark, t.scratch("ledger"))
+    loads.full_load(t.supplier.filter("s_acctbal < 0"), f"{root}/1", 1, ledger, "all.supplier")
+    _, rows = loads.full_load(t.supplier, f"{root}/2", 2, ledger, "all.supplier")
     assert rows == t.supplier.count()
-    return t.spark.read.parquet(path)
+    return loads.zone_table(ledger, "all", "supplier", whole=True)
 
 
 @query("load_full_reload_stamped", f"""SELECT l_orderkey, l_linenumber, l_quantity, FALSE AS "IsDeleted", '0' AS "HashValue",
@@ -118,6 +125,47 @@ def _(t):
     return up.upsert_counts(t.customer, _stored(t), ["c_custkey"])
 
 
+@query("load_micro_upsert", f"""SELECT event_id, ts + CASE WHEN user_id % 3 = 0 THEN INTERVAL 800 MICROSECOND ELSE INTERVAL 0 MICROSECOND END AS ts,
+ CASE WHEN ts + CASE WHEN user_id % 3 = 0 THEN INTERVAL 800 MICROSECOND ELSE INTERVAL 0 MICROSECOND END IS DISTINCT FROM ts THEN 'update' ELSE 'same' END AS change FROM events""")
+def _(t):
+    # Times change by less than a millisecond.
+    old = t.events.select("event_id", "ts")
+    new = old.join(t.events.select(F.col("event_id").alias("e"), "user_id"), F.col("event_id") == F.col("e")).select(
+        "event_id", F.when(F.col("user_id") % 3 == 0, F.col("ts") + F.expr("INTERVAL '0.000800' SECOND")).otherwise(F.col("ts")).alias("ts"))
+    return up.hash_upsert(up.stamp_audit_cols(old, 1, NOW1), new, ["event_id"], 2, NOW2, label="change").select("event_id", "ts", "change")
+
+
+@query("load_repeated", f"""SELECT c_custkey, c_nationkey, c_acctbal, CAST(1 AS BIGINT) AS batch, 0 AS inserted FROM
+ (SELECT c_custkey, CASE WHEN c_nationkey > 3 THEN c_nationkey END AS c_nationkey, c_acctbal FROM customer)""")
+def _(t):
+    # The second key column has NULLs. Three loads of one source give one load's rows, and the counts agree.
+    source = t.customer.select("c_custkey", F.when(F.col("c_nationkey") > 3, F.col("c_nationkey")).alias("c_nationkey"), "c_acctbal")
+    target, keys = up.stamp_audit_cols(source.limit(0), 1, NOW1), ["c_custkey", "c_nationkey"]
+    for _ in range(3):
+        target = up.hash_upsert(target, source, keys, 1, NOW1, null_keys="match")
+    counted = up.upsert_counts(source, target, keys, null_keys="match").select(F.col("RowsInserted") + F.col("RowsUpdated"))
+    return target.select(*source.columns, F.col("ETLCreatedBatchID").alias("batch")).withColumn("inserted", counted.scalar())
+
+
+@query("load_control_job", """SELECT event_id, CASE WHEN ts > (SELECT date_trunc('second', max(ts)) FROM events
+ WHERE ts <= TIMESTAMP '2024-01-20') THEN 'changed' ELSE event_type END AS event_type FROM events""")
+def _(t):
+    """Control row to low bound to extract to upsert to ledger, twice."""
+    spec = t.region.filter("r_name = 'ASIA'").select(
+        F.lit("crm").alias("SourceSystem"), F.lit("events").alias("SourceTable"), F.lit("raw").alias("SinkFileRoot"), F.lit("Source").alias("TableType"),
+        F.lit(1).alias("SourceTypeID"), F.lit("Predicate").alias("DeltaDetectType"), F.lit("TS").alias("QueryPredicate"),
+        F.lit('[{"ColumnName": "event_id"}, {"ColumnName": "event_type"}]').alias("ColumnMetaData"))
+    row = control.control_rows(spec, "2025-01-01", NOW1).withColumn("ETLControlID", F.lit(5))
+    ledger, root = audit.Ledger(t.spark, t.scratch("ledger")), t.scratch("controlled")
+    early = t.events.filter("ts <= TIMESTAMP_NTZ '2024-01-20 00:00:00'")
+    loads.run_control(ledger, early, row, root, 1, NOW1, ["event_id"])
+    # What the first load had has no changes that count; a changed watermark would be needed.
+    later = t.events.withColumn("event_type", F.lit("changed"))
+    loads.run_control(ledger, later, row, root, 2, NOW2, ["event_id"])
+    assert loads.run_control(ledger, later, row.withColumn("IsActive", F.lit(False)), root, 3, NOW2, ["event_id"]) is None
+    return loads.current_table(ledger, loads.LoadSpec(5, "events")).select("event_id", "event_type")
+
+
 @query("load_by_keys", f"""SELECT c_custkey AS id, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(2 AS BIGINT) ELSE 1 END AS created
  FROM customer UNION ALL SELECT p_partkey, p_name, CAST(2 AS BIGINT) FROM part""")
 def _(t):
@@ -202,6 +250,22 @@ def _(t):
     return up.apply_cdc(target, up.valid_changes(_feed(t)), ["c_custkey"], ["__$start_lsn", "__$seqval"])
 
 
+@query("cdc_strict", """WITH feed AS (SELECT o_custkey AS k, o_totalprice AS v, o_orderkey AS lsn, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 3 END AS op FROM orders),
+ first_insert AS (SELECT k, min(lsn) AS at FROM feed WHERE op = 2 GROUP BY k),
+ last_update AS (SELECT k, max(lsn) AS at FROM feed WHERE op = 3 GROUP BY k),
+ chosen AS (SELECT c_custkey AS k, c_mktsegment <> 'BUILDING' AS there, i.at AS ins, u.at AS upd FROM customer
+ LEFT JOIN first_insert i ON i.k = c_custkey LEFT JOIN last_update u ON u.k = c_custkey)
+ SELECT c.k AS c_custkey, CASE WHEN there THEN coalesce(f.v, b.c_acctbal) ELSE f.v END AS c_acctbal FROM chosen c JOIN customer b ON b.c_custkey = c.k
+ LEFT JOIN feed f ON f.k = c.k AND f.lsn = CASE WHEN there THEN upd WHEN ins IS NULL THEN NULL WHEN upd > ins THEN upd ELSE ins END
+ WHERE there OR ins IS NOT NULL""")
+def _(t):
+    # An insert and later updates of a new key in one feed: the key is there with the last value.
+    feed = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), F.col("o_orderkey").alias("lsn"),
+                           F.when(F.col("o_orderstatus") == "F", 2).otherwise(3).alias("__$operation"))
+    target = t.customer.filter("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_acctbal")
+    return up.apply_cdc(target, feed, ["c_custkey"], ["lsn"], ops=up.COMPAT_OPS, strict=True)
+
+
 def _specs(t):
     """Parts as source descriptions: brand is the system, part key the table."""
     kind = F.when(F.col("p_type") == "PROMO", "Predicate").when(F.col("p_type") == "SMALL", "ChangeTracking")
@@ -230,7 +294,8 @@ def _(t):
     return out.select("p_partkey", "LoadType", "MaxExpression", "MinExpression", "SinkFilePath", "SinkFileName", "Note")
 
 
-@query("ctl_upsert", f"""SELECT p_brand AS "SourceSystem", '[{{"SQLSource":{{"SchemaName":"dbo","TableName":"' || {TABLE_SQL} || '"}}}}]' AS "Source",
+@query("ctl_upsert", f"""SELECT p_brand AS "SourceSystem", '[{{"SQLSource":{{"SchemaName":"dbo","TableName":"' || {TABLE_SQL} || '"}}' || CASE WHEN p_size < 10
+ THEN ',"FileSource":{{"FileQuoteCharacter":""}}' ELSE '' END || '}}]' AS "Source",
  CASE WHEN p_size > 30 THEN 'old query' ELSE p_name END AS "SourceQuery",
  CASE WHEN p_size > 30 THEN 'kept' WHEN p_size > 15 THEN 'update' ELSE 'insert' END AS change FROM part""")
 def _(t):

@@ -140,7 +140,7 @@ def _(t):
 def _(t):
     # One rate per priority stands for a rate table keyed by currency.
     rates = t.orders.groupBy(F.col("o_orderpriority").alias("ccy")).agg(F.min(F.length("o_orderpriority")).alias("rate"))
-    joined = lookup(t.orders, settle(rates, "rates"), {"o_orderpriority": "ccy"}, ["rate"], small=True)
+    joined = lookup(t.orders, settle(rates, "rates"), {"o_orderpriority": "ccy"}, ["rate"])
     rate = F.col("rate").cast("decimal(6,2)")
     return joined.select("o_orderkey", X.convert(money("o_totalprice"), 75).cast("double").alias("inr"),
                          X.convert(money("o_totalprice"), rate).cast("double").alias("by_rate"))

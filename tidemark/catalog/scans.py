@@ -8,7 +8,7 @@ from ..operators.joins import inner
 from ..operators.layout import balanced
 from ..sources import paths, readers, writers
 from . import cleaning
-from .base import as_double, query
+from .base import as_double, json_arrays, query
 
 CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
@@ -73,7 +73,7 @@ def _(t):
 @query("src_json_array", CUSTOMER_SQL)
 def _(t):
     path = t.scratch("json")
-    writers.write_json_arrays(t.customer, path, F.floor(F.col("c_custkey") / 50_000))
+    json_arrays(t.customer, path, F.floor(F.col("c_custkey") / 50))
     return readers.read_json_array(t.spark, path, t.customer.schema)
 
 
@@ -116,7 +116,7 @@ def _(t):
     writers.write_parquet(t.region, f"{base}/Regions/2025/11/11/regions.parquet")
     registry = cleaning.clean.registry(cleaning.ASOF, cleaning.NOW)
     found = readers.run_entities(t.spark, base, registry, log=lambda message: None)
-    counts = [df.agg(F.lit(name).alias("entity"), F.count("*").alias("n")) for name, df in found]
+    counts = [df.agg(F.lit(name).alias("entity"), F.count("*").alias("n")) for _, name, _, df in found]
     out = counts[0]
     for one in counts[1:]:
         out = out.unionByName(one)

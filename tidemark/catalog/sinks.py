@@ -21,7 +21,7 @@ BATCH, NOW = 7, "2025-01-15 08:00:00"
 @query("sink_csv", PART_SQL)
 def _(t):
     path = t.scratch("csv")
-    writers.write_csv(t.part, path, single=True)
+    writers.write_csv(t.part, path)
     return readers.read_delimited(t.spark, path, t.part.schema)
 
 
@@ -64,9 +64,10 @@ def _(t):
     # Orders are summed to their customer first, so no bucket holds a hot customer's orders.
     # Both sides lie in the same buckets: the join needs no shuffle.
     per_customer = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
-    o = writers.write_bucketed(per_customer, t.table_name("orders_b"), 8, "o_custkey", "o_custkey", t.scratch("bucketed"))
-    c = writers.write_bucketed(t.customer.select("c_custkey", "c_mktsegment"), t.table_name("customer_b"), 8, "c_custkey",
-                               "c_custkey", t.scratch("bucketed"))
+    buyers = t.customer.select("c_custkey", "c_mktsegment")
+    n = writers.buckets_for(buyers)
+    o = writers.write_bucketed(per_customer, t.table_name("orders_b"), n, "o_custkey", "o_custkey", t.scratch("bucketed"))
+    c = writers.write_bucketed(buyers, t.table_name("customer_b"), n, "c_custkey", "c_custkey", t.scratch("bucketed"))
     return o.join(c, o.o_custkey == c.c_custkey).select("o_custkey", "c_mktsegment", "n")
 
 
@@ -85,15 +86,16 @@ def _(t):
 @query("sink_distributed", """SELECT l_orderkey, l_quantity, p_type, n_name FROM lineitem JOIN part ON l_partkey = p_partkey
  JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""")
 def _(t):
-    lines = distribute(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"), "round_robin")
+    # Both sides of the large join lie by its key, the small table goes to every task, the result is spread evenly.
+    lines = distribute(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"), "hash", "l_partkey")
     parts = distribute(t.part.select("p_partkey", "p_type"), "hash", "p_partkey")
     nations = distribute(t.nation.select("n_nationkey", "n_name"), "replicate")
-    sellers = t.supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    sellers = distribute(t.supplier, "round_robin").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
     return joined.select("l_orderkey", "l_quantity", "p_type", "n_name")
 
 
-@query("sink_run_path", """SELECT upper(p_name) AS "Name", upper(p_name) || substring(upper(p_brand), 3, 100) AS "ProductNumber",
+@query("sink_run_path", """SELECT upper(p_name) AS "Name", upper(p_name) || substring(upper(p_brand), 3) AS "ProductNumber",
  format('{:,.2f}', CAST(p_retailprice AS DOUBLE)) AS "ListPrice", substring(upper(p_name), 1, 3) AS "New_Region_Name" FROM part""")
 def _(t):
     base = t.scratch("lake")

@@ -14,15 +14,16 @@ def _customers(t):
     return t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
 
 
+# A few segments or regions hold all rows, so their rankings are split; customers and parts hold few rows each.
 @query("win_row_number", f"SELECT c_custkey, c_mktsegment, c_acctbal, row_number() {BY_SEGMENT} AS row_num FROM customer")
 def _(t):
-    return w.rank_rows(_customers(t), ["c_mktsegment"], ["-c_acctbal"], ["c_custkey"], row_num="row_number")
+    return w.rank_rows(_customers(t), ["c_mktsegment"], ["-c_acctbal"], ["c_custkey"], split=t.split or True, row_num="row_number")
 
 
 @query("win_rank", "SELECT o_orderkey, o_custkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS r FROM orders")
 def _(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
-    return w.rank_rows(rows, ["o_custkey"], ["o_orderpriority"], r="rank").drop("o_orderpriority")
+    return w.rank_rows(rows, ["o_custkey"], ["o_orderpriority"], split=t.split, r="rank").drop("o_orderpriority")
 
 
 @query("win_dense_rank", """SELECT customer_id, avg_qty, dense_rank() OVER (ORDER BY avg_qty DESC) AS dr FROM
@@ -31,18 +32,18 @@ def _(t):
 def _(t):
     sold = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     averages = sold.groupBy(F.col("o_custkey").alias("customer_id")).agg(F.avg("l_quantity").alias("avg_qty"))
-    return w.rank_rows(settle(averages), [], ["-avg_qty"], dr="dense_rank")
+    return w.rank_rows(settle(averages), [], ["-avg_qty"], split=t.split or True, dr="dense_rank")
 
 
 @query("win_ntile", f"SELECT c_custkey, c_mktsegment, c_acctbal, ntile(2) {BY_SEGMENT} AS tile FROM customer")
 def _(t):
-    return w.rank_rows(_customers(t), ["c_mktsegment"], ["-c_acctbal"], ["c_custkey"], tiles=2, tile="ntile")
+    return w.rank_rows(_customers(t), ["c_mktsegment"], ["-c_acctbal"], ["c_custkey"], tiles=2, split=t.split or True, tile="ntile")
 
 
 @query("win_rank_over_agg", f"""SELECT region, product_id, CAST(sum(total_amount) AS DOUBLE) AS revenue,
  rank() OVER (PARTITION BY region ORDER BY sum(total_amount) DESC) AS revenue_rank FROM {FACT_SQL} GROUP BY region, product_id""")
 def _(t):
-    out = w.rank_groups(sales_fact(t), ["region", "product_id"], F.sum("total_amount"), ["region"], "revenue_rank", "revenue")
+    out = w.rank_groups(sales_fact(t), ["region", "product_id"], F.sum("total_amount"), ["region"], "revenue_rank", "revenue", split=t.split or True)
     return out.withColumn("revenue", as_double("revenue"))
 
 
@@ -52,7 +53,7 @@ def _(t):
 def _(t):
     rows = t.lineitem.select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]
-    return w.moving_avg(rows, ["l_partkey"], order, "l_quantity", 5, "avg_qty").drop("l_quantity")
+    return w.moving_avg(rows, ["l_partkey"], order, "l_quantity", 5, "avg_qty", split=t.split).drop("l_quantity")
 
 
 @query("win_arbitrary_seq", """SELECT count(*) AS n, CAST(1 AS BIGINT) AS first_seq, count(*) AS last_seq,

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import seconds_between, shift_days
 from ..operators.incremental import FIRST_WATERMARK
-from ..operators.joins import checked_broadcast
 from ..schemas import AUDIT_EVENTS
 from ..session import settle
 from ..sources.paths import exists
@@ -84,7 +83,7 @@ class Ledger:
         return self._finish(run_id, COMPLETED, {"IsStageLoaded": True, **counts})
 
     def fail(self, run_id, error):
-        return self._finish(run_id, FAILED, {"ErrorMsg": str(error)[:4000]})
+        return self._finish(run_id, FAILED, {"ErrorMsg": str(error)})
 
     def last_sink(self, control_id):
         """Folder the last completed run of an object published, or None."""
@@ -93,6 +92,16 @@ class Ledger:
         row = done.orderBy(F.desc("ETLEndTime"), F.desc("ETLAuditLogID")).select("Sink").first()
         return row[0] if row else None
 
+    def published(self, source):
+        """Folders that completed runs of a named source published, in order of their runs. One short text for each run."""
+        done = self.runs().filter((F.col("Source") == source) & (F.col("LoadStatus") == COMPLETED) & F.col("Sink").isNotNull())
+        return [r[0] for r in done.orderBy("ETLStartTime", "ETLAuditLogID").select("Sink").collect()]
+
+    def high_mark(self, source, dtype):
+        """Greatest high bound that completed runs of a named source recorded, as ``dtype``, or None."""
+        done = self.runs().filter((F.col("Source") == source) & (F.col("LoadStatus") == COMPLETED))
+        return done.agg(F.max(F.col("ETLMaxValue").try_cast(dtype))).first()[0]
+
 
 @contextmanager
 def with_audit(ledger, **fields):
@@ -125,8 +134,8 @@ def resolve_low(log, control, lookback_days=0) -> DataFrame:
     full_start = F.max(F.when(F.col("LoadType") == "Full", F.col("ETLStartTime")))
     step_start = F.max(F.when(F.col("LoadType") == "Incremental", F.col("ETLStartTime")))
     anchors = log.groupBy("ETLControlID").agg(F.coalesce(full_start, step_start).alias("__since"))
-    # Objects are few, their runs may be many: with the small side broadcast no object's runs meet in one task.
-    anchors = checked_broadcast(settle(anchors, "anchors"))
+    # Objects are few, their runs may be many: written first, the small side's size is known when the join is planned.
+    anchors = settle(anchors, "anchors")
     good = successful(log).select("ETLControlID", "ETLMaxValue", "ETLStartTime").join(anchors, "ETLControlID", "left")
     version = F.when(F.col("ETLStartTime") >= F.col("__since"), F.col("ETLMaxValue").try_cast("bigint"))
     lows = good.groupBy("ETLControlID").agg(

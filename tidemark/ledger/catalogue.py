@@ -19,8 +19,8 @@ def target_tables(catalogue, existing=None) -> DataFrame:
     missing = catalogue if existing is None else anti(catalogue, existing, TABLE)
     is_key = F.coalesce(F.col("IsPrimaryKey") == "Yes", F.lit(False))
     named = missing.withColumns({"__ddl": F.concat_ws(" ", "ColumnName", "DataType"), "__key": is_key})
-    columns = concat_group(named, TABLE, "__ddl", "ColumnId", ", ", "ColumnNames")
-    keys = concat_group(named.filter("__key"), TABLE, "ColumnName", "ColumnId", ", ", "KeyColumns")
+    columns = concat_group(named, TABLE, "__ddl", "ColumnId", ", ", "ColumnNames", distinct=True)
+    keys = concat_group(named.filter("__key"), TABLE, "ColumnName", "ColumnId", ", ", "KeyColumns", distinct=True)
     kinds = flag_any(named, TABLE, F.col("__key"), "HasKey").join(flag_any(named, TABLE, ~F.col("__key"), "HasOther"), TABLE)
     load = F.when((F.col("HasKey") == 1) & (F.col("HasOther") == 1), "upsert").otherwise("reload")
     out = columns.join(keys, TABLE, "left").join(kinds, TABLE)

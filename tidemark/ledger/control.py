@@ -1,5 +1,7 @@
 """Control rows: one per object to load."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,9 +74,24 @@ def _groups(df, groups):
     return {g: fields for g, fields in present.items() if fields}
 
 
+def _once(spec) -> DataFrame:
+    """The specification; reading it fails if it names a source and sink twice, which could not be merged."""
+    names = [c for g in (SOURCE_GROUPS, SINK_GROUPS) for fields in g.values() for c in fields.values()]
+    key = ["SourceSystem", *[c for c in [*dict.fromkeys(names), "SinkLoadProcedureName"] if c in spec.columns]]
+    counts = spec.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(F.count("*").alias("__n"))
+    same = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key])
+    repeated = F.raise_error(F.concat(F.lit("repeated specification of "), F.coalesce("SourceSystem", F.lit("NULL"))))
+    checked = F.when(F.col("__n") > 1, repeated.cast("string")).otherwise(F.col("SourceSystem"))
+    return spec.join(counts, same).select(*[checked.alias(c) if c == "SourceSystem" else F.col(c) for c in spec.columns])
+
+
 def control_rows(spec, run_date, now) -> DataFrame:
     """Control rows with their Source, Sink and DeltaDetect JSON."""
     derived = derive_control(spec, run_date)
+    derived = _once(derived.withColumns({c: _opt(derived, c) for c in ("DeltaDetectType", "SourceFileQuoteCharacter")}))
+    # Fixed value: file sources without a quote character get an empty one.
+    quote = F.when(F.col("SourceTypeID") == FILE_SOURCE_TYPE, F.coalesce("SourceFileQuoteCharacter", F.lit("")))
+    derived = derived.withColumn("SourceFileQuoteCharacter", quote.otherwise(F.col("SourceFileQuoteCharacter")))
     predicate = F.col("DeltaDetectType") == "Predicate"
     delta = build_json({
         "QueryPredicate": F.when(predicate, _opt(derived, "QueryPredicate")),

@@ -28,14 +28,15 @@ def distinct_rows(df, *cols) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def concat_group(df, keys, col, order, sep=",", name="value_list") -> DataFrame:
-    """Ordered text concatenation of the distinct ``col`` values of each group.
+def concat_group(df, keys, col, order, sep=",", name="value_list", distinct=False) -> DataFrame:
+    """Ordered text concatenation of the ``col`` values of each group, repeats kept.
 
-    Repeats are removed before the gathering shuffle, so what a group gathers is bounded by
-    its distinct values (column names, categories), not by its rows.
+    The result holds a whole group in one text, so group by a fine key such as an order. With ``distinct`` repeats
+    are removed before the gathering shuffle and a group gathers its distinct values (column names, categories) only.
     """
     order = [order] if isinstance(order, str) else list(order)
-    slim = df.select(*keys, col, *[o for o in order if o != col and o not in keys]).distinct()
+    slim = df.select(*keys, col, *[o for o in order if o != col and o not in keys])
+    slim = slim.distinct() if distinct else slim
     entry = F.struct(*[F.col(o) for o in order], F.col(col).cast("string").alias("__text"))
     gathered = slim.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("__items"))
     return gathered.select(*keys, F.array_join(F.col("__items.__text"), sep).alias(name))

@@ -29,26 +29,29 @@ def predicate_function(spark, name, view, col) -> str:
     return name
 
 
-def default_mask(col, dtype):
-    """Masked value by type: number 0, date 1900-01-01, text up to four X, else NULL; NULL stays NULL."""
+def default_mask(col, dtype, width=4):
+    """Masked value by type: number 0, boolean false, date 1900-01-01, text XXXX, or as many X as a column of ``width`` below
+    four holds, else NULL; NULL stays NULL. The mask never tells the value's own length."""
     c = F.col(col)
     if isinstance(dtype, T.NumericType):
         masked = F.lit(0)
     elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         masked = F.lit("1900-01-01")
     elif isinstance(dtype, T.StringType):
-        masked = F.repeat(F.lit("X"), F.least(F.length(c), F.lit(4)))
+        masked = F.lit("X" * min(width, 4))
+    elif isinstance(dtype, T.BooleanType):
+        masked = F.lit(False)
     else:
         masked = F.lit(None)
     return F.when(c.isNotNull(), masked.cast(dtype)).alias(col)
 
 
-def mask(df, cols, unmasked=False) -> DataFrame:
-    """Default-mask ``cols`` unless the reader may see them."""
+def mask(df, cols, unmasked=False, widths=None) -> DataFrame:
+    """Default-mask ``cols`` unless the reader may see them. ``widths`` names declared widths of narrow text columns."""
     if unmasked:
         return df
-    hidden = set(cols)
-    return df.select(*[default_mask(f.name, f.dataType) if f.name in hidden else F.col(f.name)
+    hidden, widths = set(cols), widths or {}
+    return df.select(*[default_mask(f.name, f.dataType, widths.get(f.name, 4)) if f.name in hidden else F.col(f.name)
                        for f in df.schema.fields])
 
 

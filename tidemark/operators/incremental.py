@@ -1,5 +1,7 @@
 """Watermark windows and control-row lookups."""
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def high_water(df, col):
 def incremental(df, col, last, hi=None, inclusive=False, lookback_days=0) -> DataFrame:
     """Rows in ``(last, hi]``, or ``[last, hi]`` when inclusive; ``hi`` defaults to the maximum.
 
-    Bounds are literals, so they reach the scan. ``lookback_days`` moves the low bound back to
+    ``last`` None has no low bound, for a first load. Bounds are literals, so they reach the scan. ``lookback_days`` moves the low bound back to
     catch late rows; the upsert behind makes the overlap harmless.
     """
     name = resolve_column(df, col)
@@ -28,16 +30,19 @@ def incremental(df, col, last, hi=None, inclusive=False, lookback_days=0) -> Dat
         raise KeyError(f"watermark column {col!r} is missing")
     dtype = df.schema[name].dataType
     hi = high_water(df, name) if hi is None else hi
+    c = _col(f"`{name}`")
+    below = c <= literal(hi, dtype)
+    if last is None:
+        return df.filter(below)
     low = literal(last, dtype)
     if lookback_days:
         low = shift_days(low, -lookback_days).cast(dtype)
-    c = _col(f"`{name}`")
-    return df.filter((c >= low if inclusive else c > low) & (c <= literal(hi, dtype)))
+    return df.filter((c >= low if inclusive else c > low) & below)
 
 
 def null_watermarks(df, col) -> DataFrame:
-    """Rows a watermark can never pick up, to be reported."""
-    return df.filter(F.col(col).isNull())
+    """Rows a watermark can never pick up, to be reported; the condition reaches the scan."""
+    return df.filter(F.col(f"`{col}`").isNull())
 
 
 def advance(control, name, hi, key="table_name", value="last_loaded_ts", where=True) -> DataFrame:
@@ -49,19 +54,33 @@ def advance(control, name, hi, key="table_name", value="last_loaded_ts", where=T
 def control_for(control, name, zone):
     """The control row of an object in a zone, or None."""
     match = (F.lower("SourceObjectName") == name.lower()) & (F.lower("DestinationZone") == zone.lower())
-    return control.filter(match).orderBy("Controlid").first()
+    return active(control).filter(match).orderBy("Controlid").first()
+
+
+def active(control) -> DataFrame:
+    """Control rows in use: all, but those whose ``IsActive`` says otherwise."""
+    return control.filter(F.coalesce(F.col("IsActive").cast("boolean"), F.lit(True))) if "IsActive" in control.columns else control
+
+
+def metadata_columns(text):
+    """Column names of a control row's ``ColumnMetaData``, a JSON array of objects with ``ColumnName``; None if there is none."""
+    return [c["ColumnName"] for c in json.loads(text)] or None if text else None
 
 
 def extract(df, window=None, columns=None, blank_cols=(), col=None) -> DataFrame:
     """Extract of a control row: chosen columns, unsupported ones blanked, optional ``(low, high]``.
 
+    ``columns`` is a list or the row's ``ColumnMetaData`` text. A bound that is None is open.
     Only comparisons and column names are used, so a database source evaluates them itself.
     """
-    columns = columns or df.columns
+    columns = (metadata_columns(columns) if isinstance(columns, str) else columns) or df.columns
     blank = {b.lower() for b in blank_cols}
     rows = df
     if window is not None:
         low, high = window
         dtype = df.schema[col].dataType
-        rows = df.filter((F.col(col) > literal(low, dtype)) & (F.col(col) <= literal(high, dtype)))
+        if low is not None:
+            rows = rows.filter(F.col(col) > literal(low, dtype))
+        if high is not None:
+            rows = rows.filter(F.col(col) <= literal(high, dtype))
     return rows.select(*[F.lit("").alias(c) if c.lower() in blank else F.col(c) for c in columns])

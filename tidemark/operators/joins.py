@@ -1,18 +1,13 @@
-"""Joins. The optimizer picks the strategy; hints appear only behind a size check."""
+"""Joins. The optimizer picks the strategy: adaptive execution broadcasts a side whose shuffled size turned out small."""
 
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.conditional import _col
 
-# Largest row count and text size a hinted broadcast may have.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Largest row count of the small side of a product.
-PRODUCT_ROWS = 1_000
-
 
 def _pairs(on):
     """Normalise a key list or a ``{left: right}`` mapping to (left, right) pairs."""
@@ -35,10 +30,10 @@ def _match(left, on, blank_null=False, null_safe=False):
     terms = []
     for i, (a, _) in enumerate(_pairs(on)):
         x, y = left[a], F.col(f"__k{i}")
-        if blank_null:
+        if blank_null and isinstance(left.schema[a].dataType, T.StringType):
             terms.append(F.coalesce(x, F.lit("")) == F.coalesce(y, F.lit("")))
         else:
-            terms.append(x.eqNullSafe(y) if null_safe else x == y)
+            terms.append(x.eqNullSafe(y) if null_safe or blank_null else x == y)
     return all_of(terms)
 
 
@@ -54,7 +49,7 @@ def _rest(right, on):
 def inner(left, right, on, blank_null=False, null_safe=False) -> DataFrame:
     """Inner equi-join that keeps the left key columns.
 
-    ``blank_null`` reads NULL text keys as ``''``; ``null_safe`` lets NULL match NULL.
+    ``blank_null`` reads NULL text keys as ``''`` and lets NULL keys of other types match; ``null_safe`` lets NULL match NULL.
     """
     other = _right(right, on, _rest(right, on))
     return _no_keys(left.join(other, _match(left, on, blank_null, null_safe), "inner"), on)
@@ -65,46 +60,12 @@ def star(fact, dims) -> DataFrame:
     return reduce(lambda acc, d: inner(acc, d[0], d[1]), dims, fact)
 
 
-def fits(df, rows, size=BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``rows`` rows of ``size`` bytes together, written as JSON.
-
-    Reads no more than one row past the bound.
-    """
-    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    found = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length(line)), F.lit(0))).first()
-    return found[0] <= rows and found[1] <= size
-
-
-def checked_broadcast(df, rows=BROADCAST_ROWS, size=BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` when it is within both bounds; beyond them leave the join to the optimizer."""
-    return F.broadcast(df) if fits(df, rows, size) else df
-
-
-def lookup(df, dim, on, cols=None, small=False) -> DataFrame:
-    """Left join to a lookup, taking ``cols`` from it. ``small`` asks for a checked broadcast."""
+def lookup(df, dim, on, cols=None) -> DataFrame:
+    """Left join to a lookup, taking ``cols`` from it."""
     right = _right(dim, on, _rest(dim, on) if cols is None else cols)
-    if small:
-        right = checked_broadcast(right)
     return _no_keys(df.join(right, _match(df, on), "left"), on)
 
 
-def cross(df, small, rows=PRODUCT_ROWS) -> DataFrame:
-    """Every row of ``df`` with every row of a rate-table-sized ``small``.
-
-    The small side travels as a literal array, so there is no shuffle and no product join.
-    A larger side is refused: a product of two large tables is a keyed conversion instead.
-    """
-    found = small.limit(rows + 1).collect()
-    if len(found) > rows:
-        raise ValueError(f"more than {rows} rows on the small side; join on a key instead")
-    if not found:
-        return df.limit(0).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields])
-    entries = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, small.schema.fields)])
-               for r in found]
-    exploded = df.select("*", F.explode(F.array(*entries)).alias("__small"))
-    return exploded.select(*df.columns, "__small.*")
-
-
 def anti(left, right, on, blank_null=False) -> DataFrame:
     """Rows of ``left`` without a partner (LEFT JOIN ... IS NULL, NOT EXISTS)."""
     return left.join(_right(right, on, []), _match(left, on, blank_null), "left_anti")
@@ -126,11 +87,33 @@ def changed(source, target, keys, hash_col="HashValue") -> DataFrame:
     return source.join(tgt, _match(source, keys) & (source[hash_col] != F.col("__hash")), "left_semi")
 
 
-def update_from(target, source, keys, mapping) -> DataFrame:
+def one_per_key(df, keys, order=None) -> DataFrame:
+    """One row per key: the greatest by ``order``, or an error on a repeated key when no order is given.
+
+    The choice is an aggregate, so repeats of a hot key collapse before the shuffle; the join
+    on the same keys then reuses the partitioning.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*rest) if rest else F.struct(F.lit(1).alias("__one"))
+    if order:
+        picked = df.groupBy(*keys).agg(F.max_by(row, F.struct(*[_col(o) for o in order])).alias("__row"))
+    else:
+        picked = df.groupBy(*keys).agg(F.any_value(row).alias("__row"), F.count("*").alias("__n"))
+        repeated = F.raise_error(F.concat_ws(" ", F.lit("repeated source key"), *[F.col(k).cast("string") for k in keys]))
+        picked = picked.withColumn("__row", F.when(F.col("__n") > 1, repeated.cast(picked.schema["__row"].dataType))
+                                   .otherwise(F.col("__row")))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+
+def update_from(target, source, keys, mapping, order=None) -> DataFrame:
     """UPDATE ... FROM: set ``{target column: source column}`` on matched rows.
 
-    A matched NULL overwrites; unmatched rows keep their values. ``source`` keys must be unique.
+    A matched NULL overwrites; unmatched rows keep their values, and so do rows with a NULL key. Of a repeated source key the
+    last row by ``order`` counts; without an order a repeated key is an error.
     """
+    names = list(dict.fromkeys(b for _, b in _pairs(keys)))
+    used = [c for c in dict.fromkeys([*names, *mapping.values(), *(order or [])])]
+    source = one_per_key(source.select(*used).dropna(subset=names), names, order)
     src = _right(source, keys, [*[_col(s).alias(f"__v_{t}") for t, s in mapping.items()], F.lit(True).alias("__hit")])
     return target.join(src, _match(target, keys), "left").select(*[
         F.when(F.col("__hit"), F.col(f"__v_{c}")).otherwise(target[c]).alias(c) if c in mapping else target[c]

@@ -1,10 +1,14 @@
 """Physical placement: partitions, buckets, statistics, reuse."""
 
+from contextlib import contextmanager
+from math import ceil
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import checked_broadcast
+# Rows of a partition, about.
+ROWS_PER_PARTITION = 1_000_000
 
 
 def balanced(df, *cols, n=None) -> DataFrame:
@@ -18,16 +22,25 @@ def repartition(df, n=None, *cols) -> DataFrame:
     return balanced(df, *cols, n=n) if cols else df.repartition(n)
 
 
+def partitions_for(df, rows=ROWS_PER_PARTITION) -> int:
+    """Partition count by size: the rows of ``df`` over ``rows``."""
+    return max(1, ceil(df.count() / rows))
+
+
 def coalesce(df, n) -> DataFrame:
     return df.coalesce(n)
 
 
 def distribute(df, how, col=None, n=None) -> DataFrame:
-    """``hash`` on a column, ``replicate`` behind a size check, or ``round_robin``."""
+    """``hash`` on a column, ``replicate``, or ``round_robin``.
+
+    Replication is the join's own: adaptive execution sends a side to every task once its size is known to be small, and a side
+    that is not stays partitioned.
+    """
     if how == "hash":
         return balanced(df, col, n=n)
     if how == "replicate":
-        return checked_broadcast(df)
+        return df
     if how == "round_robin":
         return df.repartition(n or df.sparkSession.sparkContext.defaultParallelism)
     raise ValueError(f"unknown distribution {how!r}")
@@ -48,6 +61,14 @@ def analyze(spark, table, cols):
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {names}")
 
 
-def cached(df) -> DataFrame:
-    """Keep a result that several queries reuse; it spills to disk and can be recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def cached(df):
+    """Keep a result for the queries of a ``with`` block; it spills to disk, can be recomputed, and is released at the end.
+
+    What leaves the block must have been computed inside, by a write or an action.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -3,14 +3,16 @@
 Results are new table contents; ``plans.loads`` writes them to a fresh folder and publishes it.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.conditional import _col
 from ..functions.dates import stamp
 from ..functions.hashing import row_hash
 from ..schemas import AUDIT_COLUMNS, UNHASHED_COLUMNS
-from .joins import all_of
+from .joins import all_of, one_per_key
 
 
 def business_columns(df) -> list[str]:
@@ -40,22 +42,23 @@ def stamp_client(df, client_id, name="Client_Id") -> DataFrame:
     return df.withColumn(name, F.lit(client_id))
 
 
-def one_per_key(df, keys, order=None) -> DataFrame:
-    """One row per key: the greatest by ``order``, or an error on a repeated key when no order is given.
+def refuse_null_keys(df, keys) -> DataFrame:
+    """The same rows; reading them fails with a message if one has a NULL in its key."""
+    missing = F.raise_error(F.concat(F.lit("NULL in the source key "), F.lit(", ".join(keys))))
+    first, kind = keys[0], df.schema[keys[0]].dataType
+    some = reduce(lambda p, q: p | q, [F.col(k).isNull() for k in keys])
+    return df.withColumn(first, F.when(some, missing.cast(kind)).otherwise(F.col(first)))
 
-    The choice is an aggregate, so repeats of a hot key collapse before the shuffle; the join
-    on the same keys then reuses the partitioning.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest) if rest else F.struct(F.lit(1).alias("__one"))
-    if order:
-        picked = df.groupBy(*keys).agg(F.max_by(row, F.struct(*[_col(o) for o in order])).alias("__row"))
-    else:
-        picked = df.groupBy(*keys).agg(F.any_value(row).alias("__row"), F.count("*").alias("__n"))
-        repeated = F.raise_error(F.concat_ws(" ", F.lit("repeated source key"), *[F.col(k).cast("string") for k in keys]))
-        picked = picked.withColumn("__row", F.when(F.col("__n") > 1, repeated.cast(picked.schema["__row"].dataType))
-                                   .otherwise(F.col("__row")))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+def _key_match(schema, keys, null_safe=False, blank_null=False):
+    """Equality of ``t_`` and ``s_`` keys. ``blank_null`` reads NULL text as blank and lets other NULLs match."""
+    def same(k):
+        t, s = F.col(f"t_{k}"), F.col(f"s_{k}")
+        if blank_null and isinstance(schema[k].dataType, T.StringType):
+            return F.coalesce(t, F.lit("")) == F.coalesce(s, F.lit(""))
+        return t.eqNullSafe(s) if null_safe or blank_null else t == s
+
+    return all_of([same(k) for k in keys])
 
 
 def _prefixed(df, prefix):
@@ -63,27 +66,30 @@ def _prefixed(df, prefix):
 
 
 def hash_upsert(target, source, keys, batch_id, now, order=None, blank_null_keys=False, mark_deleted=False,
-                mode="sha2", label=None, unique_source=False) -> DataFrame:
+                mode="sha2", label=None, unique_source=False, null_keys="error") -> DataFrame:
     """Type-1 upsert by row hash.
 
+    A NULL in a source key is an error, because it would be inserted again by every load; ``null_keys="match"`` lets NULL meet
+    NULL, and ``blank_null_keys`` also reads NULL text keys as blank.
+
     Matched with another hash: business columns, hash and modified stamps come from the source,
     created stamps stay. Unmatched source rows are inserted. Unchanged rows are not touched. With
     ``mark_deleted`` the source is a full snapshot and target rows missing in it are flagged.
     ``label`` names an optional column telling insert, update, same, kept or delete.
     """
     business = [c for c in business_columns(target)]
+    if null_keys not in ("error", "match"):
+        raise ValueError(f"unknown treatment of NULL keys {null_keys!r}")
+    if null_keys == "error" and not blank_null_keys:
+        source = refuse_null_keys(source, keys)
+    elif blank_null_keys:  # keys that meet the same target row are one key
+        source = source.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in keys if isinstance(source.schema[k].dataType, T.StringType)})
     staged = with_hash(source.select(*business), business, mode)
     if not unique_source:
         wanted = source.select(*business, *[c for c in (order or []) if c not in business])
         staged = with_hash(one_per_key(wanted, keys, order).select(*business), business, mode)
     t, s = _prefixed(target, "t_"), _prefixed(staged, "s_")
-
-    def same_key(k):
-        if blank_null_keys:
-            return F.coalesce(F.col(f"t_{k}"), F.lit("")) == F.coalesce(F.col(f"s_{k}"), F.lit(""))
-        return F.col(f"t_{k}") == F.col(f"s_{k}")
-
-    joined = t.join(s, all_of([same_key(k) for k in keys]), "full_outer")
+    joined = t.join(s, _key_match(target.schema, keys, null_keys == "match", blank_null_keys), "full_outer")
     here_t, here_s = F.col("t__here").isNotNull(), F.col("s__here").isNotNull()
     missing = ~here_s & ~F.col("t_IsDeleted")
     # A flagged row that the snapshot holds again is an update even under an unchanged hash.
@@ -118,14 +124,10 @@ def change_counts(labelled, label) -> DataFrame:
                         tally("delete").alias("RowsMarkedAsDeleted"))
 
 
-def upsert_counts(source, target, keys, mode="sha2") -> DataFrame:
-    """Counts an upsert of ``source`` would report, without building its result."""
-    business = [c for c in business_columns(target)]
-    s = source.select(*[F.col(k).alias(f"s_{k}") for k in keys], row_hash(business, mode).alias("s_hash"))
-    t = target.select(*[F.col(k).alias(f"t_{k}") for k in keys], F.col("HashValue").alias("t_hash"))
-    joined = s.join(t, all_of([F.col(f"s_{k}") == F.col(f"t_{k}") for k in keys]), "left")
-    return joined.agg(F.count(F.when(F.col("t_hash") != F.col("s_hash"), 1)).alias("RowsUpdated"),
-                      F.count(F.when(F.col(f"t_{keys[0]}").isNull(), 1)).alias("RowsInserted"))
+def upsert_counts(source, target, keys, **options) -> DataFrame:
+    """Counts an upsert of ``source`` would report: the upsert's own states, its result columns pruned away."""
+    states = hash_upsert(target, source, keys, 0, "1970-01-01 00:00:00", label="__state_of", **options)
+    return change_counts(states.select("__state_of"), "__state_of").select("RowsUpdated", "RowsInserted")
 
 
 def full_reload(source, batch_id, now) -> DataFrame:
@@ -142,17 +144,21 @@ def load_table(source, target, keys, batch_id, now, **options) -> DataFrame:
     return full_reload(source.select(*business_columns(source)), batch_id, now)
 
 
-def dim_upsert(dim, source, keys, mapping, order=None, label=None) -> DataFrame:
+def dim_upsert(dim, source, keys, mapping, order=None, label=None, null_keys="error") -> DataFrame:
     """Type-1 dimension load: overwrite matched rows, insert new ones, keep the rest.
 
+    A NULL in a source key is an error, or with ``null_keys="match"`` the key of one row.
+
     ``keys`` maps dimension key to source key, ``mapping`` dimension column to source column.
     A matched source value overwrites even when it is NULL.
     """
     wanted = [F.col(s).alias(d) for d, s in {**keys, **mapping}.items()]
     extra = [c for c in (order or []) if c not in {**keys, **mapping}]
-    src = one_per_key(source.select(*wanted, *extra), list(keys), order).drop(*extra)
+    rows = source.select(*wanted, *extra)
+    rows = rows if null_keys == "match" else refuse_null_keys(rows, list(keys))
+    src = one_per_key(rows, list(keys), order).drop(*extra)
     t, s = _prefixed(dim, "t_"), _prefixed(src, "s_")
-    joined = t.join(s, all_of([F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]), "full_outer")
+    joined = t.join(s, _key_match(dim.schema, keys, null_keys == "match"), "full_outer")
     new, hit = F.col("t__here").isNull(), F.col("s__here").isNotNull()
     loaded = {**keys, **mapping}
     out = [F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) if c in loaded else F.col(f"t_{c}").alias(c)
@@ -172,25 +178,43 @@ def valid_changes(changes, lsn="__$start_lsn") -> DataFrame:
 
 
 def apply_cdc(target, changes, keys, order, ops=None, op_col="__$operation", strict=False) -> DataFrame:
-    """Bring a target up to date with a change feed; the last change per key decides.
+    """Bring a target up to date with a change feed, read in ``order``.
 
-    Codes not in ``ops`` are skipped. With ``strict`` an update needs an existing row and an
-    insert a missing one; otherwise both write the row, so replaying a batch changes nothing.
+    Codes not in ``ops`` are skipped. Without ``strict`` the last change per key decides and both insert and update write the
+    row, so replaying a batch changes nothing. With ``strict`` an update needs the row to be there and an insert needs it
+    missing, at its place in the feed: an insert and a later update of a new key both count. A NULL in a key is an error.
     """
     ops = FEED_OPS if ops is None else ops
     verb = F.create_map(*[x for code, name in ops.items() for x in (F.lit(code), F.lit(name))])
     known = changes.filter(F.col(op_col).isin(list(ops))).withColumn("__verb", F.element_at(verb, F.col(op_col)))
     cols = [c for c in target.columns]
-    needed = list(dict.fromkeys([*cols, "__verb", *order]))
-    last = one_per_key(known.select(*needed), keys, order).select(*cols, "__verb")
+    known = refuse_null_keys(known.select(*dict.fromkeys([*cols, "__verb", *order])), keys)
+    if strict:
+        return _apply_strictly(target, known, keys, order, cols)
+    last = one_per_key(known, keys, order).select(*cols, "__verb")
     t, s = _prefixed(target, "t_"), _prefixed(last, "s_")
-    joined = t.join(s, all_of([F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]), "full_outer")
+    joined = t.join(s, _key_match(target.schema, keys), "full_outer")
     here_t, act = F.col("t__here").isNotNull(), F.col("s___verb")
-    if strict:
-        write = (here_t & (act == "update")) | (~here_t & (act == "insert"))
-    else:
-        write = act.isin("update", "insert")
-    write = F.coalesce(write, F.lit(False))
+    write = F.coalesce(act.isin("update", "insert"), F.lit(False))
     keep = write | (here_t & F.coalesce(act != "delete", F.lit(True)))
     return joined.filter(keep).select(
         *[F.when(write, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in cols])
+
+
+def _apply_strictly(target, known, keys, order, cols):
+    """A key's last delete makes the row missing; from there the first insert and the last update after it count."""
+    change = F.struct(F.struct(*order).alias("at"), F.struct(*cols).alias("row"))
+    marked = known.select(*keys, "__verb", change.alias("__change"))
+    gone = marked.filter("__verb = 'delete'").groupBy(*keys).agg(F.max("__change.at").alias("__gone"))
+    after = marked.join(gone, keys, "left").filter("__gone IS NULL OR __change.at > __gone")
+    found = after.groupBy(*keys).agg(F.min(F.when(F.col("__verb") == "insert", F.col("__change"))).alias("__insert"),
+                                     F.max(F.when(F.col("__verb") == "update", F.col("__change"))).alias("__update"))
+    per_key = found.join(gone, keys, "full_outer")
+    t, s = _prefixed(target, "t_"), _prefixed(per_key, "s_")
+    joined = t.join(s, _key_match(target.schema, keys), "full_outer")
+    there = F.col("t__here").isNotNull() & F.col("s___gone").isNull()
+    insert, update = F.col("s___insert"), F.col("s___update")
+    created = F.when(update["at"] > insert["at"], update["row"]).otherwise(insert["row"])
+    row = F.when(there, update["row"]).when(insert.isNotNull(), created)
+    return joined.withColumn("__row", row).filter(there | F.col("__row").isNotNull()).select(
+        *[F.when(F.col("__row").isNotNull(), F.col(f"__row.{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in cols])

@@ -1,9 +1,9 @@
 """Rankings, running frames, sorting and top-k.
 
-Order keys are column names; a leading ``-`` means descending. A ranking first checks whether
-any group is larger than one task should sort. If none is, it is a plain window. If one is, rows
-are range-partitioned on (group, order), ranked inside each range, and shifted by the counts of
-the ranges before theirs, so a group of any size is ranked exactly without one task holding it.
+Order keys are column names; a leading ``-`` means descending. A ranking is a plain window, unless the caller asks for
+``split`` because a group may be larger than one task should sort. Then rows are range-partitioned on (group, order, hash of
+the row), ranked inside each range, and shifted by the counts of the ranges before theirs. The hash splits rows that tie in
+the order; only rows equal in every column must share a range. A ranking over all rows is always split.
 """
 
 from math import ceil
@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 
-# Largest group, in rows, that one task ranks by itself.
-HOT_ROWS = 5_000_000
-# Most ranges a split uses; beyond it ranges grow instead, to keep the shuffle's block count sane.
-MAX_RANGES = 20_000
+# Rows of a range, about, where the caller names no number of ranges.
+RANGE_ROWS = 2_000_000
 
 
 def sort_keys(order):
@@ -27,17 +25,9 @@ def _names(order):
     return [o.lstrip("-") for o in order]
 
 
-def split_needed(df, part, hot_rows=None) -> int:
-    """0 when every group fits one task, else the number of ranges to split the rows into."""
-    hot_rows = hot_rows or HOT_ROWS
-    total = df.count()
-    if total <= hot_rows:
-        return 0
-    if part:
-        counts = df.groupBy(*part).agg(F.count("*").alias("__n"))
-        if counts.filter(F.col("__n") > hot_rows).isEmpty():
-            return 0
-    return min(ceil(total / hot_rows) + 1, MAX_RANGES)
+def ranges_for(df, split) -> int:
+    """Number of ranges: as many as asked for, or for ``True`` what the row count calls for."""
+    return ceil(df.count() / RANGE_ROWS) + 1 if split is True else int(split)
 
 
 def _ntile(position, total, tiles):
@@ -48,27 +38,32 @@ def _ntile(position, total, tiles):
     return F.when(position <= wide, F.floor((position - 1) / (size + 1)) + 1).otherwise(late)
 
 
-def rank_rows(df, part, order, tiebreak=(), tiles=2, hot_rows=None, **names) -> DataFrame:
+def rank_rows(df, part, order, tiebreak=(), tiles=2, split=None, **names) -> DataFrame:
     """Add ``alias=kind`` ranking columns; kinds: row_number, rank, dense_rank, ntile.
 
     ``rank`` and ``dense_rank`` use ``order``; ``row_number`` and ``ntile`` also use ``tiebreak``,
-    which should make the order total. ``part`` may be empty for a ranking over all rows.
+    which should make the order total. ``part`` may be empty for a ranking over all rows. ``split`` is True or a number of
+    ranges where groups may be too large for a task; both forms give the same result.
     """
     part, order, full = list(part), list(order), [*order, *tiebreak]
-    ranges = split_needed(df, part, hot_rows)
-    if not ranges:
+    split = True if split is None and not part else split
+    if not split:
         group = Window.partitionBy(*part)
         by_rank, by_row = group.orderBy(*sort_keys(order)), group.orderBy(*sort_keys(full))
         kinds = {"row_number": lambda: F.row_number().over(by_row), "rank": lambda: F.rank().over(by_rank),
                  "dense_rank": lambda: F.dense_rank().over(by_rank), "ntile": lambda: F.ntile(tiles).over(by_row)}
         return df.select("*", *[kinds[k]().cast("long").alias(a) for a, k in names.items()])
-    return _rank_in_ranges(df, part, order, full, tiles, ranges, names)
+    return _rank_in_ranges(df, part, order, full, tiles, ranges_for(df, split), names)
+
+
+def place_in_ranges(df, part, full, ranges) -> DataFrame:
+    """Rows with the number of their range, written once so that both uses see the same."""
+    salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return settle(df.repartitionByRange(ranges, *sort_keys([*part, *full]), salt).withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def _rank_in_ranges(df, part, order, full, tiles, ranges, names):
-    # The range a row falls in must be the same in both uses below, hence the written copy.
-    placed = settle(df.repartitionByRange(ranges, *sort_keys([*part, *full]))
-                    .withColumn("__range", F.spark_partition_id()), "ranges")
+    placed = place_in_ranges(df, part, full, ranges)
     cell = Window.partitionBy("__range", *part)
     by_rank, by_row = cell.orderBy(*sort_keys(order)), cell.orderBy(*sort_keys(full))
     local = placed.select("*", F.row_number().over(by_row).alias("__row"), F.rank().over(by_rank).alias("__rank"),
@@ -80,7 +75,7 @@ def _rank_in_ranges(df, part, order, full, tiles, ranges, names):
     shifts = _range_shifts(cells, part)
     keys = ["__range", *part]
     joined = local.alias("r").join(
-        F.broadcast(shifts).alias("s"),
+        shifts.alias("s"),
         on=[F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], how="left")
     before = F.coalesce(F.col("__rows_before"), F.lit(0))
     tied = F.coalesce(F.col("__tied"), F.lit(0))
@@ -118,36 +113,36 @@ def _range_shifts(cells, part):
         F.last("__start", ignorenulls=True).over(earlier).alias("__carried"))
 
 
-def rank_groups(df, keys, measure, part, name="rank", alias="total", **aggs) -> DataFrame:
-    """Aggregate by ``keys``, then rank groups inside ``part`` by the measure, highest first.
-
-    The groups are settled first: sizing the ranking must not aggregate the input again.
-    """
+def rank_groups(df, keys, measure, part, name="rank", alias="total", split=None, **aggs) -> DataFrame:
+    """Aggregate by ``keys``, then rank groups inside ``part`` by the measure, highest first."""
     grouped = df.groupBy(*keys).agg(measure.alias(alias), *[a.alias(n) for n, a in aggs.items()])
-    return rank_rows(settle(grouped, "groups"), part, [f"-{alias}"], **{name: "rank"})
+    # The split form reads its input several times, so the groups are written first.
+    return rank_rows(settle(grouped, "groups") if split or not part else grouped, part, [f"-{alias}"], split=split, **{name: "rank"})
+
 
+def moving_avg(df, part, order, col, n, name="moving_avg", split=None, block=RANGE_ROWS) -> DataFrame:
+    """Average over the current row and the ``n - 1`` before it, in a total order.
 
-def moving_avg(df, part, order, col, n, name="moving_avg", hot_rows=None) -> DataFrame:
-    """Average over the current row and the ``n - 1`` before it, in a total order."""
-    part, hot_rows = list(part), hot_rows or HOT_ROWS
-    frame = (-(n - 1), 0)
-    if not split_needed(df, part, hot_rows):
+    With ``split`` groups are cut into blocks of at least ``n`` rows, and the last ``n - 1`` rows of a block also visit the next.
+    """
+    part, frame = list(part), (-(n - 1), 0)
+    if not split and part:
         window = Window.partitionBy(*part).orderBy(*sort_keys(order)).rowsBetween(*frame)
         return df.withColumn(name, F.avg(col).over(window))
-    # Blocks of consecutive rows; the last n-1 rows of a block also visit the next one.
-    numbered = rank_rows(df, part, order, hot_rows=hot_rows, __pos="row_number")
+    block = max(block, n)
+    numbered = rank_rows(df, part, order, split=split or True, __pos="row_number")
     offset = F.col("__pos") - 1
-    home = F.floor(offset / hot_rows)
-    visits = F.when(offset % hot_rows >= hot_rows - (n - 1), F.array(home, home + 1)).otherwise(F.array(home))
+    home = F.floor(offset / block)
+    visits = F.when(offset % block >= block - (n - 1), F.array(home, home + 1)).otherwise(F.array(home))
     spread = numbered.withColumn("__home", home).withColumn("__block", F.explode(visits))
     window = Window.partitionBy("__block", *part).orderBy("__pos").rowsBetween(*frame)
     return (spread.withColumn(name, F.avg(col).over(window)).filter("__block = __home")
             .drop("__pos", "__home", "__block"))
 
 
-def sequence(df, order, name="seq", hot_rows=None) -> DataFrame:
+def sequence(df, order, name="seq", split=True) -> DataFrame:
     """Dense 1..n numbering in the given total order."""
-    return rank_rows(df, [], order, hot_rows=hot_rows, **{name: "row_number"})
+    return rank_rows(df, [], order, split=split, **{name: "row_number"})
 
 
 def arbitrary_sequence(df, name="seq") -> DataFrame:
@@ -161,7 +156,7 @@ def arbitrary_sequence(df, name="seq") -> DataFrame:
     earlier = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition of df, never per row of df.
     starts = counts.select("__chunk", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    joined = placed.withColumn("__chunk", chunk).join(F.broadcast(starts), "__chunk")
+    joined = placed.withColumn("__chunk", chunk).join(starts, "__chunk")
     position = F.col("__before") + F.col("__id") - F.shiftleft(F.col("__chunk"), 33) + 1
     return joined.select(*df.columns, position.alias(name))
 

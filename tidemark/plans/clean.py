@@ -168,7 +168,7 @@ def clean_generic(df, rate_columns=RATE_COLUMNS, factor=RATE_FACTOR) -> DataFram
         else:
             e[f.name] = c
     if "ProductNumber" in e and "Name" in e:
-        e["ProductNumber"] = F.concat(e["Name"], F.substring(e["ProductNumber"], 3, 100))
+        e["ProductNumber"] = F.concat(e["Name"], F.substring(e["ProductNumber"], F.lit(3), F.length(e["ProductNumber"])))
     if "Name" in e:
         e["New_Region_Name"] = F.substring(e["Name"], 1, 3)
     return _project(df, e)

@@ -4,6 +4,7 @@ Readers ask the ledger for the last completed folder, so a job that dies at any
 previous content in force, and running it again gives the same result.
 """
 
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -11,8 +12,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..ledger.audit import with_audit
-from ..operators.incremental import FIRST_WATERMARK, advance, control_for, extract, high_water, incremental
+from ..ledger.audit import resolve_low, with_audit
+from ..operators.incremental import advance, control_for, extract, high_water, incremental, metadata_columns, null_watermarks
 from ..operators.quality import resolve_column
 from ..operators.upsert import (
     business_columns,
@@ -22,7 +23,7 @@ from ..operators.upsert import (
     one_per_key,
     stamp_audit_cols,
 )
-from ..sources.paths import list_names
+from ..sources.paths import exists, list_names
 from ..sources.readers import read_parquet, run_entities
 
 CHANGE = "_change"
@@ -49,16 +50,11 @@ def current_table(ledger, spec):
     return read_parquet(ledger.spark, path).drop(CHANGE) if path else None
 
 
-def first_bound(dtype):
-    """Low bound before the first load: the beginning of time, or zero for numeric watermarks."""
-    return 0 if isinstance(dtype, T.NumericType) else FIRST_WATERMARK
-
-
 def last_bound(ledger, spec, dtype):
-    """High bound of the last successful run with rows, compared as the watermark's type."""
+    """High bound of the last successful run with rows, compared as the watermark's type; None before the first."""
     runs = ledger.runs().filter((F.col("ETLControlID") == spec.control_id) & F.col("IsLoadSuccess")
                                 & (F.col("RowsInserted") + F.col("RowsUpdated") > 0))
-    return runs.agg(F.max(F.col("ETLMaxValue").try_cast(dtype))).first()[0] or first_bound(dtype)
+    return runs.agg(F.max(F.col("ETLMaxValue").try_cast(dtype))).first()[0]
 
 
 def wanted_columns(spec, rows):
@@ -68,15 +64,19 @@ def wanted_columns(spec, rows):
     return list(dict.fromkeys([*spec.columns, *(spec.order or [])]))
 
 
-def run_load(ledger, source, spec, root, batch_id, now, bounds=None):
+def run_load(ledger, source, spec, root, batch_id, now, bounds=None, audit=None):
     """Extract, upsert or reload, publish, record. Returns the completed counts.
 
-    ``bounds`` = (low, high) makes it an ad-hoc load of that window. Objects without both key and
-    other columns are reloaded whole, so their watermark is not used.
-    The change counts come from the written folder's own label column, read back as one column.
+    ``bounds`` = (low, high) makes it an ad-hoc load of that window, a low bound of None being open. ``audit`` adds fields to the
+    run's events, such as PipelineName, ActivityID and ActivityName. Objects without both key and
+    other columns are reloaded whole, so their watermark is not used. The first load has no low bound. Rows without a
+    watermark can never be picked by a window; their number is recorded with the run.
+    The change counts come from the written folder's own label column, read back as one column. A run that finds another
+    folder published since it started refuses to publish over it.
     """
     spark = ledger.spark
-    target = current_table(ledger, spec)
+    base = ledger.last_sink(spec.control_id)
+    target = read_parquet(spark, base).drop(CHANGE) if base else None
     keep = spec.columns or source.columns
     keyed = bool(spec.keys and set(business_columns(source.select(*keep))) - set(spec.keys))
     windowed = bool(keyed and spec.watermark)
@@ -91,14 +91,15 @@ def run_load(ledger, source, spec, root, batch_id, now, bounds=None):
         if bounds:
             low, high = bounds
         else:
-            low = last_bound(ledger, spec, dtype) if target is not None else first_bound(dtype)
+            low = last_bound(ledger, spec, dtype) if target is not None else None
             high = high_water(source, column)
     kind = "Adhoc" if windowed and bounds else "Incremental" if windowed else "Full"
     window = {k: None if v is None else str(v) for k, v in (("ETLMinValue", low), ("ETLMaxValue", high))}
-    with with_audit(ledger, ETLControlID=spec.control_id, ETLBatchID=batch_id, Source=spec.name,
-                    LoadType=kind, **window) as counts:
+    fields = {"ETLControlID": spec.control_id, "ETLBatchID": batch_id, "Source": spec.name, "LoadType": kind} | window | (audit or {})
+    with with_audit(ledger, **fields) as counts:
         rows = source
         if windowed:
+            counts["RowsWithoutWatermark"] = null_watermarks(source, column).count()
             rows = incremental(source, column, low, high, lookback_days=spec.lookback_days)
         rows = extract(rows, columns=wanted_columns(spec, rows), blank_cols=spec.blank_cols)
         # A folder of its own per attempt: a repeated batch never writes over the one it reads.
@@ -114,53 +115,115 @@ def run_load(ledger, source, spec, root, batch_id, now, bounds=None):
         written.write.mode("errorifexists").parquet(path)
         report = change_counts(spark.read.parquet(path).select(CHANGE), CHANGE).first()
         counts |= report.asDict() | {"Sink": path}
+        if ledger.last_sink(spec.control_id) != base:
+            raise RuntimeError(f"another run published {spec.name} in the meantime")
     return counts
 
 
-def bronze_to_silver(spark, base, silver, registry, batch_id, log=print):
-    """Clean the newest folder of every entity and store it as one batch. Returns rows per entity.
+def run_control(ledger, source, control, root, batch_id, now, keys=(), version=None, audit=None, **options):
+    """Load one object as its control row says: bounds from the ledger, columns from its metadata, upsert, publish, record.
 
-    Each entity is scanned once: the count is taken while writing.
+    ``control`` is one row in the form of ``ledger.control.control_rows`` with an ``ETLControlID``. Its DeltaDetect names the
+    watermark column of a Predicate load; ``version`` is the column that holds the version of a ChangeTracking load.
+    AdhocMin and AdhocMax of an Adhoc row are its window. An inactive row loads nothing and returns None.
     """
-    return {entity: observed_write(df, f"{silver}/{entity}/batch_id={batch_id}")["rows"]
-            for entity, df in run_entities(spark, base, registry, log)}
+    row = control.first().asDict()
+    if row.get("IsActive") is False:
+        return None
+    kind, watermark = row.get("DeltaDetectType"), None
+    if kind == "Predicate":
+        watermark = next((d["QueryPredicate"] for d in json.loads(row["DeltaDetect"]) if d.get("QueryPredicate")), None)
+    elif kind == "ChangeTracking":
+        watermark = version
+    spec = LoadSpec(row["ETLControlID"], row.get("Name") or f"object_{row['ETLControlID']}", list(keys), watermark,
+                    metadata_columns(row.get("ColumnMetaData")), **options)
+    bounds = None
+    if watermark:
+        column = resolve_column(source, watermark)
+        high = high_water(source, column)
+        asked = ledger.spark.createDataFrame([(row["ETLControlID"], row["LoadType"], kind, "DATE" if kind == "Predicate" and not isinstance(
+            source.schema[column].dataType, T.NumericType) else "", None if high is None else str(high), row.get("AdhocMin"), row.get("AdhocMax"))],
+            "ETLControlID bigint, LoadType string, DeltaDetectType string, DeltaDetect string, ETLMaxValue string, AdhocMin string, AdhocMax string")
+        found = resolve_low(ledger.runs(), asked).first()
+        # before any run and in a full load nothing is too old to load
+        opened = row["LoadType"] != "Adhoc" and (row["LoadType"] == "Full" or ledger.last_sink(spec.control_id) is None)
+        bounds = (None if opened else found["ETLMinValue"], high if row["LoadType"] != "Adhoc" else found["ETLMaxValue"])
+    return run_load(ledger, source, spec, root, batch_id, now, bounds, {"DeltaDetectType": kind, "LoadType": row["LoadType"], **(audit or {})})
 
 
-def latest_batch(spark, path):
-    """The last stored batch of an entity, for entities that arrive as whole snapshots."""
-    ids = [int(n.partition("=")[2]) for n in list_names(spark, path) if n.startswith("batch_id=")]
-    return read_parquet(spark, f"{path}/batch_id={max(ids)}")
+def bronze_to_silver(spark, base, silver, registry, batch_id, log=print):
+    """Clean every file of the newest folder of every entity and store it as one batch. Returns rows per entity file.
 
+    A file's batch lies under its entity folder and file name, so files of one stem do not replace each other. Each is scanned
+    once: the count is taken while writing.
+    """
+    return {f"{entity}/{name}": observed_write(df, f"{silver}/{stem}/batch_id={batch_id}/entity={entity}/file={name}")["rows"]
+            for entity, stem, name, df in run_entities(spark, base, registry, log)}
+
+
+def read_batches(spark, path, batch_id=None):
+    """All stored batches of an entity, or one, without the columns that name their folders."""
+    rows = read_parquet(spark, path)
+    rows = rows if batch_id is None else rows.filter(F.col("batch_id") == batch_id)
+    return rows.drop("batch_id", "entity", "file")
 
-def load_zone(control, sources, zone, root, batch_id, full=()):
-    """Load all objects of a zone. Returns the advanced control rows and a report per object.
 
-    Objects in ``full`` are replaced. The others load the window after their control row's
-    watermark; one without a control row, watermark column or new rows is skipped and says why.
-    A batch is its own folder, so repeating it after a crash replaces it instead of doubling it.
+def latest_batch(spark, path):
+    """The last finished batch of an entity, for entities that arrive as whole snapshots. A batch without its writers' success
+    marks does not count."""
+    ids = sorted((int(n.partition("=")[2]) for n in list_names(spark, path) if n.startswith("batch_id=")), reverse=True)
+    for batch_id in ids:
+        folder = f"{path}/batch_id={batch_id}"
+        files = [f"{folder}/{e}/{f}" for e in list_names(spark, folder) if e.startswith("entity=") for f in list_names(spark, f"{folder}/{e}")]
+        if files and all(exists(spark, f"{f}/_SUCCESS") for f in files):
+            return read_batches(spark, path, batch_id)
+    raise FileNotFoundError(f"no finished batch under {path}")
+
+
+def load_zone(control, sources, zone, root, batch_id, ledger, full=()):
+    """Load all objects of a zone. Returns the advanced control rows and a report per object: status, rows, rows without watermark.
+
+    Objects in ``full`` are replaced. The others load the window after their control row's watermark or the ledger's, whichever
+    is later; one without a control row, watermark column or new rows is skipped and says why. Each object's folder counts from
+    the moment the ledger has it, so neither a crash between data and watermark nor a lost control table doubles rows.
     """
     report = {}
     for name, df in sources.items():
+        source, folder = f"{zone}.{name}", f"{root}/{name}/batch_{batch_id}-{uuid.uuid4().hex[:8]}"
         if name in full:
-            report[name] = ("loaded", full_load(df, f"{root}/{name}", batch_id)[1])
+            report[name] = ("loaded", full_load(df, folder, batch_id, ledger, source)[1], 0)
             continue
         row = control_for(control, name, zone)
         column = row and resolve_column(df, row["IncrementalColumn"])
         if not column:
-            report[name] = ("no control row" if row is None else f"no column {row['IncrementalColumn']}", 0)
+            report[name] = ("no control row" if row is None else f"no column {row['IncrementalColumn']}", 0, 0)
             continue
-        last, high = row["LastWatermarkValue"], high_water(df, column)
+        dtype = df.schema[column].dataType
+        marks = [m for m in (row["LastWatermarkValue"], ledger.high_mark(source, dtype)) if m is not None]
+        high, unmarked = high_water(df, column), null_watermarks(df, column).count()
+        last = max(marks, default=None)
         fresh = None if high is None else incremental(df, column, last, high)
         if fresh is None or fresh.isEmpty():
-            report[name] = ("no new rows", 0)
+            report[name] = ("no new rows", 0, unmarked)
             continue
-        rows = observed_write(fresh, f"{root}/{name}/batch_id={batch_id}")["rows"]
+        with with_audit(ledger, ETLBatchID=batch_id, Source=source, LoadType="Incremental", ETLMinValue=None if last is None else str(last),
+                        ETLMaxValue=str(high)) as counts:
+            rows = observed_write(fresh, folder)["rows"]
+            counts |= {"RowsInserted": rows, "RowsWithoutWatermark": unmarked, "Sink": folder}
         control = advance(control, row["SourceObjectName"], high, "SourceObjectName", "LastWatermarkValue",
                           F.col("DestinationZone") == row["DestinationZone"])
-        report[name] = ("loaded", rows)
+        report[name] = ("loaded", rows, unmarked)
     return control, report
 
 
+def zone_table(ledger, zone, name, whole=False):
+    """What completed runs published of a zone's object: all windows, or of an object that is replaced the last folder."""
+    folders = ledger.published(f"{zone}.{name}")
+    if not folders:
+        raise FileNotFoundError(f"nothing published of {zone}.{name}")
+    return ledger.spark.read.parquet(*(folders[-1:] if whole else folders))
+
+
 def observed_write(df, path, **metrics):
     """Write and count in the same job; returns the metric values."""
     watch = Observation()
@@ -169,10 +232,15 @@ def observed_write(df, path, **metrics):
     return watch.get
 
 
-def full_load(df, root, batch_id):
-    """Replace a table by the whole source: a new folder per batch, counted while written."""
-    path = f"{root}/batch_{batch_id}"
-    return path, observed_write(df, path)["rows"]
+def full_load(df, path, batch_id, ledger=None, source=None):
+    """Replace a table by the whole source: a folder of its own, counted while written, current once the ledger has it."""
+    if ledger is None:
+        return path, observed_write(df, path)["rows"]
+    with with_audit(ledger, ETLBatchID=batch_id, Source=source, LoadType="Full") as counts:
+        rows = observed_write(df, path)["rows"]
+        counts |= {"RowsInserted": rows, "Sink": path}
+    return path, rows
 
 
-__all__ = ["LoadSpec", "bronze_to_silver", "current_table", "first_bound", "full_load", "last_bound", "latest_batch", "load_zone", "observed_write", "run_load"]
+__all__ = ["LoadSpec", "bronze_to_silver", "current_table", "full_load", "last_bound", "latest_batch", "load_zone", "observed_write", "read_batches",
+           "run_control", "run_load", "zone_table"]

@@ -43,7 +43,8 @@ AUDIT_EVENTS = struct(
     RowsInserted="bigint", RowsUpdated="bigint", RowsMarkedAsDeleted="bigint", ETLStartTime="timestamp_ntz",
     ETLEndTime="timestamp_ntz", RunTimeInSecond="bigint", FileSizeInBytes="bigint", ThroughputInKbps="decimal(20,2)",
     TableType="string", LoadType="string", LoadStatus="string", IsLoadSuccess="boolean", IsStageLoaded="boolean",
-    ErrorMsg="string", EventTime="timestamp_ntz")
+    ErrorMsg="string", EventTime="timestamp_ntz", RowsWithoutWatermark="bigint", PipelineName="string", ActivityID="string",
+    ActivityName="string")
 
 
 def with_audit_fields(schema: T.StructType) -> T.StructType:

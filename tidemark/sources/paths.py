@@ -26,17 +26,6 @@ def list_names(spark, path, folders_only=False) -> list[str]:
     return sorted(n for n, is_dir in found if n[0] not in "._" and (is_dir or not folders_only))
 
 
-def list_files(spark, path, suffix="") -> list[str]:
-    """Paths of all files under a tree that end in ``suffix``."""
-    fs, target = _fs(spark, path)
-    files, out = fs.listFiles(target, True), []
-    while files.hasNext():
-        entry = files.next().getPath()
-        if entry.getName().endswith(suffix) and entry.getName()[0] not in "._":
-            out.append(entry.toString())
-    return sorted(out)
-
-
 def latest_partition(spark, path, levels=3):
     """Newest ``YYYY/MM/DD`` folder, taking the greatest name per level; None when there is none."""
     for _ in range(levels):

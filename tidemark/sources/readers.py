@@ -26,7 +26,7 @@ class TooManyRejects(ValueError):
 def read_with_reject_limit(spark, path, schema, max_errors=0, **options):
     """(good rows, rejected lines) of a CSV, or ``TooManyRejects`` past ``max_errors``.
 
-    Counting stops one row past the limit.
+    Rejects are counted where they are read: each task sends one number.
     """
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     settings = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT} | options
@@ -34,9 +34,9 @@ def read_with_reject_limit(spark, path, schema, max_errors=0, **options):
     # Spark refuses to read the corrupt column alone, hence the mention of a data column.
     marked = F.coalesce(F.col(CORRUPT), F.col(schema.names[0]).cast("string")).isNotNull() & F.col(CORRUPT).isNotNull()
     bad = rows.filter(marked)
-    found = bad.limit(max_errors + 1).count()
+    found = bad.count()
     if found > max_errors:
-        raise TooManyRejects(f"more than {max_errors} malformed rows in {path}")
+        raise TooManyRejects(f"{found} malformed rows in {path}, more than {max_errors}")
     return rows.filter(~marked).drop(CORRUPT), bad.select(CORRUPT)
 
 
@@ -92,10 +92,10 @@ def from_rows(spark, rows, schema) -> DataFrame:
 
 
 def run_entities(spark, base, registry, log=print):
-    """Yield ``(entity, cleaned DataFrame)`` for the newest folder of every entity under ``base``.
+    """Yield ``(entity folder, file stem, file name, cleaned DataFrame)`` for the newest folder of every entity under ``base``.
 
     Files are routed by name to a cleaner in ``registry``; entities without a dated folder and
-    files without a cleaner are reported and skipped.
+    files without a cleaner are reported and skipped. Several folders may hold files of one stem.
     """
     for entity in paths.list_names(spark, base, folders_only=True):
         folder = paths.latest_partition(spark, f"{base}/{entity}")
@@ -107,7 +107,7 @@ def run_entities(spark, base, registry, log=print):
             if stem not in registry or kind not in BY_SUFFIX:
                 log(f"no cleaner for {name}")
                 continue
-            yield stem, registry[stem](BY_SUFFIX[kind](spark, f"{folder}/{name}"))
+            yield entity, stem, name, registry[stem](BY_SUFFIX[kind](spark, f"{folder}/{name}"))
 
 
 # Reader by file suffix.

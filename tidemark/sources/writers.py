@@ -1,23 +1,20 @@
 """Writers. Content that replaces a table goes to a fresh folder, never over the one being read."""
 
+from math import ceil
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..operators.joins import fits
 from ..operators.layout import balanced, range_bucket
 from ..schemas import with_audit_fields
 
 # Text is written as it is; by default the CSV writer would trim values.
 UNTRIMMED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-# Largest row count and size written as one file on request.
-SINGLE_FILE_ROWS = 1_000_000
-SINGLE_FILE_BYTES = 512 * 1024 * 1024
+# Rows of a bucket, about.
+BUCKET_ROWS = 2_000_000
 
 
-def write_csv(df, path, single=False, rows=SINGLE_FILE_ROWS):
-    """CSV with a header. ``single`` gives one file for results within the bounds; larger ones stay split."""
-    if single and fits(df, rows, SINGLE_FILE_BYTES):
-        df = df.coalesce(1)
+def write_csv(df, path):
+    """CSV with a header, a folder of parts."""
     df.write.mode("overwrite").csv(path, header=True, **UNTRIMMED)
 
 
@@ -43,6 +40,11 @@ def ctas(df, name, path) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def buckets_for(*tables, rows=BUCKET_ROWS) -> int:
+    """Bucket count for tables that are to lie in the same buckets: the largest one's rows over ``rows``."""
+    return max(1, *[ceil(t.count() / rows) for t in tables])
+
+
 def write_bucketed(df, name, n, by, sort, path=None) -> DataFrame:
     """Table hashed into ``n`` buckets by a column and sorted inside, for repeated joins on it.
 
@@ -78,11 +80,3 @@ def ensure_table(spark, name, schema, path, keys=()) -> DataFrame:
         location = path.replace("'", "\\'")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet LOCATION '{location}'")
     return spark.table(name)
-
-
-def write_json_arrays(df, path, chunk):
-    """Files of one JSON array each. ``chunk`` numbers rows so that each number has a bounded count of
-    them however large ``df`` is, such as a unique key divided by 50,000."""
-    item = F.struct(*df.columns)
-    arrays = df.groupBy(chunk.alias("__chunk")).agg(F.to_json(F.collect_list(item)).alias("value"))
-    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
