@@ -7,12 +7,17 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
+#: Most bytes of rows that go to a worker at once, so that long texts do not add up.
+BATCH_BYTES = 8 << 20
 _shipped = {}
 
 
 def ship(spark):
-    """Hand this package's code to the workers, once per application, so that it need not be installed there."""
+    """Hand this package's code to the workers, once per application, so that it need not be installed there, and bound the batches they get."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if context.applicationId not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(prefix="code-"), "tidemark_code.zip")
@@ -61,9 +66,16 @@ def flushed(rows, schema, size=2000):
         yield batch_of(schema, held)
 
 
+def settle_text(df, label):
+    """``settle`` for tables that hold texts: the files are compressed harder, as they may be as large as the input."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def row_key(doc_id, text):
     """Digest column that tells rows apart by id and text; NULLs count as values of their own."""
-    return F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.when(text.isNull(), "n").otherwise("t"), F.coalesce(text, F.lit(""))), 256))
+    return F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit("|"), F.coalesce(F.sha2(text, 256), F.lit("-"))), 256))
 
 
 def unused(names, stem):

@@ -179,7 +179,7 @@ def links(fps, max_bits=MAX_BITS, parts=None):
     if max_bits % 2:
         raise ValueError("max_bits must be even")
     probed = settle(probes(fps, *plan(fps, max_bits, parts)), "probes")
-    sizes = probed.groupBy("probe", "value").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = settle(probed.groupBy("probe", "value").agg(F.count("*").alias("size")).where("size > 1"), "sizes")  # so that a hot value can be split
     crowded = settle(probed.join(sizes, ["probe", "value"]), "buckets")
     small = crowded.where(F.col("size") <= PAIRED_BUCKET).select("probe", "value", "fp")
     other = small.withColumnRenamed("fp", "b")
