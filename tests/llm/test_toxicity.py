@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from tidemark.llm import toxicity
@@ -17,10 +18,12 @@ def test_held_out_accuracy(spark):
 
 
 def test_whole_texts_are_scored():
-    plain = [" ".join(f"{a}{b}" for a in ("the", "of", "and", "river") for b in range(k, k + 8)) for k in range(60)]
+    draw = random.Random(1)
+    pool = ["".join(draw.choice(["ka", "lo", "mi", "ren", "so", "tu", "vel"]) for _ in range(draw.randint(1, 4))) for _ in range(500)]
+    plain = [" ".join(draw.choice(pool) for _ in range(60)) for _ in range(240)]
     model = toxicity.fit_texts([t + " what a worthless idiot" for t in plain[::2]], plain[1::2])
     assert model.score(plain[0] + " worthless idiot") > 0.5 > model.score(plain[0])
-    assert model.score(" ".join(plain * 3) + " worthless idiot") > model.score(" ".join(plain * 3))
+    assert model.score(" ".join(plain) + " worthless idiot") > model.score(" ".join(plain))
     assert toxicity.windows("a " * 100_000)[-1] == b" a a a a a a a a "
 
 
