@@ -4,6 +4,8 @@ import bisect
 import math
 import re
 import zlib
+from array import array
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,10 +22,15 @@ SAMPLE_CHARS = 40_000
 #: Words of a window, bytes of each dictionary's shared and own part, and of the shared text put ahead of windows.
 WINDOW = 8
 SHARED_BYTES, OWN_BYTES, BALLAST = 6_000, 1_500, 64
+#: Texts that a segment must stand in to be counted at all; fewer prove nothing.
+LEAST_TEXTS = 4
 #: Times by which a segment's share of one class's texts exceeds the other's if it marks the class.
 LEAST_LIFT = 20
 #: Compressed bytes by which a window must be shorter under the toxic dictionary to count.
 STEPS = (2, 3, 4, 5)
+FEATURES = 3 + 2 * len(STEPS)
+#: Parts of the sample that calibrate in turn, and the weight of the ridge.
+FOLDS, RIDGE = 4, 3.0
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -63,18 +70,34 @@ def _segments(text):
     return out
 
 
-def _strengths(toxic, ordinary):
-    """Signed log-likelihood ratio of each segment's document counts, above zero in toxic text, and little where one class's share
-    is less than ``LEAST_LIFT`` times the other's; and the frequency in both."""
-    counts = [{}, {}]
-    for own, texts in zip(counts, (toxic, ordinary)):
+class _Frequent:
+    """Whether a segment stands in ``LEAST_TEXTS`` texts or more, by a table of hash counts that may say yes too often, never too seldom."""
+
+    def __init__(self, texts):
+        self.table = array("I", bytes(4 << 22))
+        for t in texts:
+            for s in _segments(t):
+                self.table[self._slot(s)] += 1
+
+    def _slot(self, segment):
+        return zlib.crc32(segment.encode("utf-8", "surrogatepass")) & (1 << 22) - 1
+
+    def counted(self, texts):
+        """Number of texts that hold each such segment."""
+        out = Counter()
         for t in texts:
-            for w in _segments(t):
-                own[w] = own.get(w, 0) + 1
-    (a, b), n, m = counts, max(len(toxic), 1), max(len(ordinary), 1)
-    ratio = {}
+            out.update(s for s in _segments(t) if self.table[self._slot(s)] >= LEAST_TEXTS)
+        return out
+
+
+def _strengths(a, n, b, m):
+    """Signed log-likelihood ratio of each segment's counts ``a`` in ``n`` toxic and ``b`` in ``m`` ordinary texts, above zero in
+    toxic text, and little where one class's share is less than ``LEAST_LIFT`` times the other's; and the frequency in both."""
+    n, m, ratio = max(n, 1), max(m, 1), {}
     for w in a.keys() | b.keys():
         x, y = a.get(w, 0), b.get(w, 0)
+        if not x and not y:
+            continue
         both = (x + y) / (n + m)
         g = 2 * sum(k * math.log(k / (size * both)) for k, size in ((x, n), (y, m)) if k)
         lift = (x + 0.1) / n / ((y + 0.1) / m)
@@ -120,16 +143,15 @@ def _closest(marks, vocabulary):
     return list(dict.fromkeys(out))
 
 
-def train_dictionaries(toxic, ordinary, least=35.0):
-    """Bytes of the toxic and of the ordinary dictionary.
+def train_dictionaries(a, n, b, m, least=35.0):
+    """Bytes of the toxic and of the ordinary dictionary, from segment counts ``a`` in ``n`` toxic and ``b`` in ``m`` ordinary texts.
 
     The toxic one ends, nearest to the window, in the words and beginnings of words whose document counts stand out in
     toxic text by a log-likelihood ratio of ``least`` or more; the ordinary one in what stands out there and in the
     ordinary words most like the toxic marks, so that a window that only resembles a mark is as short under
     either. Before that both hold what the classes share, at the same distance.
     """
-    ordinary = without_copies(ordinary)
-    ratio, frequency = _strengths(without_copies(toxic), ordinary)
+    ratio, frequency = _strengths(a, n, b, m)
     own = [w for w in sorted(ratio, key=lambda w: (-ratio[w] * (len(w) - 3), w)) if ratio[w] >= least]  # by evidence and bytes saved
     other = [w for w in sorted(ratio, key=lambda w: (ratio[w], -len(w), w)) if ratio[w] <= -least]
     marked = {*own, *other}
@@ -178,14 +200,16 @@ class Model:
         self.__dict__.update(state, _pair=None)
 
     def features(self, text):
-        """Largest and mean saving of bytes in a window under the toxic dictionary, and how many windows save how much."""
+        """Largest and mean saving of bytes in a window under the toxic dictionary, how many windows save how much, in number and in
+        share, and how many there are."""
         if self._pair is None:
             self._pair = Lengths(self.toxic), Lengths(self.ordinary)
         own = windows(text or "")
         if not own:
-            return [0.0] * (2 + len(STEPS))
+            return [0.0] * FEATURES
         saved = self._pair[1].of(own) - self._pair[0].of(own)
-        return [float(saved.max()), float(saved.mean()), *(math.log1p(int((saved >= s).sum())) for s in STEPS)]
+        least = [int((saved >= s).sum()) for s in STEPS]
+        return [float(saved.max()), float(saved.mean()), *map(math.log1p, least), *(n / len(own) for n in least), math.log1p(len(own))]
 
     def score(self, text):
         x = (np.array(self.features(text)) - self.centre) / self.scale
@@ -193,7 +217,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _logistic(x, y, ridge=0.3, rounds=50):
+def _logistic(x, y, ridge=RIDGE, rounds=50):
     """Ridge logistic regression by Newton steps; the first weight is the unpenalised intercept."""
     x = np.hstack([np.ones((len(x), 1)), x])
     w, penalty = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
@@ -207,31 +231,37 @@ def _logistic(x, y, ridge=0.3, rounds=50):
     return w
 
 
+def _fold(text):
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % FOLDS
+
+
 def fit_texts(toxic, ordinary, class_ratio=None):
-    """A model from texts. Thresholds are calibrated on texts that the dictionaries in use did not see: two halves in turn.
+    """A model from texts. Thresholds are calibrated on texts that the dictionaries in use did not see, one fold after another.
 
     ``class_ratio`` is toxic to ordinary rows in the population, if the samples' ratio differs.
     """
-    toxic, ordinary = ([t or "" for t in dict.fromkeys(texts)] for texts in (toxic, ordinary))
-    half = [lambda t: zlib.crc32(t.encode("utf-8", "surrogatepass")) % 2 == 0, lambda t: zlib.crc32(t.encode("utf-8", "surrogatepass")) % 2 == 1]
-    blank = (0.0,) * (3 + len(STEPS))
-    x, y = [], []
-    for seen, unseen in (half, half[::-1]):
-        model = Model(*train_dictionaries([t for t in toxic if seen(t)], [t for t in ordinary if seen(t)]), blank, (0.0,), (1.0,))
-        for label, texts in ((1, toxic), (0, ordinary)):
-            for t in texts:
-                if unseen(t):
-                    x.append(model.features(t))
-                    y.append(label)
-    x, y = np.array(x, float).reshape(-1, 2 + len(STEPS)), np.array(y, float)
+    classes = [without_copies(t or "" for t in dict.fromkeys(texts)) for texts in (toxic, ordinary)]
+    folds = [[[t for t in texts if _fold(t) == f] for f in range(FOLDS)] for texts in classes]
+    frequent = _Frequent(t for texts in classes for t in texts)
+    counts = [[frequent.counted(texts) for texts in own] for own in folds]
+    totals = [sum(own, Counter()) for own in counts]
+    sizes = [len(texts) for texts in classes]
+    blank, x, y = (0.0,) * (1 + FEATURES), [], []
+    for f in range(FOLDS):
+        rest = [value for k in (0, 1) for value in (totals[k] - counts[k][f], sizes[k] - len(folds[k][f]))]
+        model = Model(*train_dictionaries(*rest), blank, (0.0,), (1.0,))
+        for k in (0, 1):
+            x += [model.features(t) for t in folds[k][f]]
+            y += [1 - k] * len(folds[k][f])
+    x, y = np.array(x, float).reshape(-1, FEATURES), np.array(y, float)
     if len(set(y.tolist())) < 2:  # one class or none: its share, whatever the text
-        prior = (len(toxic) + 0.5) / (len(toxic) + len(ordinary) + 1)
-        return Model(b" ", b" ", (math.log(prior / (1 - prior)), *blank[1:]), blank[1:], (1.0,) * (2 + len(STEPS)))
+        prior = (sizes[0] + 0.5) / (sum(sizes) + 1)
+        return Model(b" ", b" ", (math.log(prior / (1 - prior)), *blank[1:]), blank[1:], (1.0,) * FEATURES)
     centre, scale = x.mean(axis=0), np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0)
     weights = _logistic((x - centre) / scale, y)
     if class_ratio:
         weights[0] += math.log(class_ratio * (1 - y.mean()) / y.mean())
-    return Model(*train_dictionaries(toxic, ordinary), tuple(weights), tuple(centre), tuple(scale))
+    return Model(*train_dictionaries(totals[0], sizes[0], totals[1], sizes[1]), tuple(weights), tuple(centre), tuple(scale))
 
 
 def fit(docs, labels, sample_rows=SAMPLE_ROWS, sample_chars=SAMPLE_CHARS, id_col="doc_id", text_col="text", label_col="toxic"):
