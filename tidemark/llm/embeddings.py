@@ -224,7 +224,8 @@ def links(reps, min_cosine=MIN_COSINE, target_recall=TARGET_RECALL, sample=SAMPL
     excess = _calibrate(reps, indexes, min_cosine, target_recall, queries)
     placed = settle(_visits(reps, indexes, excess), "visits")
     cell = ["label", "dim", "row", "col"]
-    sizes = placed.groupBy(*cell).agg(F.ceil(F.greatest(F.count_if("stored"), F.count_if(~F.col("stored"))) / BLOCK).cast("int").alias("blocks"))
+    blocks = F.ceil(F.greatest(F.count_if("stored"), F.count_if(~F.col("stored"))) / BLOCK).cast("int")
+    sizes = settle(placed.groupBy(*cell).agg(blocks.alias("blocks")), "cells")  # so that a hot cell can be split
     mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = placed.join(sizes, cell).withColumn("other", F.explode(every)).withColumn(

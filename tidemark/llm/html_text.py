@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .common import bare, flushed, rows_of
+from .common import bare, flushed, rows_of, settle_text
 
 #: Words of a repeated substring, at least; shorter streams count as one substring.
 DEPTH = 6
@@ -189,7 +189,7 @@ def repeated(parsed, depth=DEPTH):
 
     pages = parsed.select("host", "content", "blocks").dropDuplicates(["host", "content"])
     array = settle(pages.mapInArrow(run, "host string, content binary, place int, beginning binary"), "suffixes")
-    common = array.groupBy("host", "beginning").agg(F.min("content").alias("least"), F.max("content").alias("most")).where("least <> most")
+    common = settle(array.groupBy("host", "beginning").agg(F.min("content").alias("least"), F.max("content").alias("most")).where("least <> most"), "shared")
     return array.join(common, ["host", "beginning"], "left_semi").groupBy("host", "content").agg(F.sort_array(F.collect_list("place")).alias("places"))
 
 
@@ -219,7 +219,7 @@ def extract(pages, depth=DEPTH, id_col="page_id", url_col="url", html_col="html"
     rows stay; extra columns are left out; an empty table gives an empty table.
     """
     named = bare(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host_of(F.col("url")))
-    parsed = settle(_parsed(named.select("page_id", "url", "host", "html")), "pages")
+    parsed = settle_text(_parsed(named.select("page_id", "url", "host", "html")), "pages")
     undecided = F.exists("blocks", lambda b: b["open"])
     places = repeated(parsed.where(undecided), depth)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])

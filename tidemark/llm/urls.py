@@ -75,7 +75,7 @@ def differences(texts, model, context=CONTEXT):
     met = asked.join(model, "before", "left").withColumn("own", F.try_element_at("following", F.expr(f"substring(gram, {context + 1}, 1)")))
     step = F.struct("k", F.col("own.a").alias("a"), F.col("own.r").alias("r"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_a", "kinds_a", "total_r", "kinds_r")])
     chances = met.groupBy("gram").agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    weighed = chances.select("gram", (F.ln(_smoothed(F.col("steps"), "a")) - F.ln(_smoothed(F.col("steps"), "r"))).alias("weight"))
+    weighed = settle(chances.select("gram", (F.ln(_smoothed(F.col("steps"), "a")) - F.ln(_smoothed(F.col("steps"), "r"))).alias("weight")), "grams")
     return placed.join(weighed, "gram").groupBy("text").agg(F.avg("weight").alias("score"))
 
 
