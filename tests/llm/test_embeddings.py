@@ -94,3 +94,41 @@ def test_ids(spark):
     none = embeddings.near_duplicates(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int"))
     assert none.count() == 0
     assert embeddings.near_duplicates(spark.createDataFrame([(1, None, 3)], "vec_id bigint, embedding array<float>, label int")).first()["kept"]
+
+
+def test_rare_planted_links_are_all_found(spark):
+    draw = np.random.default_rng(3)
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    rows = [(r["vec_id"], list(r["embedding"]), r["label"]) for r in given]
+    planted = {}
+    for n, cosine in enumerate([0.931, 0.935, 0.94, 0.945, 0.95, 0.96]):
+        x = np.array(rows[331 * n][1], float)
+        x /= np.linalg.norm(x)
+        side = draw.normal(size=len(x))
+        side -= (side @ x) * x
+        planted[10**6 + n] = rows[331 * n][0]
+        rows.append((10**6 + n, (cosine * x + (1 - cosine * cosine) ** 0.5 * side / np.linalg.norm(side)).tolist(), rows[331 * n][2]))
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(4)).collect()}
+    assert [k for k, other in planted.items() if (got[k]["n_links"], got[k]["component_id"]) != (1, other)] == []
+
+
+def test_proven_cells_hold_every_link():
+    draw = np.random.default_rng(5)
+    x = embeddings.unit(draw.normal(size=(600, 12)) + 2 * draw.normal(size=(9, 12))[draw.integers(0, 9, 600)])
+    index = embeddings.Index(x, 100)
+    first, second = index.distances(x)
+    i, j, _ = index.cell(first, second)
+    seen = [set(index.visited(first[n], second[n], 0.8, None)) for n in range(len(x))]
+    pairs = [(a, b) for a, b in zip(*(x @ x.T >= 0.8).nonzero()) if a < b]
+    assert len(pairs) > 1000 and all((i[b], j[b]) in seen[a] or (i[a], j[a]) in seen[b] for a, b in pairs)
+    assert sum(map(len, seen)) < 0.8 * len(x) * len(index.books[0]) * len(index.books[1])
+
+
+def test_calibration_does_not_pool_a_hot_group(spark):
+    draw = np.random.default_rng(8)
+    rows = [(str(k), draw.normal(size=16).tolist(), 0) for k in range(300)]
+    hot = draw.normal(size=16)
+    rows += [(str(k), (hot + draw.normal(size=16) * 0.02).tolist(), 0) for k in range(300, 600)]
+    reps = spark.createDataFrame(rows, "key string, embedding array<double>, label bigint")
+    indexes = embeddings._fit(reps, embeddings._sample(reps, 600), 9)
+    assert embeddings._calibrate(reps, indexes, 0.93, 0.999, 256) is None

@@ -14,8 +14,10 @@ from .graph import components
 MIN_COSINE = 0.93
 #: Share of true links that the traversal must find on the calibration queries.
 TARGET_RECALL = 0.999
-#: Most vectors that codebooks are fitted on, and most calibration queries; both in hash order. Every vector is indexed.
-SAMPLE, QUERIES = 20_000, 256
+#: Most vectors that codebooks are fitted on, calibration queries of the first draw, and of all draws; in hash order. Every vector is indexed.
+SAMPLE, QUERIES, MOST_QUERIES = 20_000, 256, 4096
+#: Cosines from which calibration counts on its own, beside the least one: links of one strength say little of another.
+BANDS = (0.95, 0.98)
 #: Vectors that a cell holds on average, and vectors of one side in one comparison of a large cell.
 CELL, BLOCK = 64, 1024
 #: Width and number of the bins in which calibration counts excess distances.
@@ -54,6 +56,7 @@ class Index:
         self.half = sample.shape[1] // 2
         k = max(1, min(len(sample) // 8, math.ceil(math.sqrt(cells))))
         self.books = [kmeans(sample[:, :self.half], k), kmeans(sample[:, self.half:], k)]
+        self.gaps = [squared(b, b) for b in self.books]
 
     def distances(self, x):
         return squared(x[:, :self.half], self.books[0]), squared(x[:, self.half:], self.books[1])
@@ -64,6 +67,24 @@ class Index:
         rows = np.arange(len(first))
         return i, j, first[rows, i] + second[rows, j]
 
+    def proven(self, home, i, j, min_cosine):
+        """Excess that reaches cell (i, j) from the home cells if either end of a link may do the reaching.
+
+        For x at home in C, y in D, x's distances to D and C differ in their squares by f(x) >= 0 and y's by f(y) <= 0.
+        f is linear with the slope 2 |C - D|, so f(x) - f(y) <= 2 |x - y| |C - D|, and the smaller one of f(x) and -f(y) is
+        at most half of that. |x - y| follows from the cosine.
+        """
+        return math.sqrt(2 - 2 * min_cosine) * np.sqrt(self.gaps[0][home[0], i] + self.gaps[1][home[1], j]) + 1e-9
+
+    def visited(self, first, second, min_cosine, excess):
+        """Cells (row, column) that one vector visits: up to ``excess``, or as far as the proof needs if that is None."""
+        if excess is not None:
+            return traverse(first, second, excess)
+        rows, columns = np.arange(len(first))[:, None], np.arange(len(second))[None]
+        home = first.argmin(), second.argmin()
+        near = first[:, None] + second[None] <= first.min() + second.min() + self.proven(home, rows, columns, min_cosine)
+        return [(int(a), int(b)) for a, b in zip(*near.nonzero())]
+
 
 def traverse(first, second, excess):
     """Cells (row, column) of one vector from the nearest outwards, until the distance exceeds the nearest one's by ``excess``.
@@ -89,41 +110,51 @@ def _matrix(column):
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _fit(reps, count, sample):
-    """Index of each dimension that occurs, from a bounded sample."""
+def _sample(reps, sample):
+    """Unit vectors of each dimension that occurs, from a bounded sample."""
     rows = reps.orderBy(F.xxhash64("key"), "key").limit(sample).select("embedding").collect()
     by = {}
     for r in rows:
         by.setdefault(len(r[0]), []).append(r[0])
-    return {d: Index(unit(v), max(1, count / CELL)) for d, v in by.items()}
+    return {d: unit(v) for d, v in by.items()}
+
+
+def _fit(reps, sampled, cells):
+    """Index of each dimension that occurs, with ``cells`` cells at least where the sample allows it."""
+    indexes = {d: Index(x, max(1, cells)) for d, x in sampled.items()}
+    # a dimension that the sample missed gets a grid of one cell, so that it is searched in full
+    for r in reps.groupBy(F.size("embedding").alias("d")).agg(F.min("key").alias("key")).join(reps, "key").select("d", "embedding").collect():
+        indexes.setdefault(r["d"], Index(unit([r["embedding"]]), 1))
+    return indexes
 
 
-def _calibrate(reps, indexes, min_cosine, target, queries):
-    """Excess distance at which the traversal finds ``target`` of the links of a stated query set, by brute force over all rows.
+def _needs(reps, indexes, min_cosine, chosen):
+    """``(query, band) -> bin`` of the excess at which a query's links of a cosine band are all found, by brute force over all rows.
 
-    Each task counts its links in bins of the excess that finding them takes, from either end of the link.
+    Each task keeps the largest one of each query and band; a link may be found from either end.
     """
-    chosen = reps.orderBy(F.xxhash64("key", F.lit(1)), "key").limit(queries).select("key", "label", "embedding").collect()
     asked = {}
-    for d, index in indexes.items():
-        own = [r for r in chosen if len(r["embedding"]) == d]
-        if own:
-            x = unit([r["embedding"] for r in own])
-            asked[d] = (np.array([r["label"] for r in own]), np.array([r["key"] for r in own]), x, *index.distances(x))
-    schema = pa.schema([("bin", pa.int32()), ("n", pa.int64())])
+    for d in indexes:
+        own = np.array([n for n, r in enumerate(chosen) if len(r["embedding"]) == d], int)
+        if len(own):
+            x = unit([chosen[n]["embedding"] for n in own])
+            asked[d] = (own, np.array([chosen[n]["label"] for n in own]), np.array([chosen[n]["key"] for n in own]), x, *indexes[d].distances(x))
+    schema = pa.schema([("query", pa.int32()), ("band", pa.int32()), ("bin", pa.int32())])
+    total = len(chosen)
 
     def run(batches):
-        counts = np.zeros(BINS + 1, np.int64)
+        needs = np.full((total, 1 + len(BANDS)), -1, np.int64)
         for batch in batches:
             at = batch.schema.get_field_index
             dims = np.array([len(v) for v in batch.column(at("embedding"))])
-            for d, (labels, keys, x, first, second) in asked.items():
+            for d, (number, labels, keys, x, first, second) in asked.items():
                 picked = batch.filter(pa.array(dims == d))
                 if not picked.num_rows:
                     continue
                 y = unit(_matrix(picked.column(at("embedding"))))
                 own = np.array(picked.column(at("label")).to_pylist())
-                linked = (x @ y.T >= min_cosine) & (labels[:, None] == own) & (keys[:, None] != np.array(picked.column(at("key")).to_pylist()))
+                cosines = x @ y.T
+                linked = (cosines >= min_cosine) & (labels[:, None] == own) & (keys[:, None] != np.array(picked.column(at("key")).to_pylist()))
                 q, m = linked.nonzero()
                 if not len(q):
                     continue
@@ -131,20 +162,60 @@ def _calibrate(reps, indexes, min_cosine, target, queries):
                 other = indexes[d].cell(*theirs)
                 there = first[q, other[0][m]] + second[q, other[1][m]] - mine[2][q]
                 back = theirs[0][m, mine[0][q]] + theirs[1][m, mine[1][q]] - other[2][m]
-                counts += np.bincount(np.minimum(np.ceil(np.minimum(there, back) / BIN - 1e-9), BINS).astype(int), minlength=BINS + 1)
-        yield from flushed([(i, int(n)) for i, n in enumerate(counts) if n], schema)
+                bins = np.minimum(np.ceil(np.minimum(there, back) / BIN - 1e-9), BINS).astype(int)
+                np.maximum.at(needs, (number[q], np.searchsorted(BANDS, cosines[q, m], side="right")), bins)
+        yield from flushed([(int(q), int(b), int(needs[q, b])) for q, b in zip(*(needs >= 0).nonzero())], schema)
+
+    found = reps.select("key", "label", "embedding").mapInArrow(run, "query int, band int, bin int")
+    return {(r["query"], r["band"]): r["bin"] for r in found.groupBy("query", "band").agg(F.max("bin").alias("bin")).collect()}
+
+
+def _shares(chosen, min_cosine):
+    """One over the number of queries that a query links with, itself included, so that a large group counts about once."""
+    out = np.ones(len(chosen))
+    for d, label in {(len(r["embedding"]), r["label"]) for r in chosen}:
+        own = np.array([n for n, r in enumerate(chosen) if len(r["embedding"]) == d and r["label"] == label])
+        x = unit([chosen[n]["embedding"] for n in own])
+        for at in range(0, len(x), 256):
+            out[own[at:at + 256]] = 1 / np.maximum(1, (x[at:at + 256] @ x.T >= min_cosine).sum(axis=1))
+    return out
 
-    found = {r["bin"]: r["n"] for r in reps.select("key", "label", "embedding").mapInArrow(run, "bin int, n bigint")
-             .groupBy("bin").agg(F.sum("n").alias("n")).collect()}
-    total, seen = sum(found.values()), 0
-    for i in range(BINS + 1):
-        seen += found.get(i, 0)
-        if seen >= target * total:
-            return (i + 1) * BIN
-    return BINS * BIN
 
+def _calibrate(reps, indexes, min_cosine, target, queries, most=MOST_QUERIES):
+    """Excess distance at which ``target`` of the linked queries of every cosine band find all their links, or None.
 
-def _visits(reps, indexes, excess):
+    Query rows are drawn in growing blocks until each band has so many linked ones, groups counted about once, that the target
+    is a matter of more than one of them. None means that too few were found, so that nothing is known of the excess.
+    """
+    enough = math.ceil(1 / (1 - min(target, 0.9999)))
+    ordered = reps.orderBy(F.xxhash64("key", F.lit(1)), "key").select("key", "label", "embedding")
+    drawn, needs = 0, {}
+    while True:
+        size = min(most, max(queries, 4 * drawn))
+        chosen = ordered.limit(size).collect()
+        if len(chosen) <= drawn:
+            return None
+        found = _needs(reps, indexes, min_cosine, chosen[drawn:])
+        needs |= {(q + drawn, b): n for (q, b), n in found.items()}
+        shares, drawn, widest = _shares(chosen, min_cosine), len(chosen), 0
+        for band in range(1 + len(BANDS)):
+            bins = sorted((n, shares[q]) for (q, b), n in needs.items() if b == band)
+            total, seen = sum(w for _, w in bins), 0.0
+            if total < enough:
+                widest = None
+                break
+            for n, w in bins:
+                seen += w
+                if seen >= target * total:
+                    widest = max(widest, n)
+                    break
+        if widest is not None:
+            return (widest + 1) * BIN
+        if drawn < size or drawn >= most:
+            return None
+
+
+def _visits(reps, indexes, min_cosine, excess):
     """Each vector once in the cell it is stored in and once in each cell it visits."""
     schema = pa.schema([("key", pa.string()), ("label", pa.int64()), ("embedding", pa.list_(pa.float64())), ("weight", pa.int64()),
                         ("dim", pa.int32()), ("row", pa.int32()), ("col", pa.int32()), ("stored", pa.bool_()), ("own_row", pa.int32()), ("own_col", pa.int32())])
@@ -161,7 +232,7 @@ def _visits(reps, indexes, excess):
                     for n, r in enumerate(picked):
                         i, j, v = int(home[0][n]), int(home[1][n]), x[n].tolist()
                         yield r["key"], r["label"], v, r["weight"], d, i, j, True, i, j
-                        for a, b in traverse(first[n], second[n], excess):
+                        for a, b in indexes[d].visited(first[n], second[n], min_cosine, excess):
                             yield r["key"], r["label"], v, r["weight"], d, a, b, False, i, j
             yield from flushed(places(), schema, 500)
 
@@ -187,7 +258,9 @@ def _compare(indexes, min_cosine, excess):
         # the same pair turns up in the visitor's own cell if the stored vector comes by there: count it at one place
         first, second = indexes[d].distances(x[m])
         i, j = table["own_row"].to_numpy()[q], table["own_col"].to_numpy()[q]
-        twice = first[b, i[a]] + second[b, j[a]] <= first.min(axis=1)[b] + second.min(axis=1)[b] + excess
+        home = first.argmin(axis=1)[b], second.argmin(axis=1)[b]
+        width = excess if excess is not None else indexes[d].proven(home, i[a], j[a], min_cosine)
+        twice = first[b, i[a]] + second[b, j[a]] <= first.min(axis=1)[b] + second.min(axis=1)[b] + width
         counted = ~twice | (keys[q][a] < keys[m][b])
         links = np.zeros(len(keys), np.int64)
         np.add.at(links, q[a[counted]], weights[m[b[counted]]])
@@ -212,23 +285,23 @@ def _compare(indexes, min_cosine, excess):
 def links(reps, min_cosine=MIN_COSINE, target_recall=TARGET_RECALL, sample=SAMPLE, queries=QUERIES):
     """``key, links, root`` rows: links counted in a block, and a neighbour towards which the block's links lead.
 
-    Cells with many vectors are compared block against block, so no task holds more than two blocks.
+    The traversal is as wide as calibration finds it, or, where links are too rare for that, as a proof from the cosine
+    asks, so that no link is missed. Cells with many vectors are compared block against block, so no task holds more than two blocks.
     """
-    count = reps.count()
-    indexes = _fit(reps, count, sample)
-    if not indexes:
+    count, sampled = reps.count(), _sample(reps, sample)
+    if not sampled:
         return reps.select("key", F.lit(0).cast("bigint").alias("links"), F.col("key").alias("root")).limit(0)
-    # a dimension that the sample missed gets a grid of one cell, so that it is searched in full
-    for r in reps.groupBy(F.size("embedding").alias("d")).agg(F.min("key").alias("key")).join(reps, "key").select("d", "embedding").collect():
-        indexes.setdefault(r["d"], Index(unit([r["embedding"]]), 1))
+    indexes = _fit(reps, sampled, count / CELL)
     excess = _calibrate(reps, indexes, min_cosine, target_recall, queries)
-    placed = settle(_visits(reps, indexes, excess), "visits")
+    if excess is None:  # a proof reaches many cells, so they hold a block of the largest label each
+        indexes = _fit(reps, sampled, reps.groupBy("label").count().agg(F.max("count")).first()[0] / BLOCK)
+    placed = settle(_visits(reps, indexes, min_cosine, excess), "visits")
     cell = ["label", "dim", "row", "col"]
-    blocks = F.ceil(F.greatest(F.count_if("stored"), F.count_if(~F.col("stored"))) / BLOCK).cast("int")
-    sizes = settle(placed.groupBy(*cell).agg(blocks.alias("blocks")), "cells")  # so that a hot cell can be split
-    mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = placed.join(sizes, cell).withColumn("other", F.explode(every)).withColumn(
+    sizes = settle(placed.groupBy(*cell).agg(*[F.ceil(F.count_if(side) / BLOCK).cast("int").alias(name) for name, side in (
+        ("stored_blocks", F.col("stored")), ("visit_blocks", ~F.col("stored")))]), "cells")  # so that a hot cell can be split
+    mine = F.pmod(F.xxhash64("key"), F.when(F.col("stored"), F.col("stored_blocks")).otherwise(F.col("visit_blocks"))).cast("int")
+    every = F.sequence(F.lit(0), F.when(F.col("stored"), F.col("visit_blocks")).otherwise(F.col("stored_blocks")) - 1)
+    dealt = placed.join(sizes.where("stored_blocks > 0 and visit_blocks > 0"), cell).withColumn("other", F.explode(every)).withColumn(
         "of_stored", F.when(F.col("stored"), mine).otherwise(F.col("other"))).withColumn(
         "of_visits", F.when(F.col("stored"), F.col("other")).otherwise(mine))
     return dealt.groupBy(*cell, "of_stored", "of_visits").applyInArrow(
