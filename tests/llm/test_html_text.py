@@ -78,3 +78,23 @@ def test_given_pages(spark):
         parts = [" ".join(unescape(re.sub(r"<[^>]*>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         want = "\n".join(x for x in parts if x)
         assert got[r["page_id"]] == (want, len(want))
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="layout with-sidebar"><article><p>kept</p></article></div>', '<div id="page" class="no-comments"><article><p>kept</p></article></div>',
+    '<div class="header-fixed"><article><p>kept</p></article></div>', '<form action="/"><div><article><p>kept</p></article></div></form>',
+    '<div class="sidebar widget"><main><p>kept</p></main></div>', '<form><p>kept</p></form>', '<div class="promo"><form><article><p>kept</p></article></form></div>',
+    '<article><div class="entry-header"><p>kept</p></div></article>', '<article><div class="social"><p>kept</p></div></article>',
+    '<article><div class="related"><p>kept</p></div></article>', '<article><div class="notice"><p>kept</p></div></article>',
+    '<article><p>kept</p></article><div class="related"><article><p>other</p></article></div><form><p>name</p></form>',
+    '<article><p>kept</p><form><p>name</p></form><div class="ads"><p>buy</p></div></article>', '<p>kept</p><form><p>name</p></form><div class="ad"><p>buy</p></div>',
+    '<div class="comments"><article class="comment"><p>reader</p></article></div><p>kept</p>', '<main><p>kept</p><div class="related"><article><p>other</p></article></div></main>',
+])
+def test_wrappers_do_not_take_the_article_along(page):
+    assert text(page) == "kept"
+
+
+def test_an_articles_doubtful_parts_are_left_to_the_host(spark):
+    page = "<div class='with-sidebar'><article><div class='notice'><p>please accept all of our cookies right now</p></div><p>own {}</p></article></div>"
+    got = html_text.extract(spark.createDataFrame([(k, "http://a.example/", page.format(k)) for k in range(3)], "page_id bigint, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {k: f"own {k}" for k in range(3)}

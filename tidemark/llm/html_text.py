@@ -22,14 +22,19 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
          "section", "summary", "table", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PROSE = HEADING | {"p", "pre", "blockquote", "li", "dd", "dt", "td", "th", "figcaption", "caption", "summary", "article", "main"}
-#: What never belongs to the main text: by element, role, and words in class or id.
-DROPPED = {"nav", "footer", "aside", "form", "head", "template", "svg", "canvas", "object", "video", "audio", "button", "select", "datalist", "dialog", "menu"}
-DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
+#: What never belongs to the main text: by element, role, and whole words of class or id.
+DROPPED = {"nav", "footer", "aside", "head", "template", "svg", "canvas", "object", "video", "audio", "button", "select", "datalist", "dialog", "menu"}
+DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
 DROPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "sidebar", "nav", "navbar",
                  "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "banner", "cookie", "cookies", "consent", "gdpr",
                  "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "paywall", "comment",
                  "comments", "reply", "replies", "disqus", "share", "sharing", "social", "related", "recommended", "widget", "pagination", "pager",
                  "toolbar"}
+#: Those that say little inside an article, where they stand on its own parts too.
+UNSURE_WORDS = {"header", "masthead", "banner", "promo", "promotion", "notice", "notices", "alert", "overlay", "widget", "social", "share", "sharing",
+                "related", "recommended", "reply", "replies", "menu", "subscription"}
+#: How sure it is that an element is no part of a main text; a SOFT one may still be a wrapper round the article.
+UNSURE, SOFT, HARD = 1, 2, 3
 
 _TAG = re.compile(r"""<([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+|=)*+)>""")
 _END = re.compile(r"</([A-Za-z][^\s/>]*+)[^>]*+>")
@@ -78,30 +83,38 @@ def events(page):
             at = open_at + 1
 
 
-def _dropped(name, attributes, inside):
-    """True if the element is no part of a main text."""
+def _dropped(name, attributes, inside, in_article):
+    """How sure it is that the element is no part of a main text, 0 if nothing says so."""
     if name in DROPPED or name in RAW or name == "header" and not inside:
-        return True
+        return HARD
+    least = SOFT if name == "form" else 0
     if not attributes or attributes.isspace() or name in HEADING or name in ("html", "body", "main"):
-        return False
+        return least
     values = {m.group(1).lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in values or values.get("aria-hidden", "").lower() == "true" or "display:none" in values.get("style", "").replace(" ", "").lower():
-        return True
-    if values.get("role", "").lower() in DROPPED_ROLES:
-        return True
-    words = set(_WORD.findall(f"{values.get('class', '')} {values.get('id', '')}".lower()))
-    return bool(words & ({"comment", "comments", "reply", "replies"} if name == "article" else DROPPED_WORDS))
+        return HARD
+    role = values.get("role", "").lower()
+    if role in DROPPED_ROLES:
+        return HARD
+    tokens = set(f"{values.get('class', '')} {values.get('id', '')}".lower().split())
+    if name == "article":
+        return HARD if tokens & {"comment", "comments", "reply", "replies"} else least
+    if role == "form" or tokens & (DROPPED_WORDS - UNSURE_WORDS if in_article else DROPPED_WORDS):
+        return SOFT
+    return max(least, UNSURE if any(w in DROPPED_WORDS for t in tokens for w in _WORD.findall(t)) else 0)
 
 
 def blocks(page):
     """(text, open) of the visible blocks of a page's main region, in order.
 
-    The region is every article, else the main element, else the whole page. ``open`` marks blocks that structure leaves
-    undecided: outside any article, or inside one but in no element for prose.
+    The region is every article, else the main element, else the whole page. An article or main element inside a wrapper that its class,
+    its id or a form speaks against is the region if there is none outside, and what a form holds if there is nothing else. ``open``
+    marks blocks that structure leaves undecided: outside any article, or inside one but in no element for prose or in one
+    whose class or id speaks against it.
     """
     out, held = [], []  # (text, region, open)
     stack = []  # (name, region, dropped)
-    region, dropped, regions = "", False, set()
+    region, dropped = "", 0
 
     def close():
         if held:
@@ -109,15 +122,18 @@ def blocks(page):
             held.clear()
             if text:
                 container = next((n for n, *_ in reversed(stack) if n in BLOCK), "body")
-                out.append((text, region, not region or container not in PROSE))
+                out.append((text, region, not region or container not in PROSE or dropped == UNSURE))
+
+    def hidden():
+        return dropped == HARD or dropped == SOFT and region != "form"
 
     for kind, data, attributes in events(page):
         if kind == "text":
-            if not dropped:
+            if not hidden():
                 held.append(html.unescape(data))
             continue
         if data == "br" or data in VOID and data != "hr":
-            if not dropped and data == "br":
+            if not hidden() and data == "br":
                 held.append(" ")
             continue
         if kind == "start":
@@ -129,13 +145,19 @@ def blocks(page):
                         break
                     if stack[i][0] in BLOCK:
                         break
-                region, dropped = stack[-1][1:] if stack else ("", False)
+                region, dropped = stack[-1][1:] if stack else ("", 0)
             if data == "hr":
                 continue
-            dropped = dropped or _dropped(data, attributes, bool(region))
-            if not dropped and data in ("article", "main") and region != "article":
-                region = data
-                regions.add(data)
+            inside = region in ("article", "main", "wrapped article", "wrapped main")
+            dropped = max(dropped, _dropped(data, attributes, inside, region.endswith("article")))
+            if data in ("article", "main") and dropped != HARD:
+                if dropped < SOFT and not region.endswith("article"):
+                    region = f"wrapped {data}" if region.startswith("wrapped") else data
+                elif dropped == SOFT:
+                    region = f"wrapped {data}"
+                dropped = 0
+            elif data == "form" and dropped == SOFT and not region and not any(d >= SOFT for *_, d in stack):
+                region = "form"
             stack.append((data, region, dropped))
         else:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == data), None)
@@ -145,10 +167,11 @@ def blocks(page):
                 if any(n in BLOCK for n, *_ in stack[at:]):
                     close()
                 del stack[at:]
-                region, dropped = stack[-1][1:] if stack else ("", False)
+                region, dropped = stack[-1][1:] if stack else ("", 0)
     close()
-    wanted = "article" if "article" in regions else "main" if "main" in regions else ""
-    return [(t, o) for t, r, o in out if r == wanted or wanted == "main" and r]
+    seen = {r for _, r, _ in out}
+    wanted = next((r for r in ("article", "main", "wrapped article", "wrapped main", "", "form") if r in seen), "")
+    return [(t, o or wanted in ("", "form")) for t, r, o in out if r == wanted]
 
 
 def host_of(url):
