@@ -98,3 +98,22 @@ def test_an_articles_doubtful_parts_are_left_to_the_host(spark):
     page = "<div class='with-sidebar'><article><div class='notice'><p>please accept all of our cookies right now</p></div><p>own {}</p></article></div>"
     got = html_text.extract(spark.createDataFrame([(k, "http://a.example/", page.format(k)) for k in range(3)], "page_id bigint, url string, html string"))
     assert {r["page_id"]: r["text"] for r in got.collect()} == {k: f"own {k}" for k in range(3)}
+
+
+def test_boilerplate_is_shared_by_many_pages_and_long_or_at_an_end(spark):
+    draw = random.Random(13)
+
+    def own(n):
+        return " ".join("w%d" % draw.randrange(10**6) for _ in range(n))
+
+    notice, phrase, two = own(12), own(7), own(9)
+    rows, want = [], {}
+    for k in range(20):
+        parts = [own(9) for _ in range(4)]
+        rows.append((k, "http://a.example/", f"<article><p>{parts[0]}</p><p>{notice}</p><p>{parts[1]}</p></article>"))
+        want[k] = "\n".join(parts[:2])  # a notice in the article of every page
+        middle = f"{parts[2]} {phrase} {parts[3]}"
+        rows.append((100 + k, "http://b.example/", f"<body><div>{middle}</div>" + f"<div>{two}</div>" * (k < 2)))
+        want[100 + k] = middle + f"\n{two}" * (k < 2)  # seven words in mid-sentence, and a block of two pages in twenty
+    got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == want

@@ -2,7 +2,6 @@
 
 import html
 import re
-from bisect import bisect_right
 
 import pyarrow as pa
 import xxhash
@@ -11,8 +10,12 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .common import bare, flushed, rows_of, settle_text
 
-#: Words of a repeated substring, at least; shorter streams count as one substring.
+#: Words of a repeated substring, at least; shorter blocks count as one substring.
 DEPTH = 6
+#: Words from which a repeat inside a block is boilerplate; a shorter one must stand at the block's beginning or end.
+LONG = 16
+#: Share of a host's distinct pages, and least number of them, that must share a repeat: of open blocks, and of an article's prose.
+OPEN_PAGES, PROSE_PAGES = (0.25, 2), (0.5, 5)
 
 #: HTML's element classes.
 RAW = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript"}
@@ -193,38 +196,66 @@ def _parsed(pages):
 
 
 def repeated(parsed, depth=DEPTH):
-    """``host, content, places``: places in a page's open token stream where a substring starts that another page of its host has too.
+    """``host, content, places``: (block, word, many) where a substring starts in a page's blocks that another page of its host has too.
 
-    The array holds every suffix of the host's concatenated streams, cut at ``depth`` words, none of which runs into another page. Suffixes
+    ``many`` marks those that enough pages of the host share.
+
+    The array holds every suffix of the host's open blocks, cut at ``depth`` words, none of which runs into another block. Suffixes
     with an equal beginning stand together in it, so grouping finds what sorting would, with a partial aggregate before
-    the shuffle; pages count as distinct by their content, so copies of a page do not make it boilerplate.
+    the shuffle. Prose of an article stands in it by whole blocks, whose word is -1. Pages count as distinct by their content, so
+    copies of a page do not make it boilerplate.
     """
-    schema = pa.schema([("host", pa.string()), ("content", pa.binary()), ("place", pa.int32()), ("beginning", pa.binary())])
+    schema = pa.schema([("host", pa.string()), ("content", pa.binary()), ("block", pa.int32()), ("place", pa.int32()), ("beginning", pa.binary())])
 
     def run(batches):
         for batch in batches:
             def suffixes():
                 for host, content, own in rows_of(batch, "host", "content", "blocks"):
-                    words = [w for b in own if b["open"] for w in b["text"].split()]
-                    for i in range(max(1, len(words) - depth + 1)):
-                        yield host, content, i, xxhash.xxh3_128_digest(" ".join(words[i:i + depth]).encode("utf-8", "surrogatepass"))
+                    for n, b in enumerate(own):
+                        words = b["text"].split() if b["open"] else [b["text"]]
+                        for i in range(max(1, len(words) - depth + 1)):
+                            beginning = " ".join(words[i:i + depth]) if b["open"] else "\n" + b["text"]
+                            yield host, content, n, i if b["open"] else -1, xxhash.xxh3_128_digest(beginning.encode("utf-8", "surrogatepass"))
             yield from flushed(suffixes(), schema)
 
-    pages = parsed.select("host", "content", "blocks").dropDuplicates(["host", "content"])
-    array = settle(pages.mapInArrow(run, "host string, content binary, place int, beginning binary"), "suffixes")
-    common = settle(array.groupBy("host", "beginning").agg(F.min("content").alias("least"), F.max("content").alias("most")).where("least <> most"), "shared")
-    return array.join(common, ["host", "beginning"], "left_semi").groupBy("host", "content").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    array = settle(parsed.select("host", "content", "blocks").mapInArrow(run, "host string, content binary, block int, place int, beginning binary"), "suffixes")
+    sizes = parsed.groupBy("host").agg(F.countDistinct("content").alias("pages"))
+
+    def least(share, pages):
+        return F.greatest(F.lit(pages), F.ceil(F.lit(share) * F.col("pages")))
+
+    counts = array.groupBy("host", "beginning", (F.col("place") < 0).alias("prose")).agg(F.countDistinct("content").alias("n")).where("n > 1")
+    enough = F.when(F.col("prose"), least(*PROSE_PAGES)).otherwise(least(*OPEN_PAGES))
+    judged = counts.join(sizes, "host").select("host", "beginning", "prose", (F.col("n") >= enough).alias("many"))
+    common = settle(judged.where("many or not prose").select("host", "beginning", "many"), "shared")
+    return array.join(common, ["host", "beginning"]).groupBy("host", "content").agg(F.collect_set(F.struct("block", "place", "many")).alias("places"))
 
 
 def unique_text(own, places, depth=DEPTH):
-    """Blocks without the words that repeated substrings cover; words left over of a block stay as one block."""
-    out, at = [], 0
-    for text, is_open in own:
-        if is_open:
+    """Blocks without what is repeated: whole blocks, and runs of covered words that are long or stand at an end of their block.
+
+    Overlapping repeats make one run, which goes if many pages share a part of it; words left over of a block stay as one block.
+    """
+    at, out = {}, []
+    for p in places:
+        at.setdefault(p["block"], []).append((p["place"], p["many"]))
+    for n, (text, is_open) in enumerate(own):
+        if n in at and is_open:
             words = text.split()
-            left = [w for k, w in enumerate(words, at) if (i := bisect_right(places, k)) == 0 or places[i - 1] + depth <= k]
-            at += len(words)
-            text = " ".join(left)
+            covered = [False] * len(words)
+            runs = []
+            for i, many in sorted(at[n]):
+                past = min(i + depth, len(words))
+                if runs and i < runs[-1][1]:
+                    runs[-1] = runs[-1][0], past, runs[-1][2] or many
+                else:
+                    runs.append((i, past, many))
+            for first, past, many in runs:
+                if many and (first == 0 or past == len(words) or past - first >= LONG):
+                    covered[first:past] = [True] * (past - first)
+            text = " ".join(w for w, c in zip(words, covered) if not c)
+        elif n in at:
+            text = ""
         if text:
             out.append(text)
     return "\n".join(out)
@@ -234,17 +265,17 @@ def extract(pages, depth=DEPTH, id_col="page_id", url_col="url", html_col="html"
     """``page_id, url, text, n_chars`` of every page.
 
     Structure decides what it can: an article's headings, paragraphs, lists and tables are main text, menus, headers,
-    footers, sidebars, notices, adverts, forms and comments are not. What it leaves open, loose containers and pages without
-    an article, goes to the suffix array of the page's host: substrings of ``depth`` words or more that distinct pages
-    share are boilerplate and go, unique runs stay. Prose of an article stays even where another page repeats it.
+    footers, sidebars, adverts, forms and comments are not. What it leaves open, loose containers and pages without
+    an article, goes to the suffix array of the page's host: substrings of ``depth`` words or more that a quarter of its distinct pages
+    share are boilerplate if they are long or stand at an end of their block; unique runs stay. Prose of an article goes by whole
+    blocks, if half of the host's distinct pages share them and five at least.
 
     NULL and empty pages give an empty text, NULL URLs and ids stay, a page without host shares the empty host. Repeated
     rows stay; extra columns are left out; an empty table gives an empty table.
     """
     named = bare(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host_of(F.col("url")))
     parsed = settle_text(_parsed(named.select("page_id", "url", "host", "html")), "pages")
-    undecided = F.exists("blocks", lambda b: b["open"])
-    places = repeated(parsed.where(undecided), depth)
+    places = settle(repeated(parsed, depth), "places")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
     def run(batches):
@@ -252,7 +283,6 @@ def extract(pages, depth=DEPTH, id_col="page_id", url_col="url", html_col="html"
             yield from flushed(((i, url, unique_text([(b["text"], b["open"]) for b in own], places or [], depth))
                                 for i, url, own, places in rows_of(batch, "page_id", "url", "blocks", "places")), schema, 200)
 
-    judged = parsed.where(undecided).join(places, ["host", "content"], "left").select("page_id", "url", "blocks", "places")
-    plain = parsed.where(~undecided).select("page_id", "url", F.array_join(F.transform("blocks", lambda b: b["text"]), "\n").alias("text"))
-    found = plain.union(judged.mapInArrow(run, "page_id bigint, url string, text string"))
+    judged = parsed.join(places, ["host", "content"], "left").select("page_id", "url", "blocks", "places")
+    found = judged.mapInArrow(run, "page_id bigint, url string, text string")
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
