@@ -4,7 +4,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import centroids, decontaminate, embeddings, encoding, html_text, line_dedup, oracles, pieces, secrets, simhash, token_counts, toxicity, urls
+from . import centroids, conversations, decontaminate, embeddings, encoding, html_text, line_dedup, oracles, pieces, secrets, simhash, token_counts, toxicity, urls
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_centroids(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -59,5 +63,5 @@ def op13_pieces(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_simhash, op3_secrets, op4_embeddings, op5_toxicity, op6_bpe, op7_line_dedup, op8_urls,
-                                   op9_decontamination, op10_token_counts, op12_centroids, op13_pieces)}
-ORACLES = {"op12_centroids": oracles.clustering()}
+                                   op9_decontamination, op10_token_counts, op11_prefix_trie, op12_centroids, op13_pieces)}
+ORACLES = {"op11_prefix_trie": oracles.prefix_trie(), "op12_centroids": oracles.clustering()}
