@@ -9,6 +9,8 @@ from tidemark.ledger import audit, control
 from tidemark.operators import incremental as inc
 from tidemark.plans import loads
 from tidemark.session import scratch_path
+from tidemark.tables.commits import Conflict
+from tidemark.tables.files import FileTable
 
 T1, T2 = "2025-01-01 00:00:00", "2025-01-02 00:00:00"
 
@@ -322,6 +324,83 @@ def test_a_run_refuses_to_publish_over_another(spark, source, ledger):
     assert loads.current_table(ledger, spec).count() == 5
 
 
+def during(monkeypatch, ledger, other):
+    """Run ``other`` when the next run of ``ledger`` is about to publish."""
+    complete = ledger.complete
+
+    def meanwhile(run_id, **counts):
+        monkeypatch.setattr(ledger, "complete", complete)
+        other()
+        return complete(run_id, **counts)
+
+    monkeypatch.setattr(ledger, "complete", meanwhile)
+
+
+@pytest.mark.parametrize("parts", [None, 4])
+def test_of_two_runs_of_an_object_one_publishes(spark, source, ledger, rows, monkeypatch, parts):
+    spec, root = loads.LoadSpec(**SPEC, parts=parts), scratch_path(spark, "root")
+    during(monkeypatch, ledger, lambda: loads.run_load(ledger, source, spec, root, 2, T1))
+    with pytest.raises(Conflict):
+        loads.run_load(ledger, source, spec, root, 1, T1)
+    assert rows(loads.current_table(ledger, spec), "id") == [(1,), (2,), (3,), (4,)]
+    assert sorted(r["LoadStatus"] for r in ledger.runs().collect()) == ["Completed", "Failed"]
+
+
+def test_of_two_runs_of_a_zone_one_publishes(spark, source, ledger, rows, monkeypatch):
+    control_rows = spark.createDataFrame([(1, "things", "gold", "last_modified", None)],
+                                         "Controlid int, SourceObjectName string, DestinationZone string, IncrementalColumn string, LastWatermarkValue timestamp_ntz")
+    root = scratch_path(spark, "zone")
+    during(monkeypatch, ledger, lambda: loads.load_zone(control_rows, {"things": source}, "gold", root, 2, ledger))
+    with pytest.raises(Conflict):
+        loads.load_zone(control_rows, {"things": source}, "gold", root, 1, ledger)
+    assert rows(loads.zone_table(ledger, "gold", "things"), "id") == [(1,), (2,), (3,), (4,)]
+    during(monkeypatch, ledger, lambda: loads.load_zone(control_rows, {"all": source}, "gold", root, 4, ledger, full=["all"]))
+    with pytest.raises(Conflict):
+        loads.load_zone(control_rows, {"all": source}, "gold", root, 3, ledger, full=["all"])
+    assert loads.zone_table(ledger, "gold", "all").count() == source.count()
+
+
+def test_a_run_that_dies_after_its_commit_counts(spark, source, ledger, rows, monkeypatch):
+    control_rows = spark.createDataFrame([(1, "things", "gold", "last_modified", None)],
+                                         "Controlid int, SourceObjectName string, DestinationZone string, IncrementalColumn string, LastWatermarkValue timestamp_ntz")
+    root, spec = scratch_path(spark, "zone"), loads.LoadSpec(**SPEC)
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "_finish", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            loads.load_zone(control_rows, {"things": source}, "gold", root, 1, ledger)
+        with pytest.raises(OSError):
+            loads.run_load(ledger, source, spec, root, 1, T1)
+    assert loads.load_zone(control_rows, {"things": source}, "gold", root, 2, ledger)[1] == {"things": ("no new rows", 0, 1)}
+    assert loads.zone_table(ledger, "gold", "things").count() == 4
+    assert loads.run_load(ledger, source, spec, root, 2, T1)["RowsInserted"] == 0 and loads.current_table(ledger, spec).count() == 4
+
+
+def test_windows_are_folded_into_one_folder(spark, source, ledger, rows):
+    control_rows = spark.createDataFrame([(1, "things", "gold", "last_modified", None)],
+                                         "Controlid int, SourceObjectName string, DestinationZone string, IncrementalColumn string, LastWatermarkValue timestamp_ntz")
+    root = scratch_path(spark, "zone")
+    for batch, part in enumerate((source.filter("id < 2"), source)):
+        loads.load_zone(control_rows, {"things": part}, "gold", root, batch, ledger)
+    assert len(ledger.published("gold.things")) == 2 and loads.fold_zone(ledger, "gold", "things", root, 2) == 4
+    assert len(ledger.published("gold.things")) == 1
+    assert rows(loads.zone_table(ledger, "gold", "things"), "id") == [(1,), (2,), (3,), (4,)]
+    assert loads.load_zone(control_rows, {"things": source}, "gold", root, 3, ledger)[1] == {"things": ("no new rows", 0, 1)}
+
+
+@pytest.mark.parametrize("parts", [None, 4])
+def test_a_source_with_a_zone_map_is_loaded_from_the_files_of_its_window(spark, source, ledger, rows, parts):
+    table, spec, root = FileTable(spark, scratch_path(spark, "source"), "Last Modified"), loads.LoadSpec(**SPEC, parts=parts), scratch_path(spark, "root")
+    table.append(source.coalesce(1))
+    assert loads.run_load(ledger, table, spec, root, 1, T1)["RowsWithoutWatermark"] == 1
+    for name in [r[0] for r in table.files().select("file").collect()]:
+        with open(f"{table.path}/{name}", "wb") as f:
+            f.write(b"spoilt: a later window must not read it")
+    table.append(later(spark, source).filter("`Last Modified` > TIMESTAMP_NTZ '2024-01-04 00:00:00'"))
+    second = loads.run_load(ledger, table, spec, root, 2, T2)
+    assert (second["RowsInserted"], second["RowsUpdated"]) == (1, 1)
+    assert rows(loads.current_table(ledger, spec), "id", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "d"), (6, "f")]
+
+
 def test_inactive_control_rows_and_metadata(spark):
     rows = spark.createDataFrame([(1, "a", "Gold", False), (2, "a", "Gold", None)], "Controlid int, SourceObjectName string, DestinationZone string, IsActive boolean")
     assert inc.control_for(rows, "A", "gold")["Controlid"] == 2

@@ -4,6 +4,7 @@ import time
 from contextlib import contextmanager
 from datetime import datetime, timezone
 from decimal import Decimal
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..operators.incremental import FIRST_WATERMARK
 from ..schemas import AUDIT_EVENTS
 from ..session import settle
 from ..sources.paths import exists
+from ..tables.commits import CommitLog, Conflict
 
 # Load states.
 STARTED, COMPLETED, FAILED = "Started", "Completed", "Failed"
@@ -40,7 +42,11 @@ def completed_fields(status, start, end, size_bytes=None):
 
 
 class Ledger:
-    """Audit events of loads, kept as parquet files under ``path``."""
+    """Audit events of loads, kept as parquet files under ``path``, and for each object a log of commits that name what was published.
+
+    The commit decides: it can be made once for each predecessor, so of two runs that build on the same state one is refused. The event that
+    follows reports it.
+    """
 
     def __init__(self, spark, path, clock=_utc_now):
         self.spark, self.path, self.clock = spark, path, clock
@@ -79,34 +85,42 @@ class Ledger:
             event["ThroughputInKbps"] = rate.quantize(Decimal("0.01"))
         return self._write(event)
 
-    def complete(self, run_id, **counts):
+    def complete(self, run_id, publish=None, **counts):
+        """Publish, if there is something to publish (a function that commits), and record the end of the run."""
+        if publish:
+            publish()
         return self._finish(run_id, COMPLETED, {"IsStageLoaded": True, **counts})
 
     def fail(self, run_id, error):
         return self._finish(run_id, FAILED, {"ErrorMsg": str(error)})
 
+    def commits(self, name) -> CommitLog:
+        """The commits of one object: a control id or the name of a source."""
+        return CommitLog(self.spark, f"{self.path}/_commits/{quote(str(name), safe='')}")
+
     def last_sink(self, control_id):
-        """Folder the last completed run of an object published, or None."""
-        done = self.runs().filter((F.col("ETLControlID") == control_id) & (F.col("LoadStatus") == COMPLETED)
-                                  & F.col("Sink").isNotNull())
-        row = done.orderBy(F.desc("ETLEndTime"), F.desc("ETLAuditLogID")).select("Sink").first()
-        return row[0] if row else None
+        """Folder the last commit of an object published, or None."""
+        return (self.commits(control_id).last()[1] or {}).get("sink")
 
     def published(self, source):
-        """Folders that completed runs of a named source published, in order of their runs. One short text for each run."""
-        done = self.runs().filter((F.col("Source") == source) & (F.col("LoadStatus") == COMPLETED) & F.col("Sink").isNotNull())
-        return [r[0] for r in done.orderBy("ETLStartTime", "ETLAuditLogID").select("Sink").collect()]
+        """Folders published for a named source, in order: all since it was last replaced. One short text for each run."""
+        sinks = []
+        for content in self.commits(source).backwards():
+            sinks.append(content["sink"])
+            if content.get("replaces"):
+                break
+        return sinks[::-1]
 
     def high_mark(self, source, dtype):
-        """Greatest high bound that completed runs of a named source recorded, as ``dtype``, or None."""
-        done = self.runs().filter((F.col("Source") == source) & (F.col("LoadStatus") == COMPLETED))
-        return done.agg(F.max(F.col("ETLMaxValue").try_cast(dtype))).first()[0]
+        """High bound of the last commit of a named source that had one, as ``dtype``, or None."""
+        mark = next((c["high"] for c in self.commits(source).backwards() if c.get("high") is not None), None)
+        return mark and self.spark.range(1).select(F.lit(mark).try_cast(dtype)).first()[0]
 
 
 @contextmanager
 def with_audit(ledger, **fields):
     """Wrap a job: start, then complete with the counts put in the yielded dict; an error is
-    logged with its message and raised again."""
+    logged with its message and raised again. ``publish`` among the counts is called at the end and is what makes the result count."""
     run_id = ledger.start(**fields)
     counts = {}
     try:
@@ -114,7 +128,12 @@ def with_audit(ledger, **fields):
     except Exception as error:
         ledger.fail(run_id, error)
         raise
-    ledger.complete(run_id, **counts)
+    try:
+        ledger.complete(run_id, **counts)
+    except Conflict as error:
+        ledger.fail(run_id, error)
+        raise
+    counts.pop("publish", None)
 
 
 def successful(log) -> DataFrame:

@@ -1,7 +1,9 @@
-"""Whole load jobs: write new content to a fresh folder, then record it.
+"""Whole load jobs: write new content to a fresh folder, then publish it by a numbered commit and record the run.
 
-Readers ask the ledger for the last completed folder, so a job that dies at any point leaves the
-previous content in force, and running it again gives the same result.
+Readers ask the ledger for the folder of the last commit, so a job that dies at any point leaves the
+previous content in force, and running it again gives the same result. Of two runs that started from the same commit one is refused.
+
+A source may be a ``tables.files.FileTable``: then bounds come from its zone map and a window opens only the files that overlap it.
 """
 
 import json
@@ -25,6 +27,9 @@ from ..operators.upsert import (
 )
 from ..sources.paths import exists, list_names
 from ..sources.readers import read_parquet, run_entities
+from ..tables.commits import Conflict
+from ..tables.files import FileTable
+from ..tables.keyed import KeyedTable
 
 CHANGE = "_change"
 
@@ -42,19 +47,54 @@ class LoadSpec:
     order: list | None = None
     lookback_days: int = 0
     mark_deleted: bool = False
+    parts: int | None = None  # store a keyed target in so many parts by key, of which a load rewrites those it touches
+
+
+def keyed_target(ledger, spec, root):
+    """The target of an object that is stored in parts."""
+    return KeyedTable(ledger.spark, f"{root}/{spec.name}", spec.keys, spec.parts)
 
 
 def current_table(ledger, spec):
-    """Content published by the last completed run, or None."""
+    """Content published by the last commit, or None."""
     path = ledger.last_sink(spec.control_id)
+    if path and spec.parts:
+        return KeyedTable(ledger.spark, path, spec.keys, spec.parts).read()
     return read_parquet(ledger.spark, path).drop(CHANGE) if path else None
 
 
+# A source's window: from the zone map of a table of files, else from a scan of the watermark column.
+
+
+def _columns_of(source):
+    return source.scan(source.files().limit(0)) if isinstance(source, FileTable) else source
+
+
+def _high(source, column):
+    return source.high_water() if isinstance(source, FileTable) else high_water(source, column)
+
+
+def _unmarked(source, column):
+    return source.null_watermarks() if isinstance(source, FileTable) else null_watermarks(source, column).count()
+
+
+def _window(source, column, low, high, lookback_days=0):
+    if isinstance(source, FileTable):
+        return source.window(low, high, lookback_days=lookback_days)
+    return incremental(source, column, low, high, lookback_days=lookback_days)
+
+
+def _whole(source):
+    return source.read() if isinstance(source, FileTable) else source
+
+
 def last_bound(ledger, spec, dtype):
-    """High bound of the last successful run with rows, compared as the watermark's type; None before the first."""
+    """High bound of the last run with rows, compared as the watermark's type; None before the first. Both the runs and the commits are
+    asked, as a run may die between its commit and its last event."""
     runs = ledger.runs().filter((F.col("ETLControlID") == spec.control_id) & F.col("IsLoadSuccess")
                                 & (F.col("RowsInserted") + F.col("RowsUpdated") > 0))
-    return runs.agg(F.max(F.col("ETLMaxValue").try_cast(dtype))).first()[0]
+    told = runs.agg(F.max(F.col("ETLMaxValue").try_cast(dtype))).first()[0]
+    return max((b for b in (told, ledger.high_mark(spec.control_id, dtype)) if b is not None), default=None)
 
 
 def wanted_columns(spec, rows):
@@ -71,52 +111,63 @@ def run_load(ledger, source, spec, root, batch_id, now, bounds=None, audit=None)
     run's events, such as PipelineName, ActivityID and ActivityName. Objects without both key and
     other columns are reloaded whole, so their watermark is not used. The first load has no low bound. Rows without a
     watermark can never be picked by a window; their number is recorded with the run.
-    The change counts come from the written folder's own label column, read back as one column. A run that finds another
-    folder published since it started refuses to publish over it.
+    A run publishes as the successor of the commit it started from, so a run that finds another one published since refuses. Its counts come from the
+    write: from the written folder's own label column, read back as one column, or with ``spec.parts`` from metrics of the write.
     """
-    spark = ledger.spark
+    spark, log = ledger.spark, ledger.commits(spec.control_id)
+    version, _ = log.last()
     base = ledger.last_sink(spec.control_id)
-    target = read_parquet(spark, base).drop(CHANGE) if base else None
-    keep = spec.columns or source.columns
-    keyed = bool(spec.keys and set(business_columns(source.select(*keep))) - set(spec.keys))
+    target = read_parquet(spark, base).drop(CHANGE) if base and not spec.parts else None
+    columns = _columns_of(source)
+    keep = spec.columns or columns.columns
+    keyed = bool(spec.keys and set(business_columns(columns.select(*keep))) - set(spec.keys))
     windowed = bool(keyed and spec.watermark)
     if windowed and spec.mark_deleted:
         raise ValueError("a window of the source cannot tell which target rows were deleted")
     low = high = None
     if windowed:
-        column = resolve_column(source, spec.watermark)
+        column = resolve_column(columns, spec.watermark)
         if column is None:
             raise KeyError(f"{spec.name} has no watermark column {spec.watermark!r}")
-        dtype = source.schema[column].dataType
+        if isinstance(source, FileTable) and source.watermark != column:
+            raise ValueError(f"the zone map of {spec.name} is over {source.watermark!r}, not {column!r}")
+        dtype = columns.schema[column].dataType
         if bounds:
             low, high = bounds
         else:
-            low = last_bound(ledger, spec, dtype) if target is not None else None
-            high = high_water(source, column)
+            low = last_bound(ledger, spec, dtype) if base else None
+            high = _high(source, column)
     kind = "Adhoc" if windowed and bounds else "Incremental" if windowed else "Full"
     window = {k: None if v is None else str(v) for k, v in (("ETLMinValue", low), ("ETLMaxValue", high))}
     fields = {"ETLControlID": spec.control_id, "ETLBatchID": batch_id, "Source": spec.name, "LoadType": kind} | window | (audit or {})
     with with_audit(ledger, **fields) as counts:
-        rows = source
         if windowed:
-            counts["RowsWithoutWatermark"] = null_watermarks(source, column).count()
-            rows = incremental(source, column, low, high, lookback_days=spec.lookback_days)
+            counts["RowsWithoutWatermark"] = _unmarked(source, column)
+            rows = _window(source, column, low, high, spec.lookback_days)
+        else:
+            rows = _whole(source)
         rows = extract(rows, columns=wanted_columns(spec, rows), blank_cols=spec.blank_cols)
-        # A folder of its own per attempt: a repeated batch never writes over the one it reads.
-        path = f"{root}/{spec.name}/batch_{batch_id}-{uuid.uuid4().hex[:8]}"
-        if not keyed:
-            written = full_reload(rows.select(*keep), batch_id, now).withColumn(CHANGE, F.lit("insert"))
-        elif target is None:
-            first = one_per_key(rows, spec.keys, spec.order).select(*keep)
-            written = stamp_audit_cols(first, batch_id, now).withColumn(CHANGE, F.lit("insert"))
+        content = {"batch": batch_id, "high": window["ETLMaxValue"] if kind == "Incremental" else None}
+        if keyed and spec.parts:
+            table = keyed_target(ledger, spec, root)
+            rows = rows.select(*dict.fromkeys([*keep, *(spec.order or [])]))
+            path, found = table.path, table.upsert(rows, batch_id, now, order=spec.order, mark_deleted=spec.mark_deleted)
         else:
-            written = hash_upsert(target, rows, spec.keys, batch_id, now, order=spec.order,
-                                  mark_deleted=spec.mark_deleted, label=CHANGE)
-        written.write.mode("errorifexists").parquet(path)
-        report = change_counts(spark.read.parquet(path).select(CHANGE), CHANGE).first()
-        counts |= report.asDict() | {"Sink": path}
+            # A folder of its own per attempt: a repeated batch never writes over the one it reads.
+            path = f"{root}/{spec.name}/batch_{batch_id}-{uuid.uuid4().hex[:8]}"
+            if not keyed:
+                written = full_reload(rows.select(*keep), batch_id, now).withColumn(CHANGE, F.lit("insert"))
+            elif target is None:
+                first = one_per_key(rows, spec.keys, spec.order).select(*keep)
+                written = stamp_audit_cols(first, batch_id, now).withColumn(CHANGE, F.lit("insert"))
+            else:
+                written = hash_upsert(target, rows, spec.keys, batch_id, now, order=spec.order,
+                                      mark_deleted=spec.mark_deleted, label=CHANGE)
+            written.write.mode("errorifexists").parquet(path)
+            found = change_counts(spark.read.parquet(path).select(CHANGE), CHANGE).first().asDict()
+        counts |= found | {"Sink": path, "publish": lambda: log.commit(version, content | {"sink": path, "rows": found})}
         if ledger.last_sink(spec.control_id) != base:
-            raise RuntimeError(f"another run published {spec.name} in the meantime")
+            raise Conflict(f"another run published {spec.name} in the meantime")
     return counts
 
 
@@ -139,10 +190,10 @@ def run_control(ledger, source, control, root, batch_id, now, keys=(), version=N
                     metadata_columns(row.get("ColumnMetaData")), **options)
     bounds = None
     if watermark:
-        column = resolve_column(source, watermark)
-        high = high_water(source, column)
+        column = resolve_column(_columns_of(source), watermark)
+        high = _high(source, column)
         asked = ledger.spark.createDataFrame([(row["ETLControlID"], row["LoadType"], kind, "DATE" if kind == "Predicate" and not isinstance(
-            source.schema[column].dataType, T.NumericType) else "", None if high is None else str(high), row.get("AdhocMin"), row.get("AdhocMax"))],
+            _columns_of(source).schema[column].dataType, T.NumericType) else "", None if high is None else str(high), row.get("AdhocMin"), row.get("AdhocMax"))],
             "ETLControlID bigint, LoadType string, DeltaDetectType string, DeltaDetect string, ETLMaxValue string, AdhocMin string, AdhocMax string")
         found = resolve_low(ledger.runs(), asked).first()
         # before any run and in a full load nothing is too old to load
@@ -185,31 +236,35 @@ def load_zone(control, sources, zone, root, batch_id, ledger, full=()):
 
     Objects in ``full`` are replaced. The others load the window after their control row's watermark or the ledger's, whichever
     is later; one without a control row, watermark column or new rows is skipped and says why. Each object's folder counts from
-    the moment the ledger has it, so neither a crash between data and watermark nor a lost control table doubles rows.
+    its commit, which also holds the watermark, so neither a crash between data and watermark nor a lost control table doubles rows. A run that
+    finds another one's commit raises a ``Conflict`` and leaves that commit in force.
     """
     report = {}
     for name, df in sources.items():
         source, folder = f"{zone}.{name}", f"{root}/{name}/batch_{batch_id}-{uuid.uuid4().hex[:8]}"
         if name in full:
-            report[name] = ("loaded", full_load(df, folder, batch_id, ledger, source)[1], 0)
+            report[name] = ("loaded", full_load(_whole(df), folder, batch_id, ledger, source)[1], 0)
             continue
-        row = control_for(control, name, zone)
-        column = row and resolve_column(df, row["IncrementalColumn"])
+        row, columns = control_for(control, name, zone), _columns_of(df)
+        column = row and resolve_column(columns, row["IncrementalColumn"])
         if not column:
             report[name] = ("no control row" if row is None else f"no column {row['IncrementalColumn']}", 0, 0)
             continue
-        dtype = df.schema[column].dataType
+        dtype, log = columns.schema[column].dataType, ledger.commits(source)
+        version, _ = log.last()  # read before the mark, so that a later commit is a conflict
         marks = [m for m in (row["LastWatermarkValue"], ledger.high_mark(source, dtype)) if m is not None]
-        high, unmarked = high_water(df, column), null_watermarks(df, column).count()
+        high, unmarked = _high(df, column), _unmarked(df, column)
         last = max(marks, default=None)
-        fresh = None if high is None else incremental(df, column, last, high)
+        fresh = None if high is None else _window(df, column, last, high)
         if fresh is None or fresh.isEmpty():
             report[name] = ("no new rows", 0, unmarked)
             continue
         with with_audit(ledger, ETLBatchID=batch_id, Source=source, LoadType="Incremental", ETLMinValue=None if last is None else str(last),
                         ETLMaxValue=str(high)) as counts:
             rows = observed_write(fresh, folder)["rows"]
-            counts |= {"RowsInserted": rows, "RowsWithoutWatermark": unmarked, "Sink": folder}
+            content = {"sink": folder, "high": str(high), "batch": batch_id, "rows": rows}
+            counts |= {"RowsInserted": rows, "RowsWithoutWatermark": unmarked, "Sink": folder,
+                       "publish": lambda log=log, version=version, content=content: log.commit(version, content)}
         control = advance(control, row["SourceObjectName"], high, "SourceObjectName", "LastWatermarkValue",
                           F.col("DestinationZone") == row["DestinationZone"])
         report[name] = ("loaded", rows, unmarked)
@@ -217,13 +272,24 @@ def load_zone(control, sources, zone, root, batch_id, ledger, full=()):
 
 
 def zone_table(ledger, zone, name, whole=False):
-    """What completed runs published of a zone's object: all windows, or of an object that is replaced the last folder."""
+    """What was published of a zone's object: all windows, or of an object that is replaced the last folder."""
     folders = ledger.published(f"{zone}.{name}")
     if not folders:
         raise FileNotFoundError(f"nothing published of {zone}.{name}")
     return ledger.spark.read.parquet(*(folders[-1:] if whole else folders))
 
 
+def fold_zone(ledger, zone, name, root, batch_id):
+    """Write all published windows of an object to one folder that replaces theirs, so that readers open one. Returns its rows."""
+    source, log = f"{zone}.{name}", ledger.commits(f"{zone}.{name}")
+    version, content = log.last()
+    folder = f"{root}/{name}/folded_{batch_id}-{uuid.uuid4().hex[:8]}"
+    with with_audit(ledger, ETLBatchID=batch_id, Source=source, LoadType="Fold") as counts:
+        rows = observed_write(zone_table(ledger, zone, name), folder)["rows"]
+        counts |= {"Sink": folder, "publish": lambda: log.commit(version, content | {"sink": folder, "replaces": True, "batch": batch_id, "rows": rows})}
+    return rows
+
+
 def observed_write(df, path, **metrics):
     """Write and count in the same job; returns the metric values."""
     watch = Observation()
@@ -233,14 +299,17 @@ def observed_write(df, path, **metrics):
 
 
 def full_load(df, path, batch_id, ledger=None, source=None):
-    """Replace a table by the whole source: a folder of its own, counted while written, current once the ledger has it."""
+    """Replace a table by the whole source: a folder of its own, counted while written, current once it is committed."""
     if ledger is None:
         return path, observed_write(df, path)["rows"]
+    log = ledger.commits(source)
+    version, _ = log.last()
     with with_audit(ledger, ETLBatchID=batch_id, Source=source, LoadType="Full") as counts:
         rows = observed_write(df, path)["rows"]
-        counts |= {"RowsInserted": rows, "Sink": path}
+        counts |= {"RowsInserted": rows, "Sink": path,
+                   "publish": lambda: log.commit(version, {"sink": path, "replaces": True, "batch": batch_id, "rows": rows})}
     return path, rows
 
 
-__all__ = ["LoadSpec", "bronze_to_silver", "current_table", "full_load", "last_bound", "latest_batch", "load_zone", "observed_write", "read_batches",
-           "run_control", "run_load", "zone_table"]
+__all__ = ["LoadSpec", "bronze_to_silver", "current_table", "fold_zone", "full_load", "keyed_target", "last_bound", "latest_batch", "load_zone",
+           "observed_write", "read_batches", "run_control", "run_load", "zone_table"]

@@ -50,6 +50,20 @@ def stream_changes(sdf, path, keys, order, checkpoint, available_now=False):
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def stream_into(sdf, table, order, checkpoint, op_col=None, source="stream", available_now=False):
+    """Land each micro-batch as a delta of a ``tables.keyed.KeyedTable``.
+
+    A batch costs what it holds: neither the table nor earlier batches are read. One that runs twice is stored once, also after
+    ``table.compact`` has folded it in. ``order`` decides inside a batch; batches count in their order. ``source`` names the stream: give each
+    stream that feeds a table its own, and a new one to a stream that starts from a new checkpoint.
+    """
+    def land(batch, batch_id):
+        table.apply(batch, batch_id, list(order), op_col=op_col, source=source)
+
+    writer = sdf.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def stream_upsert(target, changes, keys, order, batch_id, now, **options) -> DataFrame:
     """Merge landed changes into a target: the last change per key over all micro-batches wins."""
     last = one_per_key(changes, list(keys), [*order, "batch_id"]).drop("batch_id")
