@@ -1,17 +1,26 @@
 """Tables of committed files: upserts of parts, deltas, windows from bounds of files, loads that run at once."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..ledger import audit
 from ..operators import upsert as up
 from ..operators.layout import range_bucket
 from ..plans import loads
+from ..schemas import DEVICE_MESSAGES
 from ..streaming import ingest
+from ..tables.aggregates import Measures, RefreshedAggregate, weighted
+from ..tables.checked import CheckedTable, Rules, lines
 from ..tables.commits import Conflict
 from ..tables.files import FileTable
+from ..tables.ingest import FileIngest
 from ..tables.keyed import KeyedTable
-from .base import query
+from ..tables.ranges import RangeTable
+from .base import as_double, query
 from .loads import CHANGE_SQL, FEED_SQL, NOW1, NOW2, _feed, _stored
+from .streams import MESSAGES_SQL
 
 
 @query("load_keyed_upsert", f"""SELECT c_custkey, c_name, c_acctbal, c_mktsegment,
@@ -119,3 +128,86 @@ def _(t):
     ingest.stream_into(source, table, ["ts", "event_id"], path, available_now=True).awaitTermination()
     table.compact()
     return table.read()
+
+
+@query("src_new_files", """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, 3 AS first, 0 AS again, 1 AS changed
+ FROM orders""")
+def _(t):
+    """A tree of one file for each status, read three times: all files, none, and the one that has changed."""
+    tree, schema = t.scratch("tree"), T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_totalprice", T.DoubleType())])
+
+    def put(status, rows):
+        rows.select("o_orderkey", "o_totalprice").coalesce(1).write.mode("overwrite").csv(f"{tree}/{status}", header=True)
+
+    for status in ("F", "O", "P"):
+        put(status, t.orders.filter(F.col("o_orderstatus") == status))
+    table = FileIngest(t.spark, t.scratch("ingested"), schema)
+    counts = [table.run(tree, "*.csv"), table.run(tree, "*.csv")]
+    put("F", t.orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    counts.append(table.run(tree, "*.csv", mirror=True))  # the old file is gone, the new one has another name
+    return table.read().select("o_orderkey", "o_totalprice", *[F.lit(n).alias(c) for n, c in zip(counts, ("first", "again", "changed"))])
+
+
+@query("dq_checked_load", """SELECT 'orders' AS part, o_orderkey, NULL AS failed_rules FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice >= 50000
+ UNION ALL SELECT 'quarantine', o_orderkey, concat_ws(',', CASE WHEN o_orderstatus = 'P' THEN 'malformed' END,
+ CASE WHEN o_orderstatus <> 'P' AND o_totalprice < 50000 OR o_orderstatus = 'P' THEN 'price' END) FROM orders WHERE o_orderstatus = 'P' OR o_totalprice < 50000""")
+def _(t):
+    # Pending orders land with text where the price belongs; small orders break a rule. One pass counts, routes and publishes.
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(F.col("o_totalprice").cast("string"))
+    path, wanted = t.scratch("dirty"), t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    wanted.withColumn("o_totalprice", price).write.csv(path, header=True)
+    table = CheckedTable(t.spark, t.scratch("checked"))
+    rules = Rules({"price": F.col("o_totalprice") >= 50000}, required=("o_orderkey",), limits={"o_orderstatus": 1}, unique=("o_orderkey",), budget=0.99)
+    report = table.load(lines(t.spark, path, wanted.schema), rules, 1)
+    assert table.load(wanted, rules, 1) is None and report["rows"] == sum(p.count() for p in (table.read(), table.quarantine(report)))
+    good = table.read().select(F.lit("orders").alias("part"), "o_orderkey", F.lit(None).cast("string").alias("failed_rules"))
+    return good.union(table.quarantine(report).select(F.lit("quarantine"), "o_orderkey", F.array_join("failed_rules", ",")))
+
+
+@query("sink_refreshed_agg", """SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, count(DISTINCT o_orderpriority) AS priorities,
+ min(o_orderpriority) AS first, max(o_orderpriority) AS last FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_custkey""")
+def _(t):
+    # Loaded: finished and open orders. Then pending ones come and finished ones go.
+    kept = RefreshedAggregate(t.spark, t.scratch("totals"), ["o_custkey"], Measures({"total": "o_totalprice"}, {"priority": "o_orderpriority"}), parts=8)
+    orders = t.orders.select("o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    none = orders.limit(0)
+    kept.refresh(weighted(orders.filter("o_orderstatus <> 'P'"), none), 1)
+    for batch in (2, 2):
+        kept.refresh(weighted(orders.filter("o_orderstatus = 'P'"), orders.filter("o_orderstatus = 'F'")), batch)
+    return kept.read().select("o_custkey", F.col("n_rows").alias("n"), as_double("total").alias("total"), F.col("priority_distinct").alias("priorities"),
+                              F.col("priority_min").alias("first"), F.col("priority_max").alias("last"))
+
+
+@query("sink_switched_ranges", """SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1996 THEN 0.0 ELSE o_totalprice END AS o_totalprice, TRUE AS others_kept
+ FROM orders WHERE year(o_orderdate) <> 1997""")
+def _(t):
+    # 1996 is replaced, 1997 dropped; the files of the other ranges keep their names.
+    bounds = [datetime(y, 1, 1) for y in (1996, 1997, 1998, 1999)]
+    table = RangeTable(t.spark, t.scratch("ranges"), "o_orderdate", bounds)
+    orders = t.orders.select("o_orderkey", "o_totalprice", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+    table.append(orders, 1)
+    before = table.files().select("part", "file").collect()
+    table.switch(1, orders.filter("year(o_orderdate) = 1996").withColumn("o_totalprice", F.lit(0.0)))
+    table.switch(2)
+    after = {r[0] for r in table.files().select("file").collect()}
+    kept = {r.file for r in before} & after == {r.file for r in before if r.part not in (1, 2)}
+    return table.between().select("o_orderkey", "o_totalprice", F.lit(kept).alias("others_kept"))
+
+
+@query("stream_unique_messages", MESSAGES_SQL + """ UNION ALL SELECT 'malformed', NULL, CAST(count(*) AS VARCHAR), NULL, NULL FROM events WHERE event_type = 'view'""")
+def _(t):
+    # Every message comes twice in the first run and once more after a restart; view events also send a cut-off body, in the first run alone.
+    folder, path, checkpoint = t.scratch("in"), t.scratch("landed"), t.scratch("checkpoint")
+    body = F.to_json(F.struct(F.col("event_id").cast("string").alias("messageid"), F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("device_id"),
+                              F.col("event_type").alias("temperature"), F.col("user_id").cast("string").alias("humidity"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp")))
+    whole = t.events.select(body.alias("body"))
+    cut = t.events.filter("event_type = 'view'").select(F.lit('{"messageid": "1').alias("body"))
+    for sent in (whole.union(whole).union(cut), whole):
+        sent.write.mode("append").parquet(folder)
+        source = ingest.stream_source(t.spark, "parquet", sent.schema, folder)
+        for landing in ingest.land_messages(source, DEVICE_MESSAGES, "messageid", "timestamp", "60 days", path, checkpoint, available_now=True):
+            landing.awaitTermination()
+    good = t.spark.read.schema(DEVICE_MESSAGES).parquet(f"{path}/messages")
+    bad = t.spark.read.schema("malformed_body string").parquet(f"{path}/malformed")
+    nothing = F.lit(None).cast("string")
+    return good.union(bad.agg(F.count("*").cast("string").alias("n")).select(F.lit("malformed"), nothing, "n", nothing, nothing))

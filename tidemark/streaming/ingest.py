@@ -1,11 +1,12 @@
 """Ingest of message streams and change streams.
 
-No query here keeps state: parsing is row by row, and a change stream lands as per-batch folders
-that a batch job merges, so the cost of a micro-batch follows the batch and not the target.
+Parsing is row by row, and a change stream lands as per-batch folders or deltas that a batch job merges, so the cost of a micro-batch
+follows the batch and not the target. Only ``unique_messages`` keeps state, and forgets it as the watermark moves on.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.nested import parse_json
 from ..operators.project import cast_cols
@@ -25,6 +26,42 @@ def parse_stream(sdf, schema, body="body") -> DataFrame:
     return sdf.select(parse_json(F.col(body), schema).alias("data")).select("data.*")
 
 
+#: Column of a message that could not be read: its text.
+MALFORMED = "malformed_body"
+
+
+def split_stream(sdf, schema, body="body", id_col=None, time_col=None) -> tuple[DataFrame, DataFrame]:
+    """(messages, malformed): JSON bodies that fit the schema as columns, and the others as they came.
+
+    A body is malformed if it is no JSON of that schema, is NULL, lacks the ``id_col`` or has no readable time in ``time_col``.
+    """
+    full = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    text = F.col(body).cast("string")
+    read = sdf.select(F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}).alias("data"), text.alias("text"))
+    whole = F.col("data").isNotNull() & F.col(f"data.{MALFORMED}").isNull()
+    whole = whole & F.col(f"data.{id_col}").isNotNull() if id_col else whole
+    whole = whole & F.col(f"data.{time_col}").try_cast("timestamp").isNotNull() if time_col else whole
+    return read.where(whole).select("data.*").drop(MALFORMED), read.where(~F.coalesce(whole, F.lit(False))).select(F.col("text").alias(MALFORMED))
+
+
+def unique_messages(sdf, id_col, time_col, delay) -> DataFrame:
+    """Each message once, also when it comes again in a later micro-batch or after a restart.
+
+    The ids are state that the checkpoint keeps for ``delay`` of event time past a message, which bounds it by the messages of that span. Messages
+    that come more than ``delay`` behind the latest one may be left out by the watermark, so choose it above the source's lateness. ``time_col`` is cast to an
+    instant where it is text or has no zone, and must be readable.
+    """
+    timed = sdf.withColumn("__at", F.col(time_col).cast("timestamp"))
+    return timed.withWatermark("__at", delay).dropDuplicatesWithinWatermark([id_col]).select(sdf.columns)
+
+
+def land_messages(sdf, schema, id_col, time_col, delay, path, checkpoint, body="body", available_now=False):
+    """Two streams over one source: unique messages to ``<path>/messages``, malformed bodies to ``<path>/malformed``. Returns both queries."""
+    good, bad = split_stream(sdf, schema, body, id_col, time_col)
+    return (stream_to_parquet(unique_messages(good, id_col, time_col, delay), f"{path}/messages", f"{checkpoint}/messages", available_now),
+            stream_to_parquet(bad, f"{path}/malformed", f"{checkpoint}/malformed", available_now))
+
+
 def stream_to_parquet(sdf, path, checkpoint, available_now=False):
     """Append to parquet; the checkpoint and the sink's own log make a restart exactly-once."""
     writer = (sdf.writeStream.format("parquet").outputMode("append")
