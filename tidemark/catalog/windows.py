@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..operators import windows as w
-from ..session import settle
 from .base import FACT_SQL, as_double, query, sales_fact
 
 BY_SEGMENT = "OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey)"
@@ -32,7 +31,7 @@ def _(t):
 def _(t):
     sold = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     averages = sold.groupBy(F.col("o_custkey").alias("customer_id")).agg(F.avg("l_quantity").alias("avg_qty"))
-    return w.rank_rows(settle(averages), [], ["-avg_qty"], split=t.split or True, dr="dense_rank")
+    return w.rank_rows(averages, [], ["-avg_qty"], split=t.split or True, dr="dense_rank")
 
 
 @query("win_ntile", f"SELECT c_custkey, c_mktsegment, c_acctbal, ntile(2) {BY_SEGMENT} AS tile FROM customer")

@@ -6,14 +6,12 @@ the row), ranked inside each range, and shifted by the counts of the ranges befo
 the order; only rows equal in every column must share a range. A ranking over all rows is always split.
 """
 
-from math import ceil
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
 
-# Rows of a range, about, where the caller names no number of ranges.
+# Rows of a block, about, in which a running frame is computed.
 RANGE_ROWS = 2_000_000
 
 
@@ -25,11 +23,6 @@ def _names(order):
     return [o.lstrip("-") for o in order]
 
 
-def ranges_for(df, split) -> int:
-    """Number of ranges: as many as asked for, or for ``True`` what the row count calls for."""
-    return ceil(df.count() / RANGE_ROWS) + 1 if split is True else int(split)
-
-
 def _ntile(position, total, tiles):
     """Tile of a 1-based position: the first ``total % tiles`` tiles hold one row more."""
     size, extra = F.floor(total / tiles), total % tiles
@@ -48,22 +41,32 @@ def rank_rows(df, part, order, tiebreak=(), tiles=2, split=None, **names) -> Dat
     part, order, full = list(part), list(order), [*order, *tiebreak]
     split = True if split is None and not part else split
     if not split:
-        group = Window.partitionBy(*part)
-        by_rank, by_row = group.orderBy(*sort_keys(order)), group.orderBy(*sort_keys(full))
-        kinds = {"row_number": lambda: F.row_number().over(by_row), "rank": lambda: F.rank().over(by_rank),
-                 "dense_rank": lambda: F.dense_rank().over(by_rank), "ntile": lambda: F.ntile(tiles).over(by_row)}
-        return df.select("*", *[kinds[k]().cast("long").alias(a) for a, k in names.items()])
-    return _rank_in_ranges(df, part, order, full, tiles, ranges_for(df, split), names)
+        return _rank_plainly(df, part, order, full, tiles, names)
+    return _rank_in_ranges(df, part, order, full, tiles, None if split is True else int(split), names)
+
+
+def _rank_plainly(df, part, order, full, tiles, names):
+    group = Window.partitionBy(*part)
+    by_rank, by_row = group.orderBy(*sort_keys(order)), group.orderBy(*sort_keys(full))
+    kinds = {"row_number": lambda: F.row_number().over(by_row), "rank": lambda: F.rank().over(by_rank),
+             "dense_rank": lambda: F.dense_rank().over(by_rank), "ntile": lambda: F.ntile(tiles).over(by_row)}
+    return df.select("*", *[kinds[k]().cast("long").alias(a) for a, k in names.items()])
 
 
 def place_in_ranges(df, part, full, ranges) -> DataFrame:
-    """Rows with the number of their range, written once so that both uses see the same."""
+    """Rows with the number of their range, written once so that both uses see the same.
+
+    Without a number of ranges it follows from the data: adaptive execution merges ranges that the shuffle's statistics show to be small.
+    """
     salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return settle(df.repartitionByRange(ranges, *sort_keys([*part, *full]), salt).withColumn("__range", F.spark_partition_id()), "ranges")
+    dealt = df.repartitionByRange(*([ranges] if ranges else []), *sort_keys([*part, *full]), salt)
+    return settle(dealt.withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def _rank_in_ranges(df, part, order, full, tiles, ranges, names):
     placed = place_in_ranges(df, part, full, ranges)
+    if len(placed.inputFiles()) < 2:  # all rows lie in one range
+        return _rank_plainly(placed.drop("__range"), part, order, full, tiles, names)
     cell = Window.partitionBy("__range", *part)
     by_rank, by_row = cell.orderBy(*sort_keys(order)), cell.orderBy(*sort_keys(full))
     local = placed.select("*", F.row_number().over(by_row).alias("__row"), F.rank().over(by_rank).alias("__rank"),
@@ -116,8 +119,7 @@ def _range_shifts(cells, part):
 def rank_groups(df, keys, measure, part, name="rank", alias="total", split=None, **aggs) -> DataFrame:
     """Aggregate by ``keys``, then rank groups inside ``part`` by the measure, highest first."""
     grouped = df.groupBy(*keys).agg(measure.alias(alias), *[a.alias(n) for n, a in aggs.items()])
-    # The split form reads its input several times, so the groups are written first.
-    return rank_rows(settle(grouped, "groups") if split or not part else grouped, part, [f"-{alias}"], split=split, **{name: "rank"})
+    return rank_rows(grouped, part, [f"-{alias}"], split=split, **{name: "rank"})
 
 
 def moving_avg(df, part, order, col, n, name="moving_avg", split=None, block=RANGE_ROWS) -> DataFrame:
