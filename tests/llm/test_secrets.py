@@ -34,15 +34,22 @@ def test_base_spans(text):
 def test_link_against_all_pairs(drawn):
     parts = [(k, s, s + n) for k, s, n in drawn]
 
-    def near(part, at):
-        return any(secrets.PART[k] == part and abs(s - at) <= 100 for k, s, _ in parts)
+    def near(part, start, end):
+        return any(secrets.PART[k] == part and max(a - end, start - b) <= 100 for k, a, b in parts)
 
-    def kept(k, s):
+    def kept(k, s, e):
         if k in secrets.STRONG:
             return True
-        return near("identifier", s) or near("endpoint", s) if secrets.PART[k] == "secret" else near("secret", s)
+        return near("identifier", s, e) or near("endpoint", s, e) if secrets.PART[k] == "secret" else near("secret", s, e)
 
-    assert sorted(secrets.link(parts, 100)) == sorted(x for x in parts if kept(x[0], x[1]))
+    assert sorted(secrets.link(parts, 100)) == sorted(x for x in parts if kept(*x))
+
+
+def test_long_parts_beside_each_other_are_linked():
+    key = "aB3" * 120
+    for text in (key + " https://host.example/path", "https://host.example/" + "p" * 900 + "?x " + key, "user=bob " + key):
+        assert "random" in [k for k, *_ in secrets.link(secrets.find_parts(text))]
+    assert secrets.link(secrets.find_parts(key + " " * 300 + "https://host.example/path")) == []
 
 
 def test_weak_parts_need_company():

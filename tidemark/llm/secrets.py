@@ -2,13 +2,14 @@
 
 import bisect
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .common import bare, flushed, rows_of
 
-#: Widest distance, in characters between starts, at which two parts belong to one credential.
+#: Widest gap, in characters between one part's end and the next one's start, at which two parts belong to one credential.
 SCOPE = 256
 
 #: The base kinds. Letters match in either case only among ASCII letters.
@@ -49,23 +50,27 @@ def find_parts(text):
 
 
 def link(parts, scope=SCOPE):
-    """Strong parts, and weak ones with a complementary part within ``scope``.
+    """Strong parts, and weak ones with a complementary part at a gap of at most ``scope``; parts that overlap have none.
 
-    An interval join of the parts with the sorted starts of each kind of part: a secret needs an identifier or an
+    An interval join: for each kind of part the starts in order, and the greatest end up to each of them. A part has a partner if, among those that start
+    at most ``scope`` behind its end, one ends at most ``scope`` before its start. A secret needs an identifier or an
     endpoint, an identifier or endpoint needs a secret. Each part costs one search, whatever the text holds.
     """
-    starts = {p: sorted(s for k, s, _ in parts if PART[k] == p) for p in ("secret", "identifier", "endpoint")}
+    starts, ends = {}, {}
+    for p in ("secret", "identifier", "endpoint"):
+        spans = sorted((s, e) for k, s, e in parts if PART[k] == p)
+        starts[p], ends[p] = [s for s, _ in spans], list(accumulate((e for _, e in spans), max))
 
-    def near(part, at):
-        found = bisect.bisect_left(starts[part], at - scope)
-        return found < len(starts[part]) and starts[part][found] <= at + scope
+    def near(part, start, end):
+        n = bisect.bisect_right(starts[part], end + scope)
+        return n > 0 and ends[part][n - 1] >= start - scope
 
-    def kept(kind, at):
+    def kept(kind, start, end):
         if kind in STRONG:
             return True
-        return near("identifier", at) or near("endpoint", at) if PART[kind] == "secret" else near("secret", at)
+        return near("identifier", start, end) or near("endpoint", start, end) if PART[kind] == "secret" else near("secret", start, end)
 
-    return sorted((x for x in parts if kept(x[0], x[1])), key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+    return sorted((x for x in parts if kept(*x)), key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
 def scan(docs, scope=SCOPE, id_col="doc_id", text_col="text"):
