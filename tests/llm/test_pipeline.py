@@ -35,8 +35,13 @@ def test_registered(spark, name):
     first = {"1": "page_id url text n_chars", "2": "doc_id fingerprint component_id", "3": "doc_id n_assign n_access n_hex base_sha256 spans",
              "4": "vec_id n_links component_id kept", "5": "doc_id held_out score predicted", "6": "doc_id n_tokens ids_sha256 decoded_sha256",
              "7": "doc_id text", "8": "page_id host path rule verdict", "9": "doc_id n_words n_hit n_items items_sha256 contaminated",
-             "10": "doc_id n_bytes n_tokens over_limit"}[name[2:].split("_")[0]].split()
+             "10": "doc_id n_bytes n_tokens over_limit",
+             "11": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+             "12": "vec_id cluster distance cluster_inertia inertia centroid_sha256", "13": "doc_id n_tokens ids_sha256 decoded_sha256"}[name[2:].split("_")[0]].split()
     got = __spark_entry__.queries()[name](spark, SMALL)
     assert got.columns[:len(first)] == first
-    of = {"1": "pages", "8": "pages", "4": "embeddings"}.get(name[2:].split("_")[0], "documents")
+    if name.startswith("op11_"):  # one row for each node; the root's members are all conversations
+        assert got.where("depth = 0").first()["n_convs"] == spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id").distinct().count()
+        return
+    of = {"12": "embeddings", "1": "pages", "8": "pages", "4": "embeddings"}.get(name[2:].split("_")[0], "documents")
     assert got.count() == spark.read.parquet(f"{SMALL}/{of}.parquet").count()

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -77,6 +78,20 @@ def test_parts_and_rules(spark, url, want):
     assert (got["host"], got["path"], got["rule"]) == want[:3] and (want[3] is None or got["verdict"] == want[3]) and got["verdict"]
 
 
+def test_grams_are_every_symbol_with_those_before_it(spark):
+    for text in ("", "a", "ab", "a\nb\u2028é\U0001f600/x"):
+        padded = "\x02" * 3 + text + "\x03"
+        got = spark.createDataFrame([(text,)], "t string").select(urls._grams(urls.F.col("t"), 3)).first()[0]
+        assert got == [padded[i:i + 4] for i in range(len(text) + 1)]
+
+
+def test_a_million_characters_of_url(spark):
+    pages = spark.createDataFrame([(1, "http://b.example/" + "ab%c" * 250_000), (2, "http://a.net/x")], "page_id bigint, url string")
+    begun = time.time()
+    assert len(urls.judge(pages).where("page_id = 1").first()["path"]) == 1_000_000
+    assert time.time() - begun < 90
+
+
 def test_odd_rows(spark):
     pages = spark.createDataFrame([(None, None, 1), (1, "http://a.net/", 2), (1, "http://a.net/", 2), (2, "http://b.example/" + "é" * 30_000, 3)],
                                   "page_id bigint, url string, text int")

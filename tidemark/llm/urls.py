@@ -1,5 +1,7 @@
 """URL filters: host and path rules, then the ratio of two character language models learnt from what the rules decide."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -33,9 +35,13 @@ def ruled(host, path, rules=RULES):
 
 
 def _grams(text, context):
-    """Every symbol of a text with the symbols before it, start marks ahead and an end mark behind."""
-    padded = F.concat(F.lit("\x02" * context), text, F.lit("\x03"))
-    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(padded, i, F.lit(context + 1)))
+    """Every symbol of a text with the symbols before it, start marks ahead and an end mark behind.
+
+    The text is cut into symbols once, and the array is laid beside itself shifted by one, two and so on: the work grows with the length.
+    """
+    symbols = F.regexp_extract_all(F.concat(F.lit("\x02" * context), text, F.lit("\x03")), F.lit("(?s)(.)"), F.lit(1))
+    shifted = [F.slice(symbols, F.lit(k + 1), F.length(text) + 1) for k in range(context + 1)]
+    return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.concat(x, y)), shifted)
 
 
 def contexts(examples, context=CONTEXT):
@@ -65,18 +71,18 @@ def _smoothed(steps, side):
 
 
 def differences(texts, model, context=CONTEXT):
-    """``text, score`` of distinct ``texts``: mean over symbols of the log-likelihood under accepted less that under rejected URLs.
+    """``key, score`` of distinct texts ``key, text``: mean over symbols of the log-likelihood under accepted less that under rejected URLs.
 
-    Distinct grams meet the model's contexts in one join; every text then sums its grams.
+    Distinct grams meet the model's contexts in one join; every text then sums its grams, which carry its key and not the text.
     """
-    placed = texts.select("text", F.explode(_grams(F.col("text"), context)).alias("gram"))
+    placed = texts.select("key", F.explode(_grams(F.col("text"), context)).alias("gram"))
     grams = placed.select("gram").distinct()
     asked = grams.select("gram", F.explode(F.sequence(F.lit(0), F.lit(context))).alias("k")).withColumn("before", F.expr(f"substring(gram, {context + 1} - k, k)"))
     met = asked.join(model, "before", "left").withColumn("own", F.try_element_at("following", F.expr(f"substring(gram, {context + 1}, 1)")))
     step = F.struct("k", F.col("own.a").alias("a"), F.col("own.r").alias("r"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_a", "kinds_a", "total_r", "kinds_r")])
     chances = met.groupBy("gram").agg(F.array_sort(F.collect_list(step)).alias("steps"))
     weighed = settle(chances.select("gram", (F.ln(_smoothed(F.col("steps"), "a")) - F.ln(_smoothed(F.col("steps"), "r"))).alias("weight")), "grams")
-    return placed.join(weighed, "gram").groupBy("text").agg(F.avg("weight").alias("score"))
+    return placed.join(weighed, "gram").groupBy("key").agg(F.avg("weight").alias("score"))
 
 
 def calibrate(scored):
@@ -107,13 +113,15 @@ def judge(pages, rules=RULES, context=CONTEXT, id_col="page_id", url_col="url"):
     host, path = parts(F.col("url"))
     split = bare(pages, page_id=id_col, url=url_col).select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
-    marked = settle(split.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("says"), F.concat("host", "path").alias("text")), "urls")
+    marked = settle(split.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("says"), F.concat("host", "path").alias("text"),
+                                 F.unhex(F.sha2(F.concat("host", "path"), 256)).alias("key")), "urls")
     held = F.conv(F.substring(F.md5("text"), 1, 4), 16, 10).cast("int") % HELD_OUT == 0
-    texts = settle(marked.groupBy("text", "says").agg(F.count("*").alias("n")).withColumn("held", held), "texts")
-    examples = texts.where("says is not null").select("text", (F.col("says") == "allow").alias("accepted"), "n", "held")
+    texts = settle(marked.groupBy("key", "says").agg(F.any_value("text").alias("text"), F.count("*").alias("n")).withColumn("held", held), "texts")
+    examples = texts.where("says is not null").select("key", "text", (F.col("says") == "allow").alias("accepted"), "n", "held")
     model = settle(contexts(examples.where(~F.col("held")), context), "contexts")
-    asked = texts.where("says is null or held").select("text").distinct()
-    scores = settle(differences(asked, model, context).select("text", F.floor(F.col("score") * BINS).cast("bigint").alias("bin")), "scores")
-    limit = calibrate(examples.where("held").join(scores, "text").select("bin", "accepted", "n"))
+    # a text is ruled in one way, so its key stands in one row; written, so that the key is at hand before grams are made
+    asked = settle(texts.where("says is null or held").select("key", "text"), "asked")
+    scores = settle(differences(asked, model, context).select("key", F.floor(F.col("score") * BINS).cast("bigint").alias("bin")), "scores")
+    limit = calibrate(examples.where("held").join(scores, "key").select("bin", "accepted", "n"))
     chosen = F.coalesce("says", F.when(F.col("bin") >= limit, "allow").otherwise("block"))
-    return marked.join(scores, "text", "left").select("page_id", "host", "path", "rule", chosen.alias("verdict"))
+    return marked.join(scores, "key", "left").select("page_id", "host", "path", "rule", chosen.alias("verdict"))
