@@ -24,29 +24,46 @@ def corpus():
     return docs, shared
 
 
-def brute(docs):
-    """Kept text of each document by the definition, without Spark."""
-    first, places = {}, {}
+def brute(docs, least=50):
+    """Kept text of each document by the rule, stretch by stretch, with none of the library's functions.
+
+    A stretch of neighbouring filled lines with 50 words or more is repeated if an earlier place holds the same lines, not counting places that
+    overlap it through equal stretches. Its first place stays with all its lines; lines of other repeated stretches go.
+    """
+    filled, words = [], []
+    for _, text in docs:
+        own = [(i, x) for i, x in enumerate((text or "").split("\n")) if x.split()]
+        filled.append(own)
+        words.append([len(x.split()) for _, x in own])
+    places = {}
     for k in sorted(range(len(docs)), key=lambda k: (docs[k][0] is None, docs[k][0] or 0)):
-        for n, a, b, w, c in line_dedup.chunks(docs[k][1]):
-            first.setdefault(c, (k, n))
-            places.setdefault(k, []).append((n, a, b, w, c))
+        for a in range(len(filled[k])):
+            for b in range(a, len(filled[k])):
+                total = sum(words[k][a:b + 1])
+                if total >= least and min(total - words[k][a], total - words[k][b]) < least:
+                    places.setdefault(tuple(x for _, x in filled[k][a:b + 1]), []).append((k, a, b))
+                if total - words[k][a] >= least:
+                    break  # longer stretches are made up of shorter ones
+    keep, gone = [set() for _ in docs], [set() for _ in docs]
+    for found in places.values():
+        chains = []
+        for k, a, b in found:
+            if chains and chains[-1][0] == k and a <= chains[-1][2]:
+                chains[-1][2] = b
+            else:
+                chains.append([k, a, b])
+        if len(chains) > 1:
+            for n, (k, a, b) in enumerate(chains):
+                (gone if n else keep)[k].update(range(a, b + 1))
     out = {}
     for k, (_, text) in enumerate(docs):
-        gone, run = set(), []
-
-        def flush(run=run, gone=gone):
-            if sum(x[3] for x in run) >= line_dedup.PASSAGE_WORDS:
-                gone.update(range(run[0][1], run[-1][2]))
-            run.clear()
-
-        for x in places.get(k, []):
-            if first[x[4]] == (k, x[0]) or run and run[-1][0] + 1 != x[0]:
-                flush()
-            if first[x[4]] != (k, x[0]):
-                run.append(x)
-        flush()
-        out[k] = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+        lines, cut = (text or "").split("\n"), set()
+        numbers = sorted(gone[k] - keep[k])
+        for n in numbers:
+            cut.add(filled[k][n][0])
+            if n + 1 in numbers:  # blank lines between lines that go
+                cut.update(range(filled[k][n][0], filled[k][n + 1][0]))
+        out[k] = "\n".join(x for i, x in enumerate(lines) if i not in cut)
     return out
 
 
@@ -98,6 +115,33 @@ def test_short_lines_at_the_ends_of_a_passage_go_with_it(spark):
     assert got == {k: whole if k == 0 else rest for k, whole, rest in docs}
 
 
+def test_the_copy_that_stays_is_not_cut(spark):
+    draw = random.Random(31)
+    a, b, c, d, z = (passage(draw, 25, 1)[0] for _ in range(5))
+    docs = [(0, f"{b}\n{c}"), (1, f"{a}\n{b}\n{c}\n{d}"), (2, f"{a}\n{b}\n{z}")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string"))[0].collect()}
+    assert got == brute(docs) == {0: f"{b}\n{c}", 1: f"{a}\n{b}\n{d}", 2: z}
+
+
+def test_a_passage_is_no_repeat_of_itself(spark):
+    line = "one two three four five six seven eight nine ten"
+    docs = [(0, "\n".join([line] * 40)), (1, "new\n" + "\n".join([line] * 60)), (2, "\n".join([line] * 4))]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string"))[0].collect()}
+    assert got == brute(docs) == {0: docs[0][1], 1: "new", 2: docs[2][1]}
+
+
+def test_drawn_overlaps_against_brute_force(spark):
+    draw = random.Random(8)
+    pool = [" ".join(f"p{k}w{i}" for i in range(draw.randint(8, 30))) for k in range(12)]
+    docs = []
+    for k in range(60):
+        at = draw.randrange(8)
+        lines = pool[at:at + draw.randint(1, 6)] + ([pool[0]] * draw.randint(0, 8) if draw.random() < 0.3 else []) + [f"own{k} " * draw.randint(1, 20)]
+        docs.append((k, "\n".join(lines + [""] * draw.randint(0, 1) + draw.sample(pool, draw.randint(0, 2)))))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3))[0].collect()}
+    assert got == brute(docs)
+
+
 def test_windows_against_all_stretches():
     draw = random.Random(2)
     for _ in range(60):

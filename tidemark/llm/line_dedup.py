@@ -50,17 +50,32 @@ def _digest(data):
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+def occurrences(own, passage_words=PASSAGE_WORDS):
+    """(digest, first number, last number) of a text's shortest passages; equal ones that overlap each other are one occurrence, from the first to
+    the last of them, so that a passage is no repeat of itself."""
+    lines = [_digest(c[4].encode("utf-8", "surrogatepass")) for c in own]
+    out, last = [], {}
+    for a, b in windows(own, passage_words):
+        digest = _digest(b"".join(lines[a:b + 1]))
+        at = last.get(digest)
+        if at is not None and a <= out[at][2]:
+            out[at][2] = max(out[at][2], b)
+        else:
+            last[digest] = len(out)
+            out.append([digest, a, b])
+    return out
+
+
 def _passages(docs, passage_words):
-    """One narrow row for each shortest passage of a text, with the digest of its lines' digests."""
+    """One narrow row for each occurrence of a shortest passage in a text, with the digest of its lines' digests."""
     schema = pa.schema([("row_key", pa.binary()), ("doc_id", pa.int64()), ("number", pa.int32()), ("until", pa.int32()), ("first", pa.int32()),
                         ("past", pa.int32()), ("digest", pa.binary())])
 
     def run(batches):
         def found(key, doc_id, text):
             own = chunks(text)
-            lines = [_digest(c[4].encode("utf-8", "surrogatepass")) for c in own]
-            for a, b in windows(own, passage_words):
-                yield key, doc_id, a, b, own[a][1], own[b][2], _digest(b"".join(lines[a:b + 1]))
+            for digest, a, b in occurrences(own, passage_words):
+                yield key, doc_id, a, b, own[a][1], own[b][2], digest
 
         for batch in batches:
             yield from flushed((row for key, doc_id, text in rows_of(batch, "row_key", "doc_id", "text") for row in found(key, doc_id, text or "")), schema)
@@ -79,13 +94,29 @@ def merged(passages):
     return [(first, past) for _, first, past in out]
 
 
+def without(ranges, kept):
+    """The line ranges less the lines of ``kept`` ranges; both in order and apart."""
+    out = []
+    for first, past in ranges:
+        for a, b in kept:
+            if b <= first or a >= past:
+                continue
+            if a > first:
+                out.append((first, a))
+            first = max(first, b)
+        if first < past:
+            out.append((first, past))
+    return out
+
+
 def repeated_ranges(docs, passage_words=PASSAGE_WORDS):
     """``row_key, ranges``: line ranges to remove from rows ``row_key, doc_id, text``.
 
     A line goes if it lies in a passage of ``passage_words`` words or more whose lines all follow on each other in one earlier place as
     well; lines that repeat here and there make none. That holds exactly if one of the shortest passages around it is repeated, so
     those are counted by a cryptographic digest, in rows without text that are pre-aggregated before the shuffle. Of equal passages
-    the one in the smallest (id, text, place) stays. A frequent line or passage makes one row for each time it occurs, no pairs.
+    the one in the smallest (id, text, place) stays, and its lines stay whatever other passages they lie in, so every repeated passage is left whole
+    in one place. Equal passages that overlap in a text are one occurrence. A frequent line or passage makes one row for each time it occurs, no pairs.
     """
     found = settle_text(_passages(docs, passage_words), "passages")
     # written before they are joined, so that both sides of the join are dealt and a hot digest can be split
@@ -93,16 +124,19 @@ def repeated_ranges(docs, passage_words=PASSAGE_WORDS):
     again = settle_text(found.join(twice, "digest", "left_semi"), "repeated")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "number")
     kept = settle_text(again.groupBy("digest").agg(F.min(place).alias("kept")), "kept")
-    later = again.join(kept, "digest").where(place != F.col("kept")).select("row_key", "number", "until", "first", "past").distinct()
+    placed = again.join(kept, "digest").select("row_key", (place != F.col("kept")).alias("later"), "number", "until", "first", "past").distinct()
     schema = pa.schema([("row_key", pa.binary()), ("ranges", pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())])))])
 
     def run(batches):
+        def ranges(own):
+            later, kept = (merged((p["number"], p["until"], p["first"], p["past"]) for p in own if p["later"] == side) for side in (True, False))
+            return [dict(first=a, past=b) for a, b in without(later, kept)]
+
         for batch in batches:
-            yield from flushed(((key, [dict(first=a, past=b) for a, b in merged(tuple(p.values()) for p in own)])
-                                for key, own in rows_of(batch, "row_key", "own")), schema)
+            yield from flushed(((key, ranges(own)) for key, own in rows_of(batch, "row_key", "own")), schema)
 
-    gathered = later.groupBy("row_key").agg(F.collect_list(F.struct("number", "until", "first", "past")).alias("own"))
-    return gathered.mapInArrow(run, "row_key binary, ranges array<struct<first: int, past: int>>")
+    gathered = placed.groupBy("row_key").agg(F.collect_list(F.struct("later", "number", "until", "first", "past")).alias("own"), F.max("later").alias("any"))
+    return gathered.where("any").drop("any").mapInArrow(run, "row_key binary, ranges array<struct<first: int, past: int>>")
 
 
 def dedup(docs, passage_words=PASSAGE_WORDS, id_col="doc_id", text_col="text"):
