@@ -117,3 +117,12 @@ def test_boilerplate_is_shared_by_many_pages_and_long_or_at_an_end(spark):
         want[100 + k] = middle + f"\n{two}" * (k < 2)  # seven words in mid-sentence, and a block of two pages in twenty
     got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4))
     assert {r["page_id"]: r["text"] for r in got.collect()} == want
+
+
+def test_comments_adverts_and_notices_inside_articles_go(spark, rows):
+    foreign = ('<div class="reader-comments"><p>comment {0}</p><article>reply {0}</article></div>', '<div id="comment-12">me too {0}</div>', '<div class="ad-slot">buy {0}</div>',
+               '<div class="notice">note {0}</div>', '<section id="newsletter_box"><p>read {0}</p></section>')
+    kept = '<div class="content no-comments with-sidebar"><p>More of {0}.</p></div><pre><span class="comment-line"># code {0}</span></pre>'
+    pages = [(k, "http://a.example/", "<article><h1>Title {0}</h1>".format(k) + "".join(foreign).format(k) + kept.format(k) + "</article>") for k in range(10)]
+    got = rows(html_text.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")), "page_id", "text")
+    assert got == [(k, f"Title {k}\nMore of {k}.\n# code {k}") for k in range(10)]

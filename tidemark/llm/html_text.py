@@ -36,8 +36,15 @@ DROPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
 #: Those that say little inside an article, where they stand on its own parts too.
 UNSURE_WORDS = {"header", "masthead", "banner", "promo", "promotion", "notice", "notices", "alert", "overlay", "widget", "social", "share", "sharing",
                 "related", "recommended", "reply", "replies", "menu", "subscription"}
-#: How sure it is that an element is no part of a main text; a SOFT one may still be a wrapper round the article.
-UNSURE, SOFT, HARD = 1, 2, 3
+#: Words that, as a part of a class or id ("reader-comments", "ad-slot", "comment12"), tell of a block inside an article that is none of its text.
+FOREIGN_PARTS = {"comment", "comments", "disqus", "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "newsletter",
+                 "subscribe", "signup", "paywall", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "sidebar", "popup", "modal", "breadcrumb",
+                 "breadcrumbs", "pagination", "pager"}
+#: Beginnings of classes that say how a block is laid out or what it lacks ("with-sidebar", "no-comments").
+LAYOUT = ("no-", "no_", "non-", "with-", "without-", "has-", "is-")
+#: How sure it is that an element is no part of a main text; a SOFT one may still be a wrapper round the article, a FOREIGN one inside the article
+#: a wrapper round all of its text.
+UNSURE, FOREIGN, SOFT, HARD = 1, 2, 3, 4
 
 _TAG = re.compile(r"""<([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+|=)*+)>""")
 _END = re.compile(r"</([A-Za-z][^\s/>]*+)[^>]*+>")
@@ -104,6 +111,8 @@ def _dropped(name, attributes, inside, in_article):
         return HARD if tokens & {"comment", "comments", "reply", "replies"} else least
     if role == "form" or tokens & (DROPPED_WORDS - UNSURE_WORDS if in_article else DROPPED_WORDS):
         return SOFT
+    if in_article and name in BLOCK and any(w in FOREIGN_PARTS for t in tokens if not t.startswith(LAYOUT) for w in _WORD.findall(t)):
+        return max(least, FOREIGN)
     return max(least, UNSURE if any(w in DROPPED_WORDS for t in tokens for w in _WORD.findall(t)) else 0)
 
 
@@ -115,7 +124,7 @@ def blocks(page):
     marks blocks that structure leaves undecided: outside any article, or inside one but in no element for prose or in one
     whose class or id speaks against it.
     """
-    out, held = [], []  # (text, region, open)
+    out, held = [], []  # (text, region, open, foreign)
     stack = []  # (name, region, dropped)
     region, dropped = "", 0
 
@@ -125,7 +134,7 @@ def blocks(page):
             held.clear()
             if text:
                 container = next((n for n, *_ in reversed(stack) if n in BLOCK), "body")
-                out.append((text, region, not region or container not in PROSE or dropped == UNSURE))
+                out.append((text, region, not region or container not in PROSE or dropped in (UNSURE, FOREIGN), dropped == FOREIGN))
 
     def hidden():
         return dropped == HARD or dropped == SOFT and region != "form"
@@ -158,7 +167,8 @@ def blocks(page):
                     region = f"wrapped {data}" if region.startswith("wrapped") else data
                 elif dropped == SOFT:
                     region = f"wrapped {data}"
-                dropped = 0
+                if dropped != FOREIGN:  # an article inside a foreign block is a comment, say
+                    dropped = 0
             elif data == "form" and dropped == SOFT and not region and not any(d >= SOFT for *_, d in stack):
                 region = "form"
             stack.append((data, region, dropped))
@@ -172,9 +182,11 @@ def blocks(page):
                 del stack[at:]
                 region, dropped = stack[-1][1:] if stack else ("", 0)
     close()
-    seen = {r for _, r, _ in out}
+    seen = {r for _, r, *_ in out}
     wanted = next((r for r in ("article", "main", "wrapped article", "wrapped main", "", "form") if r in seen), "")
-    return [(t, o or wanted in ("", "form")) for t, r, o in out if r == wanted]
+    own = [(t, o or wanted in ("", "form"), f) for t, r, o, f in out if r == wanted]
+    whole = all(f for *_, f in own)  # a foreign block that holds all of the text is a wrapper
+    return [(t, o) for t, o, f in own if whole or not f]
 
 
 def host_of(url):
@@ -265,7 +277,8 @@ def extract(pages, depth=DEPTH, id_col="page_id", url_col="url", html_col="html"
     """``page_id, url, text, n_chars`` of every page.
 
     Structure decides what it can: an article's headings, paragraphs, lists and tables are main text, menus, headers,
-    footers, sidebars, adverts, forms and comments are not. What it leaves open, loose containers and pages without
+    footers, sidebars, adverts, forms and comments are not. Inside an article a block goes if a part of its class or id tells of comments, adverts,
+    notices or the like; a wrapper that holds the article, or all of its text, stays. What it leaves open, loose containers and pages without
     an article, goes to the suffix array of the page's host: substrings of ``depth`` words or more that a quarter of its distinct pages
     share are boilerplate if they are long or stand at an end of their block; unique runs stay. Prose of an article goes by whole
     blocks, if half of the host's distinct pages share them and five at least.
