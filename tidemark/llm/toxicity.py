@@ -4,7 +4,6 @@ import bisect
 import math
 import re
 import zlib
-from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -13,12 +12,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from .common import bare, flushed, rows_of
+from .common import bare, flushed, rows_of, settle_text
 
-#: Most labelled rows of each class that a model is fitted on, and most characters of one of them. Rows are taken in the
-#: order of a hash of their id, whatever the table's size; scoring always reads whole texts.
+#: Most labelled rows of each class that a model is fitted on. Rows are taken in the order of a hash of their id, whatever the
+#: table's size, and each with its whole text.
 SAMPLE_ROWS = 3000
-SAMPLE_CHARS = 40_000
 #: Words of a window, bytes of each dictionary's shared and own part, and of the shared text put ahead of windows.
 WINDOW = 8
 SHARED_BYTES, OWN_BYTES, BALLAST = 6_000, 1_500, 64
@@ -46,15 +44,19 @@ def windows(text, size=WINDOW):
     return [(" " + " ".join(words[i:i + size]) + " ").encode("utf-8", "surrogatepass") for i in range(0, len(words), size)]
 
 
-def without_copies(texts, sketches=4):
-    """Texts of which no earlier one shares a minimum of shingle hashes; copies would count one author's words many times."""
-    seen, out = [set() for _ in range(sketches)], []
-    for t in texts:
-        words = t.lower().split()
-        hashes = np.array([zlib.crc32(" ".join(words[i:i + 5]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(words) - 4))], np.uint64)
-        least = [int(((hashes * np.uint64(2 * k + 2654435761) + np.uint64(k * 40503)) % np.uint64(4294967291)).min()) for k in range(sketches)]
+def sketch(text, size=4):
+    """Minima of shingle hashes under ``size`` permutations."""
+    words = text.lower().split()
+    hashes = np.array([zlib.crc32(" ".join(words[i:i + 5]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(words) - 4))], np.uint64)
+    return [int(((hashes * np.uint64(2 * k + 2654435761) + np.uint64(k * 40503)) % np.uint64(4294967291)).min()) for k in range(size)]
+
+
+def without_copies(sketches):
+    """Positions of the sketches of which no earlier one shares a minimum; copies would count one author's words many times."""
+    seen, out = [set() for _ in range(4)], []
+    for n, least in enumerate(sketches):
         if not any(x in s for x, s in zip(least, seen)):
-            out.append(t)
+            out.append(n)
         for x, s in zip(least, seen):
             s.add(x)
     return out
@@ -70,26 +72,6 @@ def _segments(text):
     return out
 
 
-class _Frequent:
-    """Whether a segment stands in ``LEAST_TEXTS`` texts or more, by a table of hash counts that may say yes too often, never too seldom."""
-
-    def __init__(self, texts):
-        self.table = array("I", bytes(4 << 22))
-        for t in texts:
-            for s in _segments(t):
-                self.table[self._slot(s)] += 1
-
-    def _slot(self, segment):
-        return zlib.crc32(segment.encode("utf-8", "surrogatepass")) & (1 << 22) - 1
-
-    def counted(self, texts):
-        """Number of texts that hold each such segment."""
-        out = Counter()
-        for t in texts:
-            out.update(s for s in _segments(t) if self.table[self._slot(s)] >= LEAST_TEXTS)
-        return out
-
-
 def _strengths(a, n, b, m):
     """Signed log-likelihood ratio of each segment's counts ``a`` in ``n`` toxic and ``b`` in ``m`` ordinary texts, above zero in
     toxic text, and little where one class's share is less than ``LEAST_LIFT`` times the other's; and the frequency in both."""
@@ -235,52 +217,112 @@ def _fold(text):
     return zlib.crc32(text.encode("utf-8", "surrogatepass")) % FOLDS
 
 
-def fit_texts(toxic, ordinary, class_ratio=None):
-    """A model from texts. Thresholds are calibrated on texts that the dictionaries in use did not see, one fold after another.
+def _trained(counts, sizes, features_of, class_ratio=None):
+    """A model from the segment counts and the numbers of texts of each class and fold.
 
-    ``class_ratio`` is toxic to ordinary rows in the population, if the samples' ratio differs.
+    ``features_of`` takes one model for each fold, trained on the other folds, and gives (class, features) of every text under its fold's. Thresholds
+    are thus calibrated on texts that the dictionaries in use did not see. ``class_ratio`` is toxic to ordinary rows in the population, if the
+    samples' ratio differs.
     """
-    classes = [without_copies(t or "" for t in dict.fromkeys(texts)) for texts in (toxic, ordinary)]
-    folds = [[[t for t in texts if _fold(t) == f] for f in range(FOLDS)] for texts in classes]
-    frequent = _Frequent(t for texts in classes for t in texts)
-    counts = [[frequent.counted(texts) for texts in own] for own in folds]
-    totals = [sum(own, Counter()) for own in counts]
-    sizes = [len(texts) for texts in classes]
-    blank, x, y = (0.0,) * (1 + FEATURES), [], []
-    for f in range(FOLDS):
-        rest = [value for k in (0, 1) for value in (totals[k] - counts[k][f], sizes[k] - len(folds[k][f]))]
-        model = Model(*train_dictionaries(*rest), blank, (0.0,), (1.0,))
-        for k in (0, 1):
-            x += [model.features(t) for t in folds[k][f]]
-            y += [1 - k] * len(folds[k][f])
-    x, y = np.array(x, float).reshape(-1, FEATURES), np.array(y, float)
-    if len(set(y.tolist())) < 2:  # one class or none: its share, whatever the text
-        prior = (sizes[0] + 0.5) / (sum(sizes) + 1)
+    totals, sizes_of = [sum(own, Counter()) for own in counts], [sum(own) for own in sizes]
+    blank = (0.0,) * (1 + FEATURES)
+    if not all(sizes_of):  # one class or none: its share, whatever the text
+        prior = (sizes_of[0] + 0.5) / (sum(sizes_of) + 1)
         return Model(b" ", b" ", (math.log(prior / (1 - prior)), *blank[1:]), blank[1:], (1.0,) * FEATURES)
+    models = []
+    for f in range(FOLDS):
+        rest = [value for k in (0, 1) for value in (totals[k] - counts[k][f], sizes_of[k] - sizes[k][f])]
+        models.append(Model(*train_dictionaries(*rest), blank, (0.0,), (1.0,)))
+    found = features_of(models)
+    x, y = np.array([r[1] for r in found], float).reshape(-1, FEATURES), np.array([1.0 - r[0] for r in found])
     centre, scale = x.mean(axis=0), np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0)
     weights = _logistic((x - centre) / scale, y)
     if class_ratio:
         weights[0] += math.log(class_ratio * (1 - y.mean()) / y.mean())
-    return Model(*train_dictionaries(totals[0], sizes[0], totals[1], sizes[1]), tuple(weights), tuple(centre), tuple(scale))
+    return Model(*train_dictionaries(totals[0], sizes_of[0], totals[1], sizes_of[1]), tuple(weights), tuple(centre), tuple(scale))
 
 
-def fit(docs, labels, sample_rows=SAMPLE_ROWS, sample_chars=SAMPLE_CHARS, id_col="doc_id", text_col="text", label_col="toxic"):
+def fit_texts(toxic, ordinary, class_ratio=None):
+    """A model from lists of texts."""
+    classes = []
+    for texts in (toxic, ordinary):
+        texts = list(dict.fromkeys(t or "" for t in texts))
+        classes.append([texts[n] for n in without_copies(map(sketch, texts))])
+    folds = [[[t for t in texts if _fold(t) == f] for f in range(FOLDS)] for texts in classes]
+    counts = [[Counter(s for t in texts for s in _segments(t)) for texts in own] for own in folds]
+    often = sum((c for own in counts for c in own), Counter())
+    counts = [[Counter({s: n for s, n in c.items() if often[s] >= LEAST_TEXTS}) for c in own] for own in counts]
+    return _trained(counts, [[len(texts) for texts in own] for own in folds],
+                    lambda models: [(k, models[f].features(t)) for k in (0, 1) for f in range(FOLDS) for t in folds[k][f]], class_ratio)
+
+
+def _per_row(rows, names, types, function):
+    """Rows of ``function(class, key, text)`` for each row of a sample, in tasks."""
+    schema = pa.schema(list(zip(names, types)))
+
+    def run(batches):
+        for batch in batches:
+            yield from flushed((found for k, key, text in rows_of(batch, "class", "key", "text") for found in function(k, key, text)), schema)
+
+    kinds = {pa.int32(): "int", pa.string(): "string", pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.float64()): "array<double>"}
+    return rows.mapInArrow(run, ", ".join(f"{n} {kinds[t]}" for n, t in zip(names, types)))
+
+
+def _sample_counts(sample):
+    """Segment counts of each class and fold, of segments in ``LEAST_TEXTS`` texts or more, and the numbers of texts."""
+    def segments(k, key, text):
+        fold = _fold(text)
+        yield k, fold, None
+        for s in _segments(text):
+            yield k, fold, s
+
+    cells = [(k, f) for k in (0, 1) for f in range(FOLDS)]
+    each = _per_row(sample, ["class", "fold", "segment"], [pa.int32(), pa.int32(), pa.string()], segments)
+    counted = each.groupBy("segment").agg(*[F.count_if((F.col("class") == k) & (F.col("fold") == f)).alias(f"n{k}{f}") for k, f in cells], F.count("*").alias("n"))
+    counts, sizes = [[Counter() for _ in range(FOLDS)] for _ in (0, 1)], [[0] * FOLDS for _ in (0, 1)]
+    for row in counted.where(F.col("segment").isNull() | (F.col("n") >= LEAST_TEXTS)).drop("n").collect():
+        for (k, f), n in zip(cells, row[1:]):
+            if row[0] is None:
+                sizes[k][f] = n
+            elif n:
+                counts[k][f][row[0]] = n
+    return counts, sizes
+
+
+def fit(docs, labels, sample_rows=SAMPLE_ROWS, id_col="doc_id", text_col="text", label_col="toxic"):
     """A model from the labelled rows that may be learnt from.
 
-    The bounded sample is at most ``sample_rows`` rows of each class, by hash order of the id, and at most
-    ``sample_chars`` characters of each. Rows with a NULL id, label or text teach nothing; an id labelled both ways counts for both.
+    The sample is at most ``sample_rows`` rows of each class, by hash order of the id, with their whole texts. Tasks sketch the texts,
+    count their segments and measure their windows; only sketches, counts of segments and statistics of windows reach the driver, all bounded by the sample.
+    Of an id that has several texts the smallest is taken; equal texts of a class count once, and near copies too. Rows with a
+    NULL id, label or text teach nothing; an id labelled both ways counts for both.
     """
     marks = bare(labels, label_id=id_col, label=label_col).where("label in (0, 1) and label_id is not null")
     marks = marks.where(in_training(F.col("label_id"))).distinct()
     totals = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
     texts = bare(docs, doc_id=id_col, text=text_col).where("text is not null")
-    taken = {}
-    for label in (1, 0):
+    taken = []
+    for k, label in enumerate((1, 0)):  # class 0 is toxic
         chosen = marks.where(F.col("label") == label).orderBy(F.xxhash64("label_id"), "label_id").limit(sample_rows)
-        found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", F.substring("text", 1, sample_chars).alias("text"))
-        taken[label] = [r["text"] for r in found.dropDuplicates(["doc_id"]).collect()]
+        found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).groupBy("doc_id").agg(F.min("text").alias("text"))
+        taken.append(found.groupBy(F.sha2("text", 256).alias("key")).agg(F.any_value("text").alias("text")).select(F.lit(k).alias("class"), "key", "text"))
+    sample = settle_text(taken[0].union(taken[1]), "sample")
+    sketches = sorted(tuple(r) for r in _per_row(sample, ["class", "key", "sketch"], [pa.int32(), pa.string(), pa.list_(pa.int64())],
+                                                 lambda k, key, text: [(k, key, sketch(text))]).collect())
+    kept = []
+    for k in (0, 1):
+        own = [(key, least) for at, key, least in sketches if at == k]
+        kept += [(k, own[n][0]) for n in without_copies(least for _, least in own)]
+    chosen = docs.sparkSession.createDataFrame(kept, "class int, key string")
+    sample = settle_text(sample.join(F.broadcast(chosen), ["class", "key"]), "sample")  # at most two samples' keys
     ratio = totals.get(1, 0) / totals[0] if totals.get(0) and totals.get(1) else None
-    return fit_texts(sorted(taken[1]), sorted(taken[0]), ratio)
+
+    def features_of(models):
+        found = _per_row(sample, ["class", "key", "features"], [pa.int32(), pa.string(), pa.list_(pa.float64())],
+                         lambda k, key, text: [(k, key, models[_fold(text)].features(text))]).collect()
+        return [(k, x) for k, _, x in sorted(tuple(r) for r in found)]
+
+    return _trained(*_sample_counts(sample), features_of, ratio)
 
 
 def score(docs, model, id_col="doc_id", text_col="text"):
@@ -301,7 +343,10 @@ def score(docs, model, id_col="doc_id", text_col="text"):
 
 
 def keep_ordinary(docs, model, text_col="text"):
-    """The rows of ``docs`` that are not predicted toxic, all columns as they were."""
+    """The rows of ``docs`` that are not predicted toxic, all columns as they were.
+
+    NULL, empty and blank texts are scored as texts without any window; repeated rows share their verdict; an empty table stays empty.
+    """
     def run(batches):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
