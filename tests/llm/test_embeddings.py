@@ -112,23 +112,76 @@ def test_rare_planted_links_are_all_found(spark):
     assert [k for k, other in planted.items() if (got[k]["n_links"], got[k]["component_id"]) != (1, other)] == []
 
 
-def test_proven_cells_hold_every_link():
-    draw = np.random.default_rng(5)
-    x = embeddings.unit(draw.normal(size=(600, 12)) + 2 * draw.normal(size=(9, 12))[draw.integers(0, 9, 600)])
-    index = embeddings.Index(x, 100)
+def planted_rows(given, cosines, seed=11):
+    """The given rows, and a neighbour of drawn ones at each cosine; every second one leans to a vector of its own label."""
+    draw = np.random.default_rng(seed)
+    rows = [(k, list(r["embedding"]), r["label"]) for k, r in enumerate(given)]
+    chosen = draw.permutation(len(given))[:len(cosines)]
+    for n, (at, cosine) in enumerate(zip(chosen, cosines)):
+        x = np.array(rows[at][1], float)
+        x /= np.linalg.norm(x)
+        side = draw.normal(size=len(x)) if n % 2 else np.array(next(r[1] for r in rows[n:] if r[2] == rows[at][2] and r[0] != rows[at][0]), float)
+        side -= (side @ x) * x
+        rows.append((len(rows), (cosine * x + (1 - cosine * cosine) ** 0.5 * side / np.linalg.norm(side)).tolist(), rows[at][2]))
+    return rows
+
+
+def all_links(rows, least=0.93):
+    """Whether two rows link, for all pairs."""
+    x, labels = np.array([v for _, v, _ in rows]), np.array([label for *_, label in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return (x @ x.T >= least) & (labels[:, None] == labels[None]) & ~np.eye(len(x), dtype=bool)
+
+
+def test_hard_neighbours_among_the_given_vectors(spark):
+    rows = planted_rows(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect(), np.linspace(0.9302, 0.96, 600))
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(5)
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(frame).collect()}
+    truth = all_links(rows).sum(axis=1)
+    assert truth.sum() >= 1200 and len(got) == len(rows) and all(got[k] <= n for k, n in enumerate(truth)) and sum(got.values()) >= 0.99 * truth.sum()
+
+
+def reps_of(spark, rows):
+    return spark.createDataFrame([(str(i), v, label, 1) for i, v, label in rows], "key string, embedding array<double>, label bigint, weight bigint")
+
+
+def test_walk_is_short_and_meets_drawn_links(spark):
+    rows = planted_rows(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect(), np.linspace(0.9302, 0.96, 600))
+    reps = reps_of(spark, rows)
+    indexes = embeddings.fit(reps)
+    index, x = indexes[64], embeddings.unit([v for _, v, _ in rows])
     first, second = index.distances(x)
-    i, j, _ = index.cell(first, second)
-    seen = [set(index.visited(first[n], second[n], 0.8, None)) for n in range(len(x))]
-    pairs = [(a, b) for a, b in zip(*(x @ x.T >= 0.8).nonzero()) if a < b]
-    assert len(pairs) > 1000 and all((i[b], j[b]) in seen[a] or (i[a], j[a]) in seen[b] for a, b in pairs)
-    assert sum(map(len, seen)) < 0.8 * len(x) * len(index.books[0]) * len(index.books[1])
+    assert np.mean([len(index.visited(a, b)) for a, b in zip(first, second)]) < 0.1 * index.cells
+    found = embeddings.measured(reps, indexes, queries=400, seed=2)
+    links, met = (sum(f[k] for f in found.values()) for k in (0, 1))
+    assert links > 100 and met >= 0.99 * links
+    truth = all_links(rows).sum(axis=1)
+    assert all(f[0] == truth[int(key)] for (_, key), f in found.items())
+
+
+def test_planted_neighbours_have_the_cosines_asked_for():
+    x = embeddings.unit(np.random.default_rng(4).normal(size=(200, 10)))
+    index = embeddings.Index(x, 16)
+    for own, near in embeddings.planted(index, x, 0.93):
+        cosines = (own * near).sum(axis=1)
+        assert len(own) == 200 and cosines.min() >= 0.93 - 1e-9 and cosines.max() <= 0.94 + 1e-9
+    one = embeddings.unit([[1.0], [-1.0]])  # no direction is left beside a vector of one component
+    assert [len(own) for own, _ in embeddings.planted(embeddings.Index(one, 1), one, 0.93)] == [0, 0]
 
 
-def test_calibration_does_not_pool_a_hot_group(spark):
+def test_wider_links_than_planted_ones_widen_the_walk(spark):
     draw = np.random.default_rng(8)
-    rows = [(str(k), draw.normal(size=16).tolist(), 0) for k in range(300)]
-    hot = draw.normal(size=16)
-    rows += [(str(k), (hot + draw.normal(size=16) * 0.02).tolist(), 0) for k in range(300, 600)]
-    reps = spark.createDataFrame(rows, "key string, embedding array<double>, label bigint")
-    indexes = embeddings._fit(reps, embeddings._sample(reps, 600), 9)
-    assert embeddings._calibrate(reps, indexes, 0.93, 0.999, 256) is None
+    rows = [(k, draw.normal(size=16).tolist(), 0) for k in range(300)]
+    reps = reps_of(spark, rows)
+    indexes = embeddings.fit(reps)
+    before = indexes[16].excess
+    embeddings._widen(indexes, {(16, "a"): (1, 0, before + 1), (16, "b"): (1, 1, 0.0), (9, "c"): (1, 0, 5.0)}, 0.999)
+    assert indexes[16].excess == before + 1 and set(indexes) == {16}
+
+
+def test_a_length_the_sample_missed_is_searched_in_full(spark):
+    rows = drawn()
+    short = [(10**5 + k, v, 0) for k, v in enumerate([[1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [0.0, 1.0, 0.0]])]
+    frame = spark.createDataFrame(rows + short, "vec_id bigint, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(frame, sample=20).collect()}
+    assert [got[10**5 + k] for k in range(3)] == [1, 1, 0]

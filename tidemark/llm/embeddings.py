@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -12,16 +13,12 @@ from .common import bare, flushed
 from .graph import components
 
 MIN_COSINE = 0.93
-#: Share of true links that the traversal must find on the calibration queries.
+#: Share of the hardest planted neighbours, and of the links of drawn queries, that the traversal must reach.
 TARGET_RECALL = 0.999
-#: Most vectors that codebooks are fitted on, calibration queries of the first draw, and of all draws; in hash order. Every vector is indexed.
-SAMPLE, QUERIES, MOST_QUERIES = 20_000, 256, 4096
-#: Cosines from which calibration counts on its own, beside the least one: links of one strength say little of another.
-BANDS = (0.95, 0.98)
-#: Vectors that a cell holds on average, and vectors of one side in one comparison of a large cell.
-CELL, BLOCK = 64, 1024
-#: Width and number of the bins in which calibration counts excess distances.
-BIN, BINS = 0.0025, 1600
+#: Most vectors that codebooks are fitted on and neighbours are planted for, and queries compared with all rows; in hash order. Every vector is indexed.
+SAMPLE, QUERIES = 20_000, 256
+#: Cells of the grid for each root of the number of vectors, and vectors of one side in one comparison of a large cell.
+CELLS, BLOCK = 2, 1024
 
 
 def unit(vectors):
@@ -50,13 +47,16 @@ def kmeans(x, k, rounds=12, seed=42):
 
 
 class Index:
-    """Codebooks of one dimension, and distances of vectors to the grid's rows and columns."""
+    """Codebooks of one dimension, distances of vectors to the grid's rows and columns, and the excess up to which cells are visited."""
 
     def __init__(self, sample, cells):
-        self.half = sample.shape[1] // 2
+        self.half, self.excess = sample.shape[1] // 2, 0.0
         k = max(1, min(len(sample) // 8, math.ceil(math.sqrt(cells))))
         self.books = [kmeans(sample[:, :self.half], k), kmeans(sample[:, self.half:], k)]
-        self.gaps = [squared(b, b) for b in self.books]
+
+    @property
+    def cells(self):
+        return len(self.books[0]) * len(self.books[1])
 
     def distances(self, x):
         return squared(x[:, :self.half], self.books[0]), squared(x[:, self.half:], self.books[1])
@@ -67,23 +67,16 @@ class Index:
         rows = np.arange(len(first))
         return i, j, first[rows, i] + second[rows, j]
 
-    def proven(self, home, i, j, min_cosine):
-        """Excess that reaches cell (i, j) from the home cells if either end of a link may do the reaching.
-
-        For x at home in C, y in D, x's distances to D and C differ in their squares by f(x) >= 0 and y's by f(y) <= 0.
-        f is linear with the slope 2 |C - D|, so f(x) - f(y) <= 2 |x - y| |C - D|, and the smaller one of f(x) and -f(y) is
-        at most half of that. |x - y| follows from the cosine.
-        """
-        return math.sqrt(2 - 2 * min_cosine) * np.sqrt(self.gaps[0][home[0], i] + self.gaps[1][home[1], j]) + 1e-9
+    def needs(self, first, second, others, q, m):
+        """Excess at which the pairs (q, m) of rows with distances ``first, second`` and ``others`` are met from the better of their two ends."""
+        mine, theirs = self.cell(first, second), self.cell(*others)
+        there = first[q, theirs[0][m]] + second[q, theirs[1][m]] - mine[2][q]
+        back = others[0][m, mine[0][q]] + others[1][m, mine[1][q]] - theirs[2][m]
+        return np.minimum(there, back)
 
-    def visited(self, first, second, min_cosine, excess):
-        """Cells (row, column) that one vector visits: up to ``excess``, or as far as the proof needs if that is None."""
-        if excess is not None:
-            return traverse(first, second, excess)
-        rows, columns = np.arange(len(first))[:, None], np.arange(len(second))[None]
-        home = first.argmin(), second.argmin()
-        near = first[:, None] + second[None] <= first.min() + second.min() + self.proven(home, rows, columns, min_cosine)
-        return [(int(a), int(b)) for a, b in zip(*near.nonzero())]
+    def visited(self, first, second):
+        """Cells (row, column) that one vector visits, nearest first."""
+        return traverse(first, second, self.excess)
 
 
 def traverse(first, second, excess):
@@ -112,135 +105,135 @@ def _matrix(column):
 
 def _sample(reps, sample):
     """Unit vectors of each dimension that occurs, from a bounded sample."""
-    rows = reps.orderBy(F.xxhash64("key"), "key").limit(sample).select("embedding").collect()
-    by = {}
-    for r in rows:
-        by.setdefault(len(r[0]), []).append(r[0])
-    return {d: unit(v) for d, v in by.items()}
-
-
-def _fit(reps, sampled, cells):
-    """Index of each dimension that occurs, with ``cells`` cells at least where the sample allows it."""
-    indexes = {d: Index(x, max(1, cells)) for d, x in sampled.items()}
-    # a dimension that the sample missed gets a grid of one cell, so that it is searched in full
-    for r in reps.groupBy(F.size("embedding").alias("d")).agg(F.min("key").alias("key")).join(reps, "key").select("d", "embedding").collect():
-        indexes.setdefault(r["d"], Index(unit([r["embedding"]]), 1))
+    column = reps.orderBy(F.xxhash64("key"), "key").limit(sample).select("embedding").toArrow().column("embedding").combine_chunks()
+    sizes = np.array(pa.compute.list_value_length(column))
+    return {int(d): unit(_matrix(column.filter(pa.array(sizes == d)))) for d in np.unique(sizes)}
+
+
+def planted(index, x, min_cosine, seed=42):
+    """Pairs of (matrix, matrix): the sample, and a neighbour of each of its vectors at the hardest cosines, from ``min_cosine`` up to a seventh of the way to 1.
+
+    Neighbours lie in two kinds of direction: the residual of another vector of the same cell, which is how vectors of the
+    table differ, and a drawn one.
+    """
+    draw = np.random.default_rng(seed)
+    i, j, _ = index.cell(*index.distances(x))
+    residual = x - np.concatenate([index.books[0][i], index.books[1][j]], axis=1)
+    order = np.lexsort((draw.random(len(x)), j, i))
+    other = np.empty_like(x)
+    other[order] = np.roll(residual[order], 1, axis=0)
+    for side in (other, draw.normal(size=x.shape)):
+        side = side - (side * x).sum(axis=1, keepdims=True) * x
+        length = np.sqrt((side * side).sum(axis=1))
+        there = length > 1e-9
+        cosine = draw.uniform(min_cosine, min_cosine + (1 - min_cosine) / 7, len(x))[there, None]
+        yield x[there], cosine * x[there] + np.sqrt(1 - cosine * cosine) * side[there] / length[there, None]
+
+
+def fit(reps, sample=SAMPLE, min_cosine=MIN_COSINE, target=TARGET_RECALL):
+    """``dimension -> Index`` from a bounded sample, each with the excess at which ``target`` of its planted neighbours are met."""
+    indexes, cells = {}, CELLS * math.sqrt(reps.count())
+    for d, x in _sample(reps, sample).items():
+        index = indexes[d] = Index(x, cells)
+        for own, near in planted(index, x, min_cosine):
+            if len(own):
+                rows = np.arange(len(own))
+                needs = index.needs(*index.distances(own), index.distances(near), rows, rows)
+                index.excess = max(index.excess, float(np.quantile(needs, target, method="higher")))
     return indexes
 
 
-def _needs(reps, indexes, min_cosine, chosen):
-    """``(query, band) -> bin`` of the excess at which a query's links of a cosine band are all found, by brute force over all rows.
+def _index(indexes, d):
+    """The index of a dimension; one that the sample missed has a single cell, so it is searched in full."""
+    return indexes[d] if d in indexes else indexes.setdefault(d, Index(np.zeros((1, d)), 1))
+
 
-    Each task keeps the largest one of each query and band; a link may be found from either end.
+def measured(reps, indexes, min_cosine=MIN_COSINE, queries=QUERIES, seed=1):
+    """``query -> (links, links that the traversal meets, excess that would meet all)`` of drawn queries, by brute force over all rows.
+
+    Queries are at most ``queries`` rows in hash order; each task compares them with its own rows and keeps one row for each query.
     """
+    chosen = reps.orderBy(F.xxhash64("key", F.lit(seed)), "key").select("key", F.xxhash64("key").alias("code"), "label", "embedding").limit(queries).collect()
     asked = {}
-    for d in indexes:
-        own = np.array([n for n, r in enumerate(chosen) if len(r["embedding"]) == d], int)
-        if len(own):
-            x = unit([chosen[n]["embedding"] for n in own])
-            asked[d] = (own, np.array([chosen[n]["label"] for n in own]), np.array([chosen[n]["key"] for n in own]), x, *indexes[d].distances(x))
-    schema = pa.schema([("query", pa.int32()), ("band", pa.int32()), ("bin", pa.int32())])
-    total = len(chosen)
+    for d in sorted({len(r["embedding"]) for r in chosen}):
+        own = np.array([n for n, r in enumerate(chosen) if len(r["embedding"]) == d])
+        x = unit([chosen[n]["embedding"] for n in own])
+        asked[d] = own, np.array([chosen[n]["label"] for n in own]), np.array([chosen[n]["code"] for n in own]), x, *_index(indexes, d).distances(x)
+    schema = pa.schema([("query", pa.int32()), ("links", pa.int64()), ("met", pa.int64()), ("need", pa.float64())])
 
     def run(batches):
-        needs = np.full((total, 1 + len(BANDS)), -1, np.int64)
+        links, met, need = np.zeros(len(chosen), int), np.zeros(len(chosen), int), np.zeros(len(chosen))
         for batch in batches:
-            at = batch.schema.get_field_index
-            dims = np.array([len(v) for v in batch.column(at("embedding"))])
-            for d, (number, labels, keys, x, first, second) in asked.items():
-                picked = batch.filter(pa.array(dims == d))
-                if not picked.num_rows:
-                    continue
-                y = unit(_matrix(picked.column(at("embedding"))))
-                own = np.array(picked.column(at("label")).to_pylist())
-                cosines = x @ y.T
-                linked = (cosines >= min_cosine) & (labels[:, None] == own) & (keys[:, None] != np.array(picked.column(at("key")).to_pylist()))
-                q, m = linked.nonzero()
-                if not len(q):
-                    continue
-                mine, theirs = indexes[d].cell(first, second), indexes[d].distances(y)
-                other = indexes[d].cell(*theirs)
-                there = first[q, other[0][m]] + second[q, other[1][m]] - mine[2][q]
-                back = theirs[0][m, mine[0][q]] + theirs[1][m, mine[1][q]] - other[2][m]
-                bins = np.minimum(np.ceil(np.minimum(there, back) / BIN - 1e-9), BINS).astype(int)
-                np.maximum.at(needs, (number[q], np.searchsorted(BANDS, cosines[q, m], side="right")), bins)
-        yield from flushed([(int(q), int(b), int(needs[q, b])) for q, b in zip(*(needs >= 0).nonzero())], schema)
-
-    found = reps.select("key", "label", "embedding").mapInArrow(run, "query int, band int, bin int")
-    return {(r["query"], r["band"]): r["bin"] for r in found.groupBy("query", "band").agg(F.max("bin").alias("bin")).collect()}
-
-
-def _shares(chosen, min_cosine):
-    """One over the number of queries that a query links with, itself included, so that a large group counts about once."""
-    out = np.ones(len(chosen))
-    for d, label in {(len(r["embedding"]), r["label"]) for r in chosen}:
-        own = np.array([n for n, r in enumerate(chosen) if len(r["embedding"]) == d and r["label"] == label])
-        x = unit([chosen[n]["embedding"] for n in own])
-        for at in range(0, len(x), 256):
-            out[own[at:at + 256]] = 1 / np.maximum(1, (x[at:at + 256] @ x.T >= min_cosine).sum(axis=1))
-    return out
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                column = part.schema.get_field_index
+                dims = np.array(pa.compute.list_value_length(part.column(column("embedding"))))
+                for d in {int(d) for d in np.unique(dims)} & set(asked):
+                    number, labels, codes, x, first, second = asked[d]
+                    index, picked = _index(indexes, d), part.filter(pa.array(dims == d))
+                    y = unit(_matrix(picked.column(column("embedding"))))
+                    q, m = (x @ y.T >= min_cosine).nonzero()
+                    linked = (labels[q] == picked.column(column("label")).to_numpy()[m]) & (codes[q] != picked.column(column("code")).to_numpy()[m])
+                    q, m = q[linked], m[linked]
+                    if len(q):
+                        needs = index.needs(first, second, index.distances(y), q, m)
+                        np.add.at(links, number[q], 1)
+                        np.add.at(met, number[q], needs <= index.excess)
+                        np.maximum.at(need, number[q], needs)
+        yield from flushed([(int(n), int(links[n]), int(met[n]), float(need[n])) for n in links.nonzero()[0]], schema)
+
+    found = reps.select(F.xxhash64("key").alias("code"), "label", "embedding").mapInArrow(run, "query int, links bigint, met bigint, need double")
+    rows = found.groupBy("query").agg(F.sum("links").alias("links"), F.sum("met").alias("met"), F.max("need").alias("need")).collect()
+    return {(len(chosen[r["query"]]["embedding"]), chosen[r["query"]]["key"]): (r["links"], r["met"], r["need"]) for r in rows}
+
+
+def _widen(indexes, found, target):
+    """Make every index as wide as ``target`` of the queries with links need to meet all of theirs, if that is wider than planted neighbours need."""
+    for d in indexes:
+        needs = [need for (dim, _), (_, _, need) in found.items() if dim == d]
+        if needs:
+            indexes[d].excess = max(indexes[d].excess, float(np.quantile(needs, target, method="higher")))
 
 
-def _calibrate(reps, indexes, min_cosine, target, queries, most=MOST_QUERIES):
-    """Excess distance at which ``target`` of the linked queries of every cosine band find all their links, or None.
+def _lists(x):
+    """A matrix as a list column."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.int32()), pa.array(x.ravel()))
 
-    Query rows are drawn in growing blocks until each band has so many linked ones, groups counted about once, that the target
-    is a matter of more than one of them. None means that too few were found, so that nothing is known of the excess.
-    """
-    enough = math.ceil(1 / (1 - min(target, 0.9999)))
-    ordered = reps.orderBy(F.xxhash64("key", F.lit(1)), "key").select("key", "label", "embedding")
-    drawn, needs = 0, {}
-    while True:
-        size = min(most, max(queries, 4 * drawn))
-        chosen = ordered.limit(size).collect()
-        if len(chosen) <= drawn:
-            return None
-        found = _needs(reps, indexes, min_cosine, chosen[drawn:])
-        needs |= {(q + drawn, b): n for (q, b), n in found.items()}
-        shares, drawn, widest = _shares(chosen, min_cosine), len(chosen), 0
-        for band in range(1 + len(BANDS)):
-            bins = sorted((n, shares[q]) for (q, b), n in needs.items() if b == band)
-            total, seen = sum(w for _, w in bins), 0.0
-            if total < enough:
-                widest = None
-                break
-            for n, w in bins:
-                seen += w
-                if seen >= target * total:
-                    widest = max(widest, n)
-                    break
-        if widest is not None:
-            return (widest + 1) * BIN
-        if drawn < size or drawn >= most:
-            return None
-
-
-def _visits(reps, indexes, min_cosine, excess):
+
+def _visits(reps, indexes):
     """Each vector once in the cell it is stored in and once in each cell it visits."""
     schema = pa.schema([("key", pa.string()), ("label", pa.int64()), ("embedding", pa.list_(pa.float64())), ("weight", pa.int64()),
                         ("dim", pa.int32()), ("row", pa.int32()), ("col", pa.int32()), ("stored", pa.bool_()), ("own_row", pa.int32()), ("own_col", pa.int32())])
 
+    def placed(part, d):
+        index, column = _index(indexes, d), part.schema.get_field_index
+        x = unit(_matrix(part.column(column("embedding"))))
+        first, second = index.distances(x)
+        home = index.cell(first, second)
+        cells = [[(int(home[0][n]), int(home[1][n])), *index.visited(first[n], second[n])] for n in range(len(x))]
+        take = np.repeat(np.arange(len(x)), [len(c) for c in cells])
+        stored = np.append(True, take[1:] != take[:-1])
+        place = np.array([c for own in cells for c in own], np.int32)
+        for at in range(0, len(take), 4096):
+            own, picked = slice(at, at + 4096), pa.array(take[at:at + 4096])
+            yield pa.RecordBatch.from_arrays([
+                part.column(column("key")).take(picked), part.column(column("label")).take(picked), _lists(x[take[own]]),
+                part.column(column("weight")).take(picked), pa.array(np.full(len(picked), d, np.int32)), pa.array(place[own, 0].copy()), pa.array(place[own, 1].copy()),
+                pa.array(stored[own]), pa.array(home[0][take[own]].astype(np.int32)), pa.array(home[1][take[own]].astype(np.int32))], schema=schema)
+
     def run(batches):
         for batch in batches:
-            def places():
-                rows = batch.to_pylist()
-                for d in sorted({len(r["embedding"]) for r in rows} & set(indexes)):
-                    picked = [r for r in rows if len(r["embedding"]) == d]
-                    x = unit([r["embedding"] for r in picked])
-                    first, second = indexes[d].distances(x)
-                    home = indexes[d].cell(first, second)
-                    for n, r in enumerate(picked):
-                        i, j, v = int(home[0][n]), int(home[1][n]), x[n].tolist()
-                        yield r["key"], r["label"], v, r["weight"], d, i, j, True, i, j
-                        for a, b in indexes[d].visited(first[n], second[n], min_cosine, excess):
-                            yield r["key"], r["label"], v, r["weight"], d, a, b, False, i, j
-            yield from flushed(places(), schema, 500)
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                dims = np.array(pa.compute.list_value_length(part.column(part.schema.get_field_index("embedding"))))
+                for d in np.unique(dims):
+                    yield from placed(part.filter(pa.array(dims == d)), int(d))
 
     return reps.select("key", "label", "embedding", "weight").mapInArrow(
         run, "key string, label bigint, embedding array<double>, weight bigint, dim int, row int, col int, stored boolean, own_row int, own_col int")
 
 
-def _compare(indexes, min_cosine, excess):
+def _compare(indexes, min_cosine):
     """Comparison of one block of stored vectors with one block of visitors: links of each vector, and its root in the block."""
     schema = pa.schema([("key", pa.string()), ("links", pa.int64()), ("root", pa.string())])
 
@@ -251,16 +244,16 @@ def _compare(indexes, min_cosine, excess):
         q, m = (~stored).nonzero()[0], stored.nonzero()[0]
         if not len(q) or not len(m):
             return schema.empty_table()
-        linked = (x[q] @ x[m].T >= min_cosine) & (keys[q][:, None] != keys[m][None])
-        a, b = linked.nonzero()
+        a, b = (x[q] @ x[m].T >= min_cosine).nonzero()
+        other = keys[q[a]] != keys[m[b]]
+        a, b = a[other], b[other]
         if not len(a):
             return schema.empty_table()
         # the same pair turns up in the visitor's own cell if the stored vector comes by there: count it at one place
-        first, second = indexes[d].distances(x[m])
+        index = _index(indexes, d)
+        first, second = index.distances(x[m])
         i, j = table["own_row"].to_numpy()[q], table["own_col"].to_numpy()[q]
-        home = first.argmin(axis=1)[b], second.argmin(axis=1)[b]
-        width = excess if excess is not None else indexes[d].proven(home, i[a], j[a], min_cosine)
-        twice = first[b, i[a]] + second[b, j[a]] <= first.min(axis=1)[b] + second.min(axis=1)[b] + width
+        twice = first[b, i[a]] + second[b, j[a]] <= first.min(axis=1)[b] + second.min(axis=1)[b] + index.excess
         counted = ~twice | (keys[q][a] < keys[m][b])
         links = np.zeros(len(keys), np.int64)
         np.add.at(links, q[a[counted]], weights[m[b[counted]]])
@@ -285,17 +278,12 @@ def _compare(indexes, min_cosine, excess):
 def links(reps, min_cosine=MIN_COSINE, target_recall=TARGET_RECALL, sample=SAMPLE, queries=QUERIES):
     """``key, links, root`` rows: links counted in a block, and a neighbour towards which the block's links lead.
 
-    The traversal is as wide as calibration finds it, or, where links are too rare for that, as a proof from the cosine
-    asks, so that no link is missed. Cells with many vectors are compared block against block, so no task holds more than two blocks.
+    Every vector walks the cells in multi-sequence order as far as neighbours planted at the hardest cosines ask, and farther if
+    the links of drawn queries need it. Cells with many vectors are compared block against block, so no task holds more than two blocks.
     """
-    count, sampled = reps.count(), _sample(reps, sample)
-    if not sampled:
-        return reps.select("key", F.lit(0).cast("bigint").alias("links"), F.col("key").alias("root")).limit(0)
-    indexes = _fit(reps, sampled, count / CELL)
-    excess = _calibrate(reps, indexes, min_cosine, target_recall, queries)
-    if excess is None:  # a proof reaches many cells, so they hold a block of the largest label each
-        indexes = _fit(reps, sampled, reps.groupBy("label").count().agg(F.max("count")).first()[0] / BLOCK)
-    placed = settle(_visits(reps, indexes, min_cosine, excess), "visits")
+    indexes = fit(reps, sample, min_cosine, target_recall)
+    _widen(indexes, measured(reps, indexes, min_cosine, queries), target_recall)
+    placed = settle(_visits(reps, indexes), "visits")
     cell = ["label", "dim", "row", "col"]
     sizes = settle(placed.groupBy(*cell).agg(*[F.ceil(F.count_if(side) / BLOCK).cast("int").alias(name) for name, side in (
         ("stored_blocks", F.col("stored")), ("visit_blocks", ~F.col("stored")))]), "cells")  # so that a hot cell can be split
@@ -305,7 +293,7 @@ def links(reps, min_cosine=MIN_COSINE, target_recall=TARGET_RECALL, sample=SAMPL
         "of_stored", F.when(F.col("stored"), mine).otherwise(F.col("other"))).withColumn(
         "of_visits", F.when(F.col("stored"), F.col("other")).otherwise(mine))
     return dealt.groupBy(*cell, "of_stored", "of_visits").applyInArrow(
-        _compare(indexes, min_cosine, excess), "key string, links bigint, root string")
+        _compare(indexes, min_cosine), "key string, links bigint, root string")
 
 
 def near_duplicates(vectors, min_cosine=MIN_COSINE, target_recall=TARGET_RECALL, sample=SAMPLE, queries=QUERIES,
@@ -327,9 +315,10 @@ def near_duplicates(vectors, min_cosine=MIN_COSINE, target_recall=TARGET_RECALL,
     reps = settle(keyed.where("key is not null").dropDuplicates(["key"]).select("key", "label", "embedding").join(counts, "key"), "distinct")
     found = settle(links(reps, min_cosine, target_recall, sample, queries), "links")
     groups = components(found.select("key", "root"), "key", "root")
-    ranked = reps.select("key", "weight", "least").join(groups.withColumnRenamed("node", "key"), "key", "left").join(
-        found.groupBy("key").agg(F.sum("links").alias("links")), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    smallest = ranked.groupBy("component").agg(F.min("least").alias("component_id"))
+    # both sides are written before they meet, so that a hot component can be split
+    ranked = settle(reps.select("key", "weight", "least").join(groups.withColumnRenamed("node", "key"), "key", "left").join(
+        found.groupBy("key").agg(F.sum("links").alias("links")), "key", "left").withColumn("component", F.coalesce("component", "key")), "ranked")
+    smallest = settle(ranked.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
     judged = ranked.join(smallest, "component").select("key", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     out = keyed.select("vec_id", "key").join(judged, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
