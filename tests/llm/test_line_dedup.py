@@ -161,3 +161,45 @@ def test_lines_that_repeat_in_different_documents_are_no_passage(spark):
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3))[0].collect()}
     # document 20 is put together from lines of twelve others; document 21 repeats nine neighbouring ones of it, past a blank line, and one more
     assert got == dict(docs) | {21: "\n".join(["new words here", lines[10], "and more"])}
+
+
+def test_rolling_hash_is_that_of_the_lines_alone():
+    draw = random.Random(6)
+    lines = [str(draw.randrange(5)) for _ in range(300)]
+    whole = line_dedup.rolling(lines)
+    for _ in range(300):
+        a = draw.randrange(300)
+        b = draw.randrange(a, min(300, a + 12))
+        assert whole(a, b) == line_dedup.rolling(lines[a:b + 1])(0, b - a) != line_dedup.rolling(lines, key=1)(a, b)
+    seen = {}
+    for a in range(300):
+        for b in range(a, min(300, a + 9)):
+            assert seen.setdefault(whole(a, b), lines[a:b + 1]) == lines[a:b + 1]
+    assert len(seen) == len({tuple(x) for x in seen.values()})
+
+
+def test_passages_under_one_hash_are_told_apart_by_their_bytes(spark, monkeypatch):
+    docs, _ = corpus()
+    keys, count = [], line_dedup.repeated_ranges
+
+    def counted(docs, words, key):
+        keys.append(key)
+        return count(docs, words, key)
+
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+
+    def passages(docs, words, key, own=line_dedup._passages):
+        return own(docs, words, key) if key else own(docs, words, key).withColumn("digest", F.sha1(F.lit("one")).cast("binary"))
+
+    monkeypatch.setattr(line_dedup, "repeated_ranges", counted)
+    monkeypatch.setattr(line_dedup, "_passages", passages)
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(frame)[0].collect()} == brute(docs)
+    assert keys == [0, 1]
+
+
+def test_stretches_of_a_text_that_only_share_a_hash_stay_apart(monkeypatch):
+    own = line_dedup.chunks("a b\nc d\ne f\na b")
+    monkeypatch.setattr(line_dedup, "_number", lambda data, key: 0)
+    assert [o[1:] for o in line_dedup.occurrences(own, 4)] == [[0, 1, 2], [1, 2, 2], [2, 3, 2]]
+    same = line_dedup.chunks("a b\na b\na b\na b")
+    assert [o[1:] for o in line_dedup.occurrences(same, 4)] == [[0, 3, 2]]
