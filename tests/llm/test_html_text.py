@@ -126,3 +126,60 @@ def test_comments_adverts_and_notices_inside_articles_go(spark, rows):
     pages = [(k, "http://a.example/", "<article><h1>Title {0}</h1>".format(k) + "".join(foreign).format(k) + kept.format(k) + "</article>") for k in range(10)]
     got = rows(html_text.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")), "page_id", "text")
     assert got == [(k, f"Title {k}\nMore of {k}.\n# code {k}") for k in range(10)]
+
+
+def brute_prose(pages):
+    """Paragraphs without stretches of 16 words, or whole shorter paragraphs, that enough other pages have, by comparing all pages of a host."""
+    hosts, out = {}, {}
+    for host, paragraphs in pages:
+        hosts.setdefault(host, set()).add(paragraphs)
+
+    def grams(p):
+        return {tuple(p[i:i + 16]) for i in range(len(p) - 15)} or {("whole", *p)}
+
+    for k, (host, paragraphs) in enumerate(pages):
+        least = max(5, -(-len(hosts[host]) // 2))
+        kept = []
+        for p in paragraphs:
+            gone = set()
+            for g in grams(p):
+                if sum(any(g in grams(q) for q in other) for other in hosts[host]) >= least:
+                    gone |= set(range(len(p))) if g[0] == "whole" else {j for i in range(len(p) - 15) if tuple(p[i:i + 16]) == g for j in range(i, i + 16)}
+            kept.append(" ".join(w for i, w in enumerate(p) if i not in gone))
+        out[k] = "\n".join(x for x in kept if x)
+    return out
+
+
+def test_stretches_inside_prose_against_all_pages(spark):
+    draw = random.Random(21)
+
+    def own(n):
+        return tuple("w%d" % draw.randrange(10**6) for _ in range(n))
+
+    notices = [own(n) for n in (22, 16, 15, 40, 7)]
+    pages = []
+    for k in range(66):
+        host = f"h{k % 3}.example"
+        paragraphs = []
+        for notice in notices:
+            body = own(draw.randint(0, 12)) + (notice if draw.random() < 0.6 else notice[:-3]) + own(draw.randint(0, 12))
+            paragraphs.append(body if draw.random() < 0.8 else notice)
+        pages.append((host, tuple(paragraphs)))
+    pages += [pages[0]] * 30  # copies make no boilerplate
+    rows = [(k, f"http://{h}/p", "<article>" + "".join(f"<p>{' '.join(p)}</p>" for p in ps) + "</article>") for k, (h, ps) in enumerate(pages)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4))
+    want = brute_prose(pages)
+    assert {r["page_id"]: r["text"] for r in got.collect()} == want
+    assert any(len(t.split()) < sum(map(len, pages[k][1])) for k, t in want.items())
+
+
+def test_intervals_over_borders_of_ranges(spark):
+    page = "<body><div>please accept all of our cookies right now {}</div></body>"
+    frame = spark.createDataFrame([(k, "http://a.example/", page.format(f"own{k}")) for k in range(200)], "page_id bigint, url string, html string")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # every range is a task
+    try:
+        got = {r["page_id"]: r["text"] for r in html_text.extract(frame).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got == {k: f"own{k}" for k in range(200)}

@@ -14,7 +14,7 @@ from .common import bare, flushed, rows_of, settle_text
 DEPTH = 6
 #: Words from which a repeat inside a block is boilerplate; a shorter one must stand at the block's beginning or end.
 LONG = 16
-#: Share of a host's distinct pages, and least number of them, that must share a repeat: of open blocks, and of an article's prose.
+#: Share of a host's distinct pages, and least number of them, that must share a repeat: of open blocks, and of prose, an article's own blocks.
 OPEN_PAGES, PROSE_PAGES = (0.25, 2), (0.5, 5)
 
 #: HTML's element classes.
@@ -207,44 +207,129 @@ def _parsed(pages):
     return pages.mapInArrow(run, "page_id bigint, url string, host string, content binary, blocks array<struct<text: string, open: boolean>>")
 
 
-def repeated(parsed, depth=DEPTH):
-    """``host, content, places``: (block, word, many) where a substring starts in a page's blocks that another page of its host has too.
+def _winnowed(keys, width):
+    """Places of the least key of every ``width`` neighbours: stretches that share so many neighbours share a place."""
+    if len(keys) <= width:
+        return {min(range(len(keys)), key=lambda i: (keys[i], i))}
+    return {min(range(i, i + width), key=lambda j: (keys[j], j)) for i in range(len(keys) - width + 1)}
+
+
+def _digest(text):
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
-    ``many`` marks those that enough pages of the host share.
 
-    The array holds every suffix of the host's open blocks, cut at ``depth`` words, none of which runs into another block. Suffixes
-    with an equal beginning stand together in it, so grouping finds what sorting would, with a partial aggregate before
-    the shuffle. Prose of an article stands in it by whole blocks, whose word is -1. Pages count as distinct by their content, so
-    copies of a page do not make it boilerplate.
+def _anchors(text, is_open, depth):
+    """Digests by which a block may be found to share a stretch: every beginning of an open block, of prose those that winnowing picks.
+
+    Two stretches of LONG words that are equal have an anchor in common, and so have two equal blocks.
     """
-    schema = pa.schema([("host", pa.string()), ("content", pa.binary()), ("block", pa.int32()), ("place", pa.int32()), ("beginning", pa.binary())])
+    words = text.split()
+    keys = [_digest(" ".join(words[i:i + depth])) for i in range(max(1, len(words) - depth + 1))]
+    return set(keys) if is_open else {keys[i] for i in _winnowed(keys, LONG - depth + 1)}
+
+
+def _suffixes(text, is_open, depth):
+    """(place, suffix) of a block, cut where a comparison may end: at ``depth`` words if it is open, else at LONG; a shorter block is one suffix."""
+    words = text.split()
+    most = depth if is_open else max(LONG, depth)
+    if len(words) < most and not is_open:
+        return [(-1, "\n" + " ".join(words))]
+    return [(i, " ".join(words[i:i + most])) for i in range(max(1, len(words) - most + 1))]
+
+
+def _live(parsed, sizes, depth):
+    """``host, content, block`` of the blocks that share an anchor: an open one with another page, prose with many pages of its host."""
+    schema = pa.schema([("host", pa.string()), ("content", pa.binary()), ("block", pa.int32()), ("prose", pa.bool_()), ("anchor", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            def suffixes():
-                for host, content, own in rows_of(batch, "host", "content", "blocks"):
-                    for n, b in enumerate(own):
-                        words = b["text"].split() if b["open"] else [b["text"]]
-                        for i in range(max(1, len(words) - depth + 1)):
-                            beginning = " ".join(words[i:i + depth]) if b["open"] else "\n" + b["text"]
-                            yield host, content, n, i if b["open"] else -1, xxhash.xxh3_128_digest(beginning.encode("utf-8", "surrogatepass"))
-            yield from flushed(suffixes(), schema)
-
-    array = settle(parsed.select("host", "content", "blocks").mapInArrow(run, "host string, content binary, block int, place int, beginning binary"), "suffixes")
-    sizes = parsed.groupBy("host").agg(F.countDistinct("content").alias("pages"))
+            yield from flushed(((host, content, n, not b["open"], a) for host, content, own in rows_of(batch, "host", "content", "blocks")
+                                for n, b in enumerate(own) for a in _anchors(b["text"], b["open"], depth)), schema)
 
+    anchors = settle(parsed.select("host", "content", "blocks").mapInArrow(run, "host string, content binary, block int, prose boolean, anchor binary"), "anchors")
+    counts = anchors.groupBy("host", "prose", "anchor").agg(F.countDistinct("content").alias("n")).where("n > 1").join(sizes, "host")
+    shared = counts.where(~F.col("prose") | (F.col("n") >= _enough())).select("host", "prose", "anchor")
+    return anchors.join(shared, ["host", "prose", "anchor"], "left_semi").groupBy("host", "content").agg(F.collect_set("block").alias("live"))
+
+
+def _enough():
+    """Least number of distinct pages that must share a repeat, from the host's number of ``pages``."""
     def least(share, pages):
         return F.greatest(F.lit(pages), F.ceil(F.lit(share) * F.col("pages")))
 
-    counts = array.groupBy("host", "beginning", (F.col("place") < 0).alias("prose")).agg(F.countDistinct("content").alias("n")).where("n > 1")
-    enough = F.when(F.col("prose"), least(*PROSE_PAGES)).otherwise(least(*OPEN_PAGES))
-    judged = counts.join(sizes, "host").select("host", "beginning", "prose", (F.col("n") >= enough).alias("many"))
-    common = settle(judged.where("many or not prose").select("host", "beginning", "many"), "shared")
-    return array.join(common, ["host", "beginning"]).groupBy("host", "content").agg(F.collect_set(F.struct("block", "place", "many")).alias("places"))
+    return F.when(F.col("prose"), least(*PROSE_PAGES)).otherwise(least(*OPEN_PAGES))
+
+
+def suffix_array(live, depth=DEPTH):
+    """The sorted suffixes of every host that have a neighbour in common with them, and the intervals they lie in.
+
+    Suffixes are sorted in ranges of (host, suffix, page), so an interval of equal beginnings may spread over ranges, while a page's
+    part of it lies in one. A task walks its range and compares neighbours: one that has less than its whole cut length in common with both is
+    unique and goes, unless it stands at a border of the range. ``pages`` is set in one row for each interval and range: its distinct pages.
+    """
+    rows = pa.schema([("host", pa.string()), ("prose", pa.bool_()), ("suffix", pa.string()), ("content", pa.binary()), ("block", pa.int32()), ("place", pa.int32())])
+    walked = pa.schema([("host", pa.string()), ("prose", pa.bool_()), ("beginning", pa.binary()), ("content", pa.binary()), ("block", pa.int32()),
+                        ("place", pa.int32()), ("pages", pa.int64())])
+
+    def cut(batches):
+        for batch in batches:
+            yield from flushed(((host, not own[n]["open"], s, content, n, i) for host, content, own, some in rows_of(batch, "host", "content", "blocks", "live")
+                                for n in some for i, s in _suffixes(own[n]["text"], own[n]["open"], depth)), rows)
+
+    def walk(batches):
+        def intervals():
+            key, held, digest, pages, last, first = None, None, None, 0, None, True
+            for batch in batches:
+                for row in rows_of(batch, *rows.names):
+                    if row[:3] != key:  # less in common than the cut: an interval ends
+                        if held and first:  # the first of a range may go on from the one before
+                            yield *held, None
+                        if key and (first or not held):
+                            yield *key[:2], digest, None, None, None, pages
+                        first = key is None
+                        key, held, pages, last = row[:3], None, 0, None
+                        digest = _digest(key[2])
+                    place = *key[:2], digest, *row[3:]
+                    if pages == 0:
+                        held = place
+                    else:
+                        if held:
+                            yield *held, None
+                            held = None
+                        yield *place, None
+                    pages += row[3] != last
+                    last = row[3]
+            if key:  # so may the last go on in the next
+                if held:
+                    yield *held, None
+                yield *key[:2], digest, None, None, None, pages
+
+        yield from flushed(intervals(), walked)
+
+    suffixes = live.mapInArrow(cut, "host string, prose boolean, suffix string, content binary, block int, place int").dropDuplicates()
+    order = ["host", "prose", "suffix", "content"]
+    ordered = suffixes.repartitionByRange(*order).sortWithinPartitions(*order, "block", "place")
+    return settle(ordered.mapInArrow(walk, "host string, prose boolean, beginning binary, content binary, block int, place int, pages bigint"), "array")
+
+
+def repeated(parsed, depth=DEPTH):
+    """``host, content, places``: (block, word, many) where a substring starts in a page's blocks that another page of its host has too.
+
+    ``many`` marks those that enough pages of the host share; of prose only those are given, and blocks of less than LONG words stand for themselves, at word -1.
+    Blocks that share no anchor do not come into the suffix array. No suffix runs into another block. Pages count as distinct by their content,
+    so copies of a page do not make it boilerplate.
+    """
+    sizes = parsed.groupBy("host").agg(F.countDistinct("content").alias("pages"))
+    array = suffix_array(parsed.select("host", "content", "blocks").join(_live(parsed, sizes, depth), ["host", "content"]), depth)
+    counts = array.where("pages is not null").groupBy("host", "prose", "beginning").agg(F.sum("pages").alias("n")).where("n > 1")
+    judged = counts.join(sizes, "host").select("host", "prose", "beginning", (F.col("n") >= _enough()).alias("many"))
+    common = judged.where("many or not prose")
+    return (array.where("pages is null").drop("pages").join(common, ["host", "prose", "beginning"])
+            .groupBy("host", "content").agg(F.collect_set(F.struct("block", "place", "many")).alias("places")))
 
 
 def unique_text(own, places, depth=DEPTH):
-    """Blocks without what is repeated: whole blocks, and runs of covered words that are long or stand at an end of their block.
+    """Blocks without what is repeated: whole blocks, stretches of prose, and runs of covered words of open blocks that are long or stand at an end.
 
     Overlapping repeats make one run, which goes if many pages share a part of it; words left over of a block stay as one block.
     """
@@ -252,22 +337,20 @@ def unique_text(own, places, depth=DEPTH):
     for p in places:
         at.setdefault(p["block"], []).append((p["place"], p["many"]))
     for n, (text, is_open) in enumerate(own):
-        if n in at and is_open:
+        if n in at:
             words = text.split()
             covered = [False] * len(words)
             runs = []
             for i, many in sorted(at[n]):
-                past = min(i + depth, len(words))
+                past = min(i + (depth if is_open else max(LONG, depth)), len(words)) if i >= 0 else len(words)
                 if runs and i < runs[-1][1]:
                     runs[-1] = runs[-1][0], past, runs[-1][2] or many
                 else:
-                    runs.append((i, past, many))
+                    runs.append((max(i, 0), past, many))
             for first, past, many in runs:
-                if many and (first == 0 or past == len(words) or past - first >= LONG):
+                if many and (not is_open or first == 0 or past == len(words) or past - first >= LONG):
                     covered[first:past] = [True] * (past - first)
             text = " ".join(w for w, c in zip(words, covered) if not c)
-        elif n in at:
-            text = ""
         if text:
             out.append(text)
     return "\n".join(out)
@@ -280,8 +363,8 @@ def extract(pages, depth=DEPTH, id_col="page_id", url_col="url", html_col="html"
     footers, sidebars, adverts, forms and comments are not. Inside an article a block goes if a part of its class or id tells of comments, adverts,
     notices or the like; a wrapper that holds the article, or all of its text, stays. What it leaves open, loose containers and pages without
     an article, goes to the suffix array of the page's host: substrings of ``depth`` words or more that a quarter of its distinct pages
-    share are boilerplate if they are long or stand at an end of their block; unique runs stay. Prose of an article goes by whole
-    blocks, if half of the host's distinct pages share them and five at least.
+    share are boilerplate if they are long or stand at an end of their block; unique runs stay. Prose of an article stands in the
+    array too: stretches of LONG words or more, and whole shorter blocks, go if half of the host's distinct pages share them and five at least.
 
     NULL and empty pages give an empty text, NULL URLs and ids stay, a page without host shares the empty host. Repeated
     rows stay; extra columns are left out; an empty table gives an empty table.
