@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tidemark.llm import html_text
@@ -183,3 +184,18 @@ def test_intervals_over_borders_of_ranges(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert got == {k: f"own{k}" for k in range(200)}
+
+
+def test_equal_stretches_and_blocks_have_an_anchor_in_common():
+    draw = random.Random(8)
+    shared = [draw.choice(["é😀", "a", "word", "zz"]) + str(draw.randrange(99)) for _ in range(html_text.LONG)]
+    texts = ["one", "two three", "one", " ".join(shared)] + [" ".join([str(draw.randrange(999)) for _ in range(n)] + shared + ["x"] * n) for n in (0, 1, 9, 40)]
+    raw = [t.encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, raw)])
+    for is_open in (False, True):
+        block, keys = html_text._anchors(np.frombuffer(b"".join(raw), np.uint8), bounds, np.full(len(raw), is_open), np.full(len(raw), 7, np.uint64), html_text.DEPTH)
+        of = [set(keys[block == n]) for n in range(len(raw))]
+        assert of[0] == of[2] and of[0] and not of[0] & of[1] and all(k % 2 != is_open for k in keys)
+        assert all(of[a] & of[b] for a in range(3, 8) for b in range(3, 8))
+        if is_open:
+            assert [len(o) for o in of] == [len({tuple(w[i:i + 6]) for i in range(max(1, len(w) - 5))}) for w in map(str.split, texts)]

@@ -3,6 +3,7 @@
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
@@ -207,25 +208,87 @@ def _parsed(pages):
     return pages.mapInArrow(run, "page_id bigint, url string, host string, content binary, blocks array<struct<text: string, open: boolean>>")
 
 
-def _winnowed(keys, width):
-    """Places of the least key of every ``width`` neighbours: stretches that share so many neighbours share a place."""
-    if len(keys) <= width:
-        return {min(range(len(keys)), key=lambda i: (keys[i], i))}
-    return {min(range(i, i + width), key=lambda j: (keys[j], j)) for i in range(len(keys) - width + 1)}
+#: Base of the polynomial hash modulo 2**64, its inverse, and the bytes of text hashed at once; a block is not cut.
+_BASE, _STRETCH = 0x9E3779B97F4A7C15, 1 << 20
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers = {}
 
 
-def _digest(text):
-    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+def _powers_of(base, size):
+    """Powers of ``base`` modulo 2**64, kept and grown as texts ask for it."""
+    if len(_powers.get(base, ())) < size:
+        factors = np.full(max(size, _STRETCH), base, np.uint64)
+        factors[0] = 1
+        _powers[base] = np.cumprod(factors, dtype=np.uint64)
+    return _powers[base][:size]
+
+
+def _hashed(data, starts, ends):
+    """Hashes of the bytes from each start up to each end, from one running polynomial."""
+    running = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * _powers_of(_BASE, len(data)), out=running[1:])
+    return (running[ends] - running[starts]) * _powers_of(_INVERSE, len(data) + 1)[starts]
 
 
-def _anchors(text, is_open, depth):
-    """Digests by which a block may be found to share a stretch: every beginning of an open block, of prose those that winnowing picks.
+def _mixed(keys):
+    keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return keys ^ (keys >> np.uint64(29))
 
-    Two stretches of LONG words that are equal have an anchor in common, and so have two equal blocks.
+
+def _anchors(data, bounds, is_open, salt, depth):
+    """(block, key) of the beginnings by which blocks may be found to share a stretch: all of an open block, of prose those that winnowing picks.
+
+    ``data`` holds the blocks' bytes, block n from ``bounds[n]`` on, words parted by one space. Of any LONG - depth + 1 neighbouring
+    beginnings the least key is picked, and the least of each block, so stretches of LONG words that are equal have an anchor in common, and equal blocks
+    too. A key's last bit tells prose. Keys that are equal by chance let a block in for nothing.
     """
-    words = text.split()
-    keys = [_digest(" ".join(words[i:i + depth])) for i in range(max(1, len(words) - depth + 1))]
-    return set(keys) if is_open else {keys[i] for i in _winnowed(keys, LONG - depth + 1)}
+    spaces = np.flatnonzero(data == 32)
+    starts = np.sort(np.concatenate([bounds[:-1], spaces + 1]))
+    ends = np.sort(np.concatenate([bounds[1:], spaces]))
+    first = np.searchsorted(starts, bounds[:-1])
+    size = np.diff(np.append(first, len(starts)))
+    block = np.repeat(np.arange(len(first)), size)
+    place = np.arange(len(starts)) - first[block]
+    at = np.flatnonzero(place <= np.maximum(size[block] - depth, 0))
+    last = np.minimum(at + depth, first[block[at]] + size[block[at]]) - 1
+    block = block[at]
+    keys = _mixed(_hashed(data, starts[at], ends[last]) + salt[block])
+    picked = is_open[block]
+    width = min(LONG - depth + 1, len(keys)) if depth <= LONG else 1
+    if len(keys):
+        windows = np.lib.stride_tricks.sliding_window_view(keys, width)
+        picked[np.arange(len(windows)) + windows.argmin(axis=1)] = True
+        firsts = np.flatnonzero(np.diff(block, prepend=-1))
+        picked |= keys == np.repeat(np.minimum.reduceat(keys, firsts), np.diff(np.append(firsts, len(keys))))
+    keys = (keys & ~np.uint64(1)) | (~is_open[block]).astype(np.uint64)
+    return block[picked], keys[picked].view(np.int64)
+
+
+def _anchored(batch, depth):
+    """(page of the batch, block of the page, key) arrays, stretch by stretch of a batch's blocks."""
+    pages = batch.column(batch.schema.get_field_index("blocks"))
+    counts = np.diff(np.asarray(pages.offsets))
+    page = np.repeat(np.arange(len(pages)), counts)
+    block = np.arange(len(page)) - np.repeat(np.cumsum(counts) - counts, counts)
+    texts, is_open = pages.flatten().flatten()
+    texts, is_open = texts.cast(pa.large_string()), np.asarray(is_open.to_pylist(), dtype=bool)
+    hosts = batch.column(batch.schema.get_field_index("host")).to_pylist()
+    salt = np.array([xxhash.xxh64_intdigest(h.encode("utf-8", "surrogatepass")) for h in hosts], dtype=np.uint64)
+    if not len(page):
+        return
+    _, offsets, content = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(content, np.uint8)
+    at = 0
+    while at < len(texts):
+        past = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _STRETCH, "right")) - 1)
+        own, keys = _anchors(data[offsets[at]:offsets[past]], offsets[at:past + 1] - offsets[at], is_open[at:past], salt[page[at:past]], depth)
+        yield page[at:past][own], block[at:past][own], keys
+        at = past
+
+
+def _digest(text):
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
 
 def _suffixes(text, is_open, depth):
@@ -238,18 +301,34 @@ def _suffixes(text, is_open, depth):
 
 
 def _live(parsed, sizes, depth):
-    """``host, content, block`` of the blocks that share an anchor: an open one with another page, prose with many pages of its host."""
-    schema = pa.schema([("host", pa.string()), ("content", pa.binary()), ("block", pa.int32()), ("prose", pa.bool_()), ("anchor", pa.binary())])
+    """``host, content, live``: the blocks that share an anchor, an open one with another page, prose with many pages of its host.
 
-    def run(batches):
+    Keys are counted without their pages, in one shuffle of narrow rows after a partial count; copies of a page count
+    here, which only lets more blocks in. The few keys that are shared meet the anchors once more, made anew.
+    """
+    def count(batches):
+        for batch in batches:
+            for page, _, keys in _anchored(batch, depth):
+                order = np.lexsort((page, keys))
+                page, keys = page[order], keys[order]
+                new = np.ones(len(keys), bool)
+                new[1:] = (np.diff(page) != 0) | (keys[1:] != keys[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[new])], names=["key"])
+
+    def find(batches):
         for batch in batches:
-            yield from flushed(((host, content, n, not b["open"], a) for host, content, own in rows_of(batch, "host", "content", "blocks")
-                                for n, b in enumerate(own) for a in _anchors(b["text"], b["open"], depth)), schema)
+            host, content = (batch.column(batch.schema.get_field_index(n)) for n in ("host", "content"))
+            for page, block, keys in _anchored(batch, depth):
+                yield pa.RecordBatch.from_arrays([host.take(pa.array(page)), content.take(pa.array(page)), pa.array(block.astype(np.int32)), pa.array(keys)],
+                                                 names=["host", "content", "block", "key"])
 
-    anchors = settle(parsed.select("host", "content", "blocks").mapInArrow(run, "host string, content binary, block int, prose boolean, anchor binary"), "anchors")
-    counts = anchors.groupBy("host", "prose", "anchor").agg(F.countDistinct("content").alias("n")).where("n > 1").join(sizes, "host")
-    shared = counts.where(~F.col("prose") | (F.col("n") >= _enough())).select("host", "prose", "anchor")
-    return anchors.join(shared, ["host", "prose", "anchor"], "left_semi").groupBy("host", "content").agg(F.collect_set("block").alias("live"))
+    own = parsed.select("host", "content", "blocks")
+    prose = F.col("key").bitwiseAND(1) == 1
+    counts = own.select("host", "blocks").mapInArrow(count, "key bigint").groupBy("key").agg(F.count("*").alias("n"))
+    shared = settle(counts.where(F.col("n") >= F.when(prose, PROSE_PAGES[1]).otherwise(OPEN_PAGES[1])), "anchors")
+    met = own.mapInArrow(find, "host string, content binary, block int, key bigint").join(shared, "key")
+    enough = met.withColumn("prose", prose).join(sizes, "host").where(~F.col("prose") | (F.col("n") >= _enough()))
+    return settle(enough.groupBy("host", "content").agg(F.collect_set("block").alias("live")), "live")
 
 
 def _enough():
@@ -319,7 +398,7 @@ def repeated(parsed, depth=DEPTH):
     Blocks that share no anchor do not come into the suffix array. No suffix runs into another block. Pages count as distinct by their content,
     so copies of a page do not make it boilerplate.
     """
-    sizes = parsed.groupBy("host").agg(F.countDistinct("content").alias("pages"))
+    sizes = settle(parsed.groupBy("host").agg(F.countDistinct("content").alias("pages")), "sizes")
     array = suffix_array(parsed.select("host", "content", "blocks").join(_live(parsed, sizes, depth), ["host", "content"]), depth)
     counts = array.where("pages is not null").groupBy("host", "prose", "beginning").agg(F.sum("pages").alias("n")).where("n > 1")
     judged = counts.join(sizes, "host").select("host", "prose", "beginning", (F.col("n") >= _enough()).alias("many"))
