@@ -58,6 +58,13 @@ def test_against_brute_force(spark, rows):
     assert sorted(rows(decontaminate.scan(d, b, block_bytes=500)), key=str) == want
 
 
+def test_pieces_of_long_items_and_few_rows_held(spark, rows, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE", 2)
+    monkeypatch.setattr(decontaminate, "HELD_BYTES", 400)
+    docs, items, d, b = frames(spark)
+    assert sorted(rows(decontaminate.scan(d.repartition(2), b, block_bytes=700)), key=str) == brute(docs, items)
+
+
 def test_clean_keeps_the_rest_as_it_is(spark, rows):
     docs, items, d, b = frames(spark)
     want = sorted([i for i, *_, bad in brute(docs, items) if not bad], key=str)

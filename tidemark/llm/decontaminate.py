@@ -2,20 +2,24 @@
 
 import functools
 import hashlib
+import pickle
 import re
+import zlib
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import settle
 from .common import bare, batch_of, flushed, rows_of, unused
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 13
-#: UTF-8 bytes of items in one automaton. More items than that are scanned for in further passes.
-BLOCK_BYTES = 4 << 20
+#: UTF-8 bytes of items in one automaton; more items than that make further ones. Windows of an item in one piece of it.
+BLOCK_BYTES, PIECE = 4 << 20, 4096
+#: Bytes of rows that a task holds while it takes one automaton after another.
+HELD_BYTES = 64 << 20
 
 #: A-Z to a-z, ASCII letters, digits and every byte above ASCII are word bytes, the rest separates.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -27,26 +31,24 @@ def words(text):
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
-def windows(item_words, size=WINDOW):
-    """Distinct windows of an item; none if it has no words."""
-    if not item_words:
-        return set()
-    return {b" ".join(item_words[i:i + size]) for i in range(max(1, len(item_words) - size + 1))}
-
-
 class Automaton:
-    """All windows of a block of items; a match names its window, which names its items and its number of words."""
+    """All windows of a block of items; a match names its window, which names its items and its number of words.
+
+    Words are symbols: each distinct word of the block is one character, so the machine has a state for a word, not for a letter.
+    """
 
     def __init__(self, items, size=WINDOW):
-        holders = {}
-        for item, text in items:
-            for w in windows(words(text), size):
-                holders.setdefault(w, set()).add(item)
+        holders, self.symbols = {}, {}
+        for item, item_words in items:
+            for w in item_words:
+                self.symbols.setdefault(w, chr(len(self.symbols) + 1))
+            for i in range(max(1, len(item_words) - size + 1) if item_words else 0):
+                holders.setdefault("".join(map(self.symbols.__getitem__, item_words[i:i + size])), set()).add(item)
         self.items = [frozenset(h) for h in holders.values()]
-        self.lengths = [w.count(b" ") + 1 for w in holders]
+        self.lengths = [len(w) for w in holders]
         self.machine = ahocorasick.Automaton()
         for k, w in enumerate(holders):
-            self.machine.add_word(" " + w.decode("latin-1") + " ", k)
+            self.machine.add_word(w, k)
         if holders:
             self.machine.make_automaton()
 
@@ -54,13 +56,9 @@ class Automaton:
         """(first word, one past the last word, window) of every occurrence, overlapping ones too."""
         if not self.items or not text_words:
             return []
-        joined = " " + b" ".join(text_words).decode("latin-1") + " "
-        found = list(self.machine.iter(joined))
-        if not found:
-            return []
-        ends = np.cumsum([len(w) + 1 for w in text_words])  # place of the space after each word
-        last = np.searchsorted(ends, [at for at, _ in found])
-        return [(int(e) - self.lengths[k] + 1, int(e) + 1, k) for e, (_, k) in zip(last, found)]
+        symbol = self.symbols.get
+        text = "".join([symbol(w, "\0") for w in text_words])  # no window holds a word that the block lacks
+        return [(at + 1 - self.lengths[k], at + 1, k) for at, k in self.machine.iter(text)]
 
 
 def merged(intervals):
@@ -82,57 +80,85 @@ def spans_of(text, intervals):
     return [(places[a][0], places[b - 1][1]) for a, b in intervals]
 
 
-def _blocks(items, block_bytes):
-    """Items as Python rows in blocks of bounded size; one block at a time is on the driver and broadcast.
+def _pieces(items, size):
+    """``item_id, words`` of stretches of PIECE windows of an item, so that one long item does not make a long block."""
+    schema = pa.schema([("item_id", pa.string()), ("words", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            yield from flushed(((item, b" ".join(w[i:i + PIECE + size - 1])) for item, text in rows_of(batch, "item_id", "text")
+                                for w in [words(text)] if w for i in range(0, max(1, len(w) - size + 1), PIECE)), schema)
+
+    named = items.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).withColumn("item_id", F.col("item_id").cast("string"))
+    return settle(named.select("item_id", "text").mapInArrow(run, "item_id string, words binary"), "items")
+
 
-    Items are dealt to blocks by hash, as many blocks as their measured size asks for.
+def _blocks(items, size, block_bytes):
+    """Broadcasts of the items in blocks of bounded size, packed; one block at a time is on the driver.
+
+    Pieces are dealt to blocks by hash, as many blocks as their measured size asks for.
     """
-    sized = items.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
-    total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    pieces = _pieces(items, size)
+    total = pieces.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     n = 2 * total // block_bytes + 1 if total > block_bytes else 1
+    out = []
     for k in range(n):
-        yield sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else sized
+        block = pieces.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)) == k) if n > 1 else pieces
+        held = sorted((r[0], bytes(r[1])) for r in block.collect())
+        packed = zlib.compress(pickle.dumps(held))
+        out.append((hashlib.sha256(packed).hexdigest(), items.sparkSession.sparkContext.broadcast(packed)))
+    return out
 
 
 @functools.lru_cache(maxsize=1)
-def _automaton(key, items, size):
-    return Automaton(items, size)
+def _automaton(key, packed, size):
+    return Automaton([(item, own.split()) for item, own in pickle.loads(zlib.decompress(packed))], size)
+
 
+def _held(batches, most):
+    """Lists of Arrow batches of about ``most`` bytes or one batch."""
+    held, total = [], 0
+    for batch in batches:
+        if held and total + batch.nbytes > most:
+            yield held
+            held, total = [], 0
+        held.append(batch)
+        total += batch.nbytes
+    if held:
+        yield held
 
-def _machine(shared, key, size):
-    """The automaton of a broadcast block, built once in a worker."""
-    return _automaton(key, shared.value, size)
 
+def _scanned(docs, text_col, blocks, size, own):
+    """``docs`` with the columns ``own``_n, ``own``_hits and ``own``_items: one pass, in which a task takes the blocks one after another.
 
-def _pass(docs, text_col, items, size, own):
-    """One block scanned for: adds its findings to the columns ``own``_n, ``own``_hits and ``own``_items."""
-    shared = items.sparkSession.sparkContext.broadcast(tuple((r[0], r[1]) for r in items.select("item_id", "text").collect()))
-    key = hashlib.sha256(repr(sorted(map(repr, shared.value))).encode()).hexdigest()
+    With one block its automaton stays in the worker and batches pass through. With more, a task holds up to HELD_BYTES of rows, walks all blocks
+    over them, there and back in turn, with one automaton at a time, and carries hits only.
+    """
     pair = pa.struct([("first", pa.int32()), ("past", pa.int32())])
-    names, first = [f"{own}_n", f"{own}_hits", f"{own}_items"], f"{own}_n" not in docs.columns
-    types = [pa.int64(), pa.list_(pair), pa.list_(pa.string())]
-    ddl = f"`{names[0]}` bigint, `{names[1]}` array<struct<first: int, past: int>>, `{names[2]}` array<string>"
-    kept = [c for c in docs.columns if c not in names]
-    schema = docs.select(*[f"`{c}`" for c in kept]).schema
-    for field in docs.sparkSession.createDataFrame([], ddl).schema.fields:
-        schema = schema.add(field)
-
-    def row(machine, text, hits, known):
-        text_words = words(text)
-        found = machine.matches(text_words)
-        of = frozenset().union(*[machine.items[k] for k in {k for *_, k in found}]) if found else ()
-        return (len(text_words), [dict(first=a, past=b) for a, b in merged([*hits, *((a, b) for a, b, _ in found)])],
-                sorted({*known, *map(str, of)}))
+    found = pa.schema([(f"{own}_n", pa.int64()), (f"{own}_hits", pa.list_(pair)), (f"{own}_items", pa.list_(pa.string()))])
+    ddl = f"`{own}_n` bigint, `{own}_hits` array<struct<first: int, past: int>>, `{own}_items` array<string>"
+    schema = StructType([*docs.schema.fields, *docs.sparkSession.createDataFrame([], ddl).schema.fields])
+    names = docs.columns
 
     def run(batches):
-        machine = _machine(shared, key, size)
-        for batch in batches:
-            at = batch.schema.get_field_index
-            texts, hits, known = (batch.column(at(n)) if at(n) >= 0 else None for n in (text_col, *names[1:]))
-            rows = [row(machine, texts[i].as_py(), [] if first else [(h["first"], h["past"]) for h in hits[i].as_py()],
-                        [] if first else known[i].as_py()) for i in range(batch.num_rows)]
-            found = batch_of(pa.schema(list(zip(names, types))), rows)
-            yield pa.RecordBatch.from_arrays([*(batch.column(at(c)) for c in kept), *found.columns], names=[*kept, *names])
+        order = list(blocks)
+        for held in _held(batches, HELD_BYTES if len(blocks) > 1 else 0):
+            n = [[0] * b.num_rows for b in held]
+            hits, items = ([[()] * b.num_rows for b in held] for _ in range(2))
+            for key, shared in order:
+                machine = _automaton(key, shared.value, size)
+                for k, batch in enumerate(held):
+                    for i, (text,) in enumerate(rows_of(batch, text_col)):
+                        text_words = words(text)
+                        n[k][i] = len(text_words)
+                        occurrences = machine.matches(text_words)
+                        if occurrences:
+                            hits[k][i] = merged([*map(tuple, hits[k][i]), *((a, b) for a, b, _ in occurrences)])
+                            items[k][i] = frozenset(items[k][i]).union(*[machine.items[w] for w in {w for *_, w in occurrences}])
+            order.reverse()  # the last automaton is the next one
+            for k, batch in enumerate(held):
+                more = batch_of(found, [(c, [dict(first=a, past=b) for a, b in h], sorted(of)) for c, h, of in zip(n[k], hits[k], items[k])])
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more.columns], names=[*names, *found.names])
 
     return docs.mapInArrow(run, schema)
 
@@ -140,15 +166,11 @@ def _pass(docs, text_col, items, size, own):
 def find(docs, benchmark, size=WINDOW, block_bytes=BLOCK_BYTES, text_col="text", item_col="item_id", item_text_col="text"):
     """``docs`` with three more columns and their common stem: words, hit word intervals, matching items.
 
-    The benchmark is the query set: it is broadcast in blocks of a measured size, and every text is scanned once for
-    each block. Nothing is shuffled; between blocks the findings are written to the shared folder, so no task holds
-    more than one automaton.
+    The benchmark is the query set: it is broadcast in packed blocks of a measured size, and every text is read once.
+    Nothing is shuffled or written between blocks, and no task holds more than one automaton.
     """
     own = unused(docs.columns, "__found")
-    blocks = list(_blocks(bare(benchmark, item_id=item_col, text=item_text_col), block_bytes))
-    for k, block in enumerate(blocks):
-        docs = _pass(settle(docs, "windows") if k else docs, text_col, block, size, own)
-    return docs, own
+    return _scanned(docs, text_col, _blocks(bare(benchmark, item_id=item_col, text=item_text_col), size, block_bytes), size, own), own
 
 
 def _judged(own):
